@@ -1,0 +1,205 @@
+"""Exact nearest neighbours where the corpus is too large to be held by every task.
+
+The corpus is cut into cells around some of its own vectors. A cell's bound on the score,
+``q.c + |q| r`` for centre ``c`` and radius ``r``, says which cells a query can skip; the others
+are searched in full, so the result is that of comparing everything. Work meets by an equi-join on
+(cell, block, lane): a heavy cell is cut into blocks of corpus rows, and many queries for one cell
+into lanes, so no group grows with the data. Only the k best of each group leave it.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+
+from jobweave.operators.retrieval import SCORE_DIGITS, best_columns, unit_rows
+from jobweave.storage import materialise
+
+MAX_CELLS = 1024
+BLOCK_ROWS = 4096
+LANE_ROWS = 4096
+_SLACK = 2 * 10.0**-SCORE_DIGITS  # scores tie after rounding, so a little under the bound counts
+
+
+def _centres(corpus: DataFrame, key: str, vector: str, cells: int) -> np.ndarray:
+    """Corpus vectors with the smallest key hashes. Any choice is right; it only steers speed."""
+    rows = (
+        corpus.select(F.xxhash64(key).alias("h"), key, vector)
+        .orderBy("h", key).limit(cells).select(vector).collect()
+    )
+    return unit_rows(np.array([row[0] for row in rows], dtype=float))
+
+
+def _stack(vectors: pd.Series) -> np.ndarray:
+    return unit_rows(np.stack(vectors.to_list()).astype(float))
+
+
+def _assign(centres: np.ndarray, vector: Column) -> Column:
+    def nearest(vectors: pd.Series) -> pd.DataFrame:
+        matrix = _stack(vectors)
+        cell = np.argmax(matrix @ centres.T, axis=1)
+        return pd.DataFrame(
+            {"cell": cell.astype("int32"), "reach": np.linalg.norm(matrix - centres[cell], axis=1)}
+        )
+
+    return F.pandas_udf(nearest, "struct<cell:int,reach:double>")(vector)
+
+
+def _first_cells(scores: np.ndarray, sizes: np.ndarray, k: int) -> list[np.ndarray]:
+    """For each query the likeliest cells, as many as it takes to hold k vectors."""
+    order = np.argsort(-scores, axis=1, kind="stable")
+    enough = np.argmax(np.cumsum(sizes[order], axis=1) >= min(k, sizes.sum()), axis=1)
+    return [row[: n + 1] for row, n in zip(order, enough)]
+
+
+def _probes(centres: np.ndarray, reach: np.ndarray, sizes: np.ndarray, k: int):
+    """Two column functions: the cells to search first, and those the bound cannot rule out then."""
+
+    def first(vectors: pd.Series) -> pd.Series:
+        return pd.Series(_first_cells(_stack(vectors) @ centres.T, sizes, k))
+
+    def rest(vectors: pd.Series, least: pd.Series) -> pd.Series:
+        matrix = _stack(vectors)
+        scores = matrix @ centres.T
+        bound = scores + np.linalg.norm(matrix, axis=1, keepdims=True) * reach
+        possible = (bound >= least.to_numpy()[:, None] - _SLACK) & (sizes > 0)
+        return pd.Series(
+            [np.setdiff1d(np.flatnonzero(row), done)
+             for row, done in zip(possible, _first_cells(scores, sizes, k))]
+        )
+
+    return F.pandas_udf(first, "array<int>"), F.pandas_udf(rest, "array<int>")
+
+
+def _search(
+    probes: DataFrame, cells: DataFrame, blocks: list[int], query_key: str, kept: list[str], k: int
+) -> DataFrame:
+    """The k best of each (query, block): ``probes(query, vector, cell)`` against ``cells``."""
+    asked = {row["cell"]: row["n"] for row in probes.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    lanes = [max(1, math.ceil(asked.get(c, 0) / LANE_ROWS)) for c in range(len(blocks))]
+
+    def per_cell(numbers: list[int]) -> Column:
+        return F.element_at(F.array(*map(F.lit, numbers)), F.col("cell") + 1)
+
+    left = probes.withColumns(
+        {
+            "lane": F.pmod(F.xxhash64(query_key), per_cell(lanes)).cast("int"),
+            "block": F.explode(F.sequence(F.lit(0), per_cell(blocks) - 1)),
+        }
+    )
+    right = cells.where(F.col("cell").isin(list(asked))).withColumn(
+        "lane", F.explode(F.sequence(F.lit(0), per_cell(lanes) - 1))
+    )
+    fields = {f.name: f for f in cells.schema.fields}
+    result = StructType(
+        [probes.schema[query_key], *(fields[c] for c in kept), StructField("score", DoubleType())]
+    )
+
+    def score(queries: pd.DataFrame, corpus: pd.DataFrame) -> pd.DataFrame:
+        if queries.empty or corpus.empty:
+            return pd.DataFrame(columns=result.names)
+        corpus = corpus.sort_values(kept[0], ignore_index=True)
+        rounded, picks = best_columns(_stack(queries["vector"]) @ _stack(corpus["vector"]).T, k)
+        row = np.repeat(np.arange(len(queries)), [len(p) for p in picks])
+        column = np.concatenate(picks)
+        found = corpus.loc[column, kept].reset_index(drop=True)
+        found.insert(0, query_key, queries[query_key].to_numpy()[row])
+        found["score"] = rounded[row, column]
+        return found
+
+    meet = ["cell", "block", "lane"]
+    return (
+        left.select(query_key, "vector", *meet).groupBy(*meet)
+        .cogroup(right.select(*kept, "vector", *meet).groupBy(*meet))
+        .applyInPandas(score, result)
+    )
+
+
+def _best(found: DataFrame, query_key: str, kept: list[str], k: int) -> DataFrame:
+    """The k best per query; the limit is applied before the shuffle as well."""
+    order = Window.partitionBy(query_key).orderBy(F.desc("score"), kept[0])
+    return (
+        found.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= k)
+        .groupBy(query_key)
+        .agg(F.sort_array(F.collect_list(F.struct("_place", *kept, "score"))).alias("hits"))
+        .withColumn(
+            "hits",
+            F.transform("hits", lambda h: F.struct(*(h[c].alias(c) for c in [*kept, "score"]))),
+        )
+    )
+
+
+def top_k_partitioned(
+    queries: DataFrame,
+    query_key: str,
+    query_vector: str,
+    corpus: DataFrame,
+    key: str,
+    corpus_vector: str,
+    payload: Sequence[str] = (),
+    k: int = 5,
+    cells: int | None = None,
+) -> DataFrame:
+    """Add ``hits``: the k nearest corpus rows by cosine, best first, ties to the smaller key.
+
+    ``query_key`` and ``key`` are unique. Rows without a vector get no hits and are not found.
+    """
+    kept = list(dict.fromkeys([key, *payload]))
+    searchable = corpus.where(F.col(corpus_vector).isNotNull())
+    total = searchable.count()
+    n_cells = min(MAX_CELLS, cells or math.isqrt(total) or 1)
+    centres = _centres(searchable, key, corpus_vector, n_cells)
+    hit_type = StructType([*(corpus.schema[c] for c in kept), StructField("score", DoubleType())])
+    if not len(centres):
+        return queries.withColumn("hits", F.array().cast(f"array<{hit_type.simpleString()}>"))
+
+    assigned = materialise(
+        searchable.select(
+            *kept, F.col(corpus_vector).alias("vector"),
+            _assign(centres, F.col(corpus_vector)).alias("_at"),
+        ).select(*kept, "vector", "_at.cell", "_at.reach"),
+        "cells",
+    )
+    sizes, reach = np.zeros(len(centres), dtype=int), np.zeros(len(centres))
+    for row in assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("r")).collect():
+        sizes[row["cell"]], reach[row["cell"]] = row["n"], row["r"]
+    blocks = [max(1, math.ceil(int(n) / BLOCK_ROWS)) for n in sizes]
+    per_cell = F.element_at(F.array(*map(F.lit, blocks)), F.col("cell") + 1)
+    placed = assigned.drop("reach").withColumn(
+        "block", F.pmod(F.xxhash64(key), per_cell).cast(IntegerType())
+    )
+
+    asked = queries.where(F.col(query_vector).isNotNull()).select(
+        query_key, F.col(query_vector).alias("vector")
+    )
+    first, rest = _probes(centres, reach, sizes, k)
+
+    near = materialise(
+        _best(
+            _search(
+                asked.withColumn("cell", F.explode(first("vector"))),
+                placed, blocks, query_key, kept, k,
+            ),
+            query_key, kept, k,
+        ),
+        "near",
+    )
+    open_queries = asked.join(
+        near.select(
+            query_key,
+            F.when(F.size("hits") >= k, F.element_at("hits", -1)["score"])
+            .otherwise(float("-inf")).alias("least"),
+        ),
+        query_key,
+    )
+    far = _search(
+        open_queries.select(query_key, "vector", F.explode(rest("vector", "least")).alias("cell")),
+        placed, blocks, query_key, kept, k,
+    )
+    seen = near.select(query_key, F.explode("hits").alias("h")).select(query_key, "h.*")
+    return queries.join(_best(seen.unionByName(far), query_key, kept, k), query_key, "left")
