@@ -372,7 +372,7 @@ SELECT p_partkey, p_retailprice > 950 AND t.code IS NOT NULL AS codable, class_c
 FROM p LEFT JOIN taxonomy t ON p.class_code = t.code""",
     "result_join": "SELECT d.doc_id, d.lang, CAST(quality AS BIGINT) AS quality, CAST(toxic AS BIGINT) AS toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id",
     "result_join_dup": "SELECT conv_id, turn, length(text) AS result FROM conversations",
-    "code_label_lookup": "SELECT n_name, CAST(n_regionkey AS VARCHAR) AS code, r_name AS label_code FROM nation LEFT JOIN region ON n_regionkey = r_regionkey",
+    "code_label_lookup": "SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS code, n_name AS label_code FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey",
     "lang_name": f"WITH {LANGUAGES} SELECT doc_id, lang, language, lang_iso_3 FROM documents LEFT JOIN languages USING (lang)",
     "unknown_lang_anti": f"WITH {LANGUAGES} SELECT event_id, left(event_type, 2) AS lang FROM events WHERE left(event_type, 2) NOT IN (SELECT lang FROM languages)",
     "chunk_count": f"WITH {WINDOWS} SELECT count(*) AS n_chunks FROM windows",
@@ -403,13 +403,14 @@ SELECT vec_id, string_agg(CAST(doc AS VARCHAR), ',' ORDER BY pos) AS docs FROM f
     "extract_sections": sections(["description", "tasks", "examples"]),
     "extract_sections_for_prompt": sections(["description", "examples"]),
     "extract_first_line": sections(["description"]),
-    "format_hits": f"""SELECT r_name, string_agg(lpad(CAST(n_nationkey AS VARCHAR), 4, '0') || ': ' || n_name || ' - ' || lower(n_name), {NL} || {NL} ORDER BY n_nationkey) AS categories
-FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name""",
+    "format_hits": f"""WITH t AS ({TOPK})
+SELECT t.vec_id, string_agg(lpad(CAST(neighbour AS VARCHAR), 6, '0') || ': label ' || e.label || ' - vector ' || neighbour, {NL} || {NL} ORDER BY place) AS categories
+FROM t JOIN embeddings e ON e.vec_id = t.neighbour GROUP BY t.vec_id""",
     "keywords_text": "SELECT conv_id, turn, CASE WHEN role <> 'system' THEN array_to_string(list_filter(string_split(text, ' '), lambda x: starts_with(x, 'e')), ', ') END AS keywords FROM conversations",
     "retrieval_query": f"WITH {GAPPY} SELECT id, {query_text('title')} AS query FROM gappy",
     "translation_prompt": f"""WITH {GAPPY}, {LANGUAGES}, g AS (SELECT id, title || ' {{description}}' AS title, description, CASE WHEN lang = 'es' THEN 'un' ELSE lang END AS lang FROM gappy)
 SELECT id, {translation_chat('title', 'description', 'language')} AS translation_prompt FROM g LEFT JOIN languages USING (lang)""",
-    "chat_template": f"""SELECT conv_id, string_agg({turn('role', 'text')}, '' ORDER BY turn) || {lit(CONFIG.chat.generation)} AS chat FROM conversations GROUP BY conv_id""",
+    "chat_template": f"""SELECT conv_id, turn, {turn("'system'", "'Conversation ' || conv_id")} || {turn('role', 'text')} || {lit(CONFIG.chat.generation)} AS chat FROM conversations""",
     "parse_translation": f"""WITH {HALF} SELECT doc_id, kind IN (0, 1, 3, 7) AS parsed, kind IN (0, 3, 7) AS job_desc_extracted,
   CASE WHEN kind IN (0, 1, 7) THEN t END AS title, CASE WHEN kind IN (0, 1, 7) THEN text END AS description,
   CASE WHEN kind IN (0, 1, 7) THEN lang || '|' || source END AS keywords FROM p""",

@@ -12,15 +12,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from jobweave.config import JobConfig
 from jobweave.functions import sections, text as clean
 from jobweave.functions.answers import parse_classification, parse_translation
-from jobweave.functions.prompts import chat_text, retrieval_query
+from jobweave.functions.prompts import chat_text, message, retrieval_query
+from jobweave.joins import lookup_join
 from jobweave.operators import coding, language, report, retrieval
 from jobweave.operators.chunking import chunk_recursive, chunk_words
+from jobweave.operators.label_search import multi_field_hits as multi_field
 from jobweave.operators.generation import generate, offline_classifier, offline_translator
 from jobweave.operators.search import top_k_partitioned
 from jobweave.operators.sharding import contiguous_shards, hash_shard
 from jobweave.plans import stages
-from jobweave.sources.tables import code_table, language_table, read_stage, write_stage
-from jobweave.storage import scratch_path
+from jobweave.sources.tables import (
+    code_table, language_table, read_stage, spread, write_stage,
+)
+from jobweave.storage import materialise, scratch_path
 
 CONFIG = JobConfig()
 
@@ -29,6 +33,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spread(table(spark, sf, name))
+
+
 def four_digits(number: Column) -> Column:
     text = number.cast("string")
     return F.when(F.length(text) >= 4, text).otherwise(F.lpad(text, 4, "0"))
@@ -38,7 +46,7 @@ def four_digits(number: Column) -> Column:
 
 
 def ads(spark, sf) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("id"),
         F.split("text", "\n")[0].alias("title"),
         F.col("text").alias("description"),
@@ -88,7 +96,11 @@ def taxonomy(spark, sf) -> DataFrame:
 
 
 def profile(spark, sf) -> DataFrame:
-    return language.train_profile(table(spark, sf, "documents"))
+    return materialise(language.train_profile(texts(spark, sf, "documents")), "profile")
+
+
+def stored_index(spark, sf) -> DataFrame:
+    return materialise(retrieval.build_label_index(taxonomy(spark, sf), CONFIG), "label-index")
 
 
 # --- sources and sinks -------------------------------------------------------------
@@ -292,15 +304,17 @@ def result_join_dup(spark, sf):
 
 
 def code_label_lookup(spark, sf):
-    labels = table(spark, sf, "region").select(
-        F.col("r_regionkey").cast("string").alias("code"), F.col("r_name").alias("label"),
-        F.col("r_regionkey").alias("pos"),
+    """Every code twice in the labels: the first in load order counts."""
+    first = table(spark, sf, "nation").select(
+        F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("label"),
+        F.col("n_nationkey").alias("pos"),
     )
-    nations = table(spark, sf, "nation").select(
-        "n_name", F.col("n_regionkey").cast("string").alias("code")
+    second = first.select("code", F.lit("later").alias("label"), (F.col("pos") + 100).alias("pos"))
+    customers = table(spark, sf, "customer").select(
+        "c_custkey", F.col("c_nationkey").cast("string").alias("code")
     )
-    found = nations.join(F.broadcast(coding.first_labels(labels)), "code", "left")
-    return found.select("n_name", "code", "label_code")
+    labels = coding.first_labels(first.unionByName(second))
+    return lookup_join(customers, labels, "code").select("c_custkey", "code", "label_code")
 
 
 def lang_name(spark, sf):
@@ -320,7 +334,7 @@ def unknown_lang_anti(spark, sf):
 
 def _pages(step, name):
     def query(spark, sf):
-        return table(spark, sf, "pages").select("page_id", step(F.col("html")).alias(name))
+        return texts(spark, sf, "pages").select("page_id", step(F.col("html")).alias(name))
 
     return query
 
@@ -328,7 +342,7 @@ def _pages(step, name):
 def _documents(step, name, made=lambda key, text: text):
     def query(spark, sf):
         text = made(F.col("doc_id"), F.col("text"))
-        return table(spark, sf, "documents").select("doc_id", step(text).alias(name))
+        return texts(spark, sf, "documents").select("doc_id", step(text).alias(name))
 
     return query
 
@@ -366,7 +380,7 @@ def html_entities_python(spark, sf):
 
 def _sections(paragraphs):
     def query(spark, sf):
-        documents = table(spark, sf, "documents")
+        documents = texts(spark, sf, "documents")
         noted = notes(F.col("doc_id"), F.col("text"))
         return documents.select("doc_id", sections.extract_info(noted, paragraphs).alias("info"))
 
@@ -374,16 +388,17 @@ def _sections(paragraphs):
 
 
 def format_hits(spark, sf):
-    hits = (
-        table(spark, sf, "nation").join(F.broadcast(table(spark, sf, "region")),
-                                        F.col("n_regionkey") == F.col("r_regionkey"))
-        .groupBy("r_name")
-        .agg(F.sort_array(F.collect_list(F.struct(
-            F.col("n_nationkey"), F.lpad(F.col("n_nationkey").cast("string"), 4, "0").alias("code"),
-            F.col("n_name").alias("label"), F.lower("n_name").alias("info"),
-        ))).alias("hits"))
+    """The five nearest vectors of each vector, shown as if they were labels."""
+    vectors = table(spark, sf, "embeddings")
+    corpus = vectors.select(
+        F.lpad(F.col("vec_id").cast("string"), 6, "0").alias("code"),
+        F.concat(F.lit("label "), F.col("label").cast("string")).alias("label"),
+        F.concat(F.lit("vector "), F.col("vec_id").cast("string")).alias("info"), "embedding",
+    )
+    found = retrieval.top_k(
+        vectors, {"hits": F.col("embedding")}, corpus, "embedding", "code", ["label", "info"]
     )
-    return hits.select("r_name", sections.format_hits(F.col("hits")).alias("categories"))
+    return found.select("vec_id", sections.format_hits(F.col("hits")).alias("categories"))
 
 
 def keywords_text(spark, sf):
@@ -405,11 +420,14 @@ def translation_prompt(spark, sf):
 
 
 def chat_template(spark, sf):
-    """The turns of a conversation, in order, as one string."""
-    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("messages")
+    """Each turn as a conversation of its own, after a system message."""
+    messages = F.array(
+        message("system", F.concat(F.lit("Conversation "), F.col("conv_id").cast("string"))),
+        F.struct("role", F.col("text").alias("content")),
+    )
+    return table(spark, sf, "conversations").select(
+        "conv_id", "turn", chat_text(messages, CONFIG.chat).alias("chat")
     )
-    return turns.select("conv_id", chat_text(F.col("messages"), CONFIG.chat).alias("chat"))
 
 
 # --- answers ------------------------------------------------------------------------------------
@@ -433,7 +451,7 @@ def raw_translations(spark, sf) -> DataFrame:
         .when(kind == 6, F.regexp_replace(good, r"\}$", ""))
         .otherwise(good)
     )
-    return table(spark, sf, "documents").select("doc_id", "lang", raw.alias("raw"))
+    return texts(spark, sf, "documents").select("doc_id", "lang", raw.alias("raw"))
 
 
 def parse_translations(spark, sf):
@@ -469,23 +487,23 @@ def parse_props(spark, sf):
 
 
 def chunks_of_words(spark, sf):
-    chunks = chunk_words(table(spark, sf, "documents").select("doc_id", "text"), "text", 100, 10)
+    chunks = chunk_words(texts(spark, sf, "documents").select("doc_id", "text"), "text", 100, 10)
     return chunks.select("doc_id", F.col("chunk_no").cast("bigint").alias("chunk_no"), "chunk")
 
 
 def chunks_recursive(spark, sf):
-    chunks = chunk_recursive(table(spark, sf, "documents").select("doc_id", "text"), "text", 100, 10)
+    chunks = chunk_recursive(texts(spark, sf, "documents").select("doc_id", "text"), "text", 100, 10)
     return chunks.select("doc_id", "chunk_no", "chunk")
 
 
 def chunk_count(spark, sf):
     return report.chunk_count(
-        chunk_words(table(spark, sf, "documents").select("doc_id", "text"), "text", 100, 10)
+        chunk_words(texts(spark, sf, "documents").select("doc_id", "text"), "text", 100, 10)
     )
 
 
 def hash_embed(spark, sf):
-    vectors = table(spark, sf, "documents").select(
+    vectors = texts(spark, sf, "documents").select(
         "doc_id", F.posexplode(retrieval.hash_embed(F.col("text"), 64)).alias("bucket", "weight")
     )
     return vectors.where("weight > 0").select(
@@ -563,16 +581,16 @@ def searched_ads(spark, sf) -> DataFrame:
 
 
 def multi_field_hits(spark, sf):
-    index = retrieval.build_label_index(taxonomy(spark, sf), CONFIG)
-    found = retrieval.multi_field_hits(searched_ads(spark, sf), index, "title_en", "description_en")
+    index = stored_index(spark, sf)
+    found = multi_field(searched_ads(spark, sf), index, "title_en", "description_en")
     return found.select(
         "id", F.array_join(F.transform("hits", lambda h: h["code"]), ",").alias("codes")
     )
 
 
 def multi_field_hits_once(spark, sf):
-    index = retrieval.build_label_index(taxonomy(spark, sf), CONFIG)
-    found = retrieval.multi_field_hits(
+    index = stored_index(spark, sf)
+    found = multi_field(
         searched_ads(spark, sf), index, "title_en", "description_en", once=True
     )
     return found.select(
@@ -589,7 +607,7 @@ def train_lang_profile(spark, sf):
 
 def detect_language(spark, sf):
     found = language.detect_language(
-        table(spark, sf, "documents").select("doc_id", "text"), "text", profile(spark, sf), "doc_id"
+        texts(spark, sf, "documents").select("doc_id", "text"), "text", profile(spark, sf), "doc_id"
     )
     return found.select("doc_id", "lang", F.round("score", 6).alias("score"))
 
@@ -619,14 +637,13 @@ def translate_stage(spark, sf):
 
 
 def prompt_stage(spark, sf):
-    index = retrieval.build_label_index(taxonomy(spark, sf), CONFIG)
-    return stages.prompt_stage(searched_ads(spark, sf), index).select("id", "prompt")
+    return stages.prompt_stage(searched_ads(spark, sf), stored_index(spark, sf)).select("id", "prompt")
 
 
 def classify_stage(spark, sf):
     labels = taxonomy(spark, sf)
-    prompts = stages.prompt_stage(
-        searched_ads(spark, sf), retrieval.build_label_index(labels, CONFIG)
+    prompts = materialise(
+        stages.prompt_stage(searched_ads(spark, sf), stored_index(spark, sf)), "prompts"
     )
     done = stages.classify_stage(prompts, labels, offline_classifier)
     return done.select("id", "codable", "class_code", "likelihood", "label_code", "outcome")
@@ -635,13 +652,20 @@ def classify_stage(spark, sf):
 def all_stages(spark, sf):
     """Ads to submission: detect, translate, search, classify, each stage stored in between."""
     labels = taxonomy(spark, sf)
-    detected = stages.detect_stage(gappy_ads(spark, sf).drop("lang"), profile(spark, sf))
-    translated = stages.translate_stage(
-        detected, "title_clean", "description_clean", offline_translator
-    ).drop("outcome")
-    prompts = stages.prompt_stage(translated, retrieval.build_label_index(labels, CONFIG))
+    detected = materialise(
+        stages.detect_stage(gappy_ads(spark, sf).drop("lang"), profile(spark, sf)), "detected"
+    )
+    translated = materialise(
+        stages.translate_stage(
+            detected, "title_clean", "description_clean", offline_translator
+        ).drop("outcome"),
+        "translated",
+    )
+    prompts = materialise(stages.prompt_stage(translated, stored_index(spark, sf)), "prompts")
     done = stages.classify_stage(prompts, labels, offline_classifier)
-    return coding.submission(done).join(done.select("id", "lang"), "id")
+    return done.select(
+        "id", "lang", F.when(F.col("codable"), F.col("class_code")).alias("class_code")
+    )
 
 
 def documents_by_language(spark, sf):

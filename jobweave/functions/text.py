@@ -53,7 +53,7 @@ def squeeze_spaces(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Unicode whitespace off both ends (``trim`` only knows the space)."""
-    return F.regexp_replace(text, fixed.STRIP_PATTERN, "")
+    return F.trim(text, F.lit(fixed.WHITESPACE))
 
 
 def clean_text(text: Column) -> Column:
@@ -72,7 +72,7 @@ def eol_to_space(text: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-case runs of letters."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}]+"), "")
 
 
 def na_to_null(df: DataFrame) -> DataFrame:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
+from operator import add
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from jobweave import fixed
 from jobweave.config import Limits
 from jobweave.functions.text import eol_to_space, words
-from jobweave.joins import DEFAULT_LIMITS, lookup_join
+from jobweave.joins import DEFAULT_LIMITS, fits_broadcast, lookup_join
 from jobweave.operators.models import Backend, model_column
 
 
@@ -22,22 +26,23 @@ def train_profile(texts: DataFrame, text: str = "text", lang: str = "lang") -> D
     )
 
 
-def _log_shares(profile: DataFrame) -> tuple[DataFrame, list[tuple[str, float]]]:
-    """One row per word with a smoothed log share per language, and the value of unseen words.
+def _log_shares(profile: DataFrame) -> tuple[DataFrame, dict[str, float]]:
+    """One row per word with a smoothed log share per language, and the share of unseen words.
 
     Only the number of words per language, one row each, comes to the driver.
     """
     totals = profile.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()
     vocabulary = profile.agg(F.count_distinct("token")).first()[0]
-    languages = [row["lang"] for row in totals]
-    shares = [
-        F.log((F.coalesce(F.col(lang), F.lit(0)) + 1) / F.lit(float(row["n"] + vocabulary)))
-        .alias(f"lp_{lang}")
-        for lang, row in zip(languages, totals)
-    ]
-    table = profile.groupBy("token").pivot("lang", languages).agg(F.sum("n")).select("token", *shares)
-    unseen = [(row["lang"], float(row["n"] + vocabulary)) for row in totals]
-    return table, unseen
+    sizes = {row["lang"]: float(row["n"] + vocabulary) for row in totals}
+    counts = profile.groupBy("token").pivot("lang", list(sizes)).agg(F.sum("n"))
+    table = counts.select(
+        "token",
+        *(
+            F.log((F.coalesce(F.col(lang), F.lit(0)) + 1) / F.lit(size)).alias(lang)
+            for lang, size in sizes.items()
+        ),
+    )
+    return table, {lang: -math.log(size) for lang, size in sizes.items()}
 
 
 def detect_language(
@@ -49,12 +54,55 @@ def detect_language(
 ) -> DataFrame:
     """Add ``lang, score``: the likeliest language and its share among all languages.
 
-    The score of a language is the geometric mean of its smoothed word shares. Words are
-    exploded and summed by row; the sums are combined inside the task that explodes, so what is
-    shuffled is one short row per text. The row key hashes the key column together with the
-    text, so neither copies of a text nor a repeated key gather in one task.
+    The score of a language is the geometric mean of its smoothed word shares. ``profile`` is read
+    several times, so give a stored one. Within the broadcast bounds every task holds it and
+    scores its own rows, and nothing is shuffled; a larger one is joined word by word.
     """
     table, unseen = _log_shares(profile)
+    if fits_broadcast(table, limits):
+        return _detect_by_row(df, text, table, unseen)
+    return _detect_by_join(df, text, table, unseen, key, limits)
+
+
+def _detect_by_row(
+    df: DataFrame, text: str, table: DataFrame, unseen: dict[str, float]
+) -> DataFrame:
+    """Score each text in the task that has it, with the words looked up in a shared table."""
+    rows = table.select("token", *unseen).toPandas()
+    places = {token: place for place, token in enumerate(rows["token"])}
+    shares = np.vstack([rows[list(unseen)].to_numpy(dtype=float), list(unseen.values())])
+    shared = df.sparkSession.sparkContext.broadcast((places, shares, list(unseen)))
+
+    def score(texts: pd.Series) -> pd.DataFrame:
+        index, log_shares, languages = shared.value
+        none = len(log_shares) - 1
+        found = []
+        for spoken in texts:
+            tokens = spoken.split() if spoken else []
+            if not tokens:
+                found.append((None, None))
+                continue
+            likelihood = np.exp(log_shares[[index.get(t, none) for t in tokens]].mean(axis=0))
+            best = len(languages) - 1 - int(np.argmax(likelihood[::-1]))
+            found.append((languages[best], likelihood[best] / likelihood.sum()))
+        return pd.DataFrame(found, columns=["lang", "score"]).astype({"score": "float64"})
+
+    result = F.pandas_udf(score, "struct<lang:string,score:double>")
+    spoken = F.array_join(words(eol_to_space(F.col(text))), " ")
+    return df.withColumn("_found", result(spoken)).select(
+        *df.columns, F.col("_found.lang").alias("lang"), F.col("_found.score").alias("score")
+    )
+
+
+def _detect_by_join(
+    df: DataFrame, text: str, table: DataFrame, unseen: dict[str, float], key: str, limits: Limits
+) -> DataFrame:
+    """Words are exploded, joined with the table and summed by row.
+
+    Sums are combined inside the task that explodes, so what is shuffled is one short row per
+    text and task. The row key hashes the key column together with the text, so neither copies
+    of a text nor a repeated key gather in one task.
+    """
     row_key = {
         "_row_a": F.xxhash64(F.col(key), F.col(text)),
         "_row_b": F.xxhash64(F.col(text), F.col(key)),
@@ -63,26 +111,24 @@ def detect_language(
     tokens = keyed.select(
         "_row_a", "_row_b", F.explode(words(eol_to_space(F.col(text)))).alias("token")
     )
+    renamed = table.select("token", *(F.col(lang).alias(f"lp_{lang}") for lang in unseen))
     sums = (
-        lookup_join(tokens, table, "token", "left", limits)
+        lookup_join(tokens, renamed, "token", "left", limits)
         .groupBy("_row_a", "_row_b")
         .agg(
             *(
-                F.avg(F.coalesce(F.col(f"lp_{lang}"), F.log(F.lit(1.0 / size)))).alias(lang)
-                for lang, size in unseen
+                F.exp(F.avg(F.coalesce(f"lp_{lang}", F.lit(share)))).alias(f"p_{lang}")
+                for lang, share in unseen.items()
             )
         )
     )
-    likelihoods = [F.exp(F.col(lang)) for lang, _ in unseen]
+    likelihoods = [F.col(f"p_{lang}") for lang in unseen]
     best = F.array_max(
         F.array(*(F.struct(p.alias("p"), F.lit(lang).alias("lang"))
-                  for p, (lang, _) in zip(likelihoods, unseen)))
+                  for p, lang in zip(likelihoods, unseen)))
     )
     scores = sums.select(
-        "_row_a",
-        "_row_b",
-        best.alias("_best"),
-        reduce(lambda a, b: a + b, likelihoods).alias("_all"),
+        "_row_a", "_row_b", best.alias("_best"), reduce(add, likelihoods).alias("_all")
     ).select(
         "_row_a",
         "_row_b",

@@ -38,6 +38,18 @@ def model_column(backend: Backend, text: Column, result_type: str) -> Column:
     return F.pandas_udf(run, result_type)(text)
 
 
+def distinct_texts(df: DataFrame, text_column: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with the key of its text, and each distinct text once, spread evenly over tasks."""
+    keyed = df.withColumn("_text_key", F.md5(F.col(text_column)))
+    distinct = (
+        keyed.select("_text_key", text_column)
+        .where(F.col(text_column).isNotNull())
+        .dropDuplicates(["_text_key"])
+        .hint("rebalance")
+    )
+    return keyed, distinct
+
+
 def once_per_text(
     df: DataFrame, text_column: str, result_column: str, compute: Callable[[Column], Column]
 ) -> DataFrame:
@@ -47,13 +59,7 @@ def once_per_text(
     runs. The join back may meet one text in a third of the rows; the answer side then
     has a single row, and adaptive skew handling splits the row side.
     """
-    keyed = df.withColumn("_text_key", F.md5(F.col(text_column)))
-    distinct = (
-        keyed.select("_text_key", text_column)
-        .where(F.col(text_column).isNotNull())
-        .dropDuplicates(["_text_key"])
-        .hint("rebalance")
-    )
+    keyed, distinct = distinct_texts(df, text_column)
     answers = materialise(
         distinct.select("_text_key", compute(F.col(text_column)).alias(result_column)),
         result_column,

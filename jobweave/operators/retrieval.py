@@ -11,11 +11,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from jobweave.config import JobConfig
-from jobweave.functions.prompts import retrieval_query
-from jobweave.functions.sections import extract_info, keywords_text
+from jobweave.functions.sections import extract_info
 from jobweave.functions.text import words
 from jobweave.operators.chunking import chunk_recursive
-from jobweave.operators.models import Backend, model_column, once_per_text
+from jobweave.operators.models import Backend, model_column
 
 SCORE_DIGITS = 6
 _BATCH_VALUES = 4_000_000  # similarities held at a time in one task
@@ -60,7 +59,7 @@ def label_chunks(labels: DataFrame, config: JobConfig = JobConfig()) -> DataFram
     """Label notes cut to the useful sections, then chunked.
 
     ``info`` is what a prompt shows of a chunk, worked out once here rather than for each hit;
-    ``doc`` identifies content and metadata together.
+    ``doc`` identifies content and metadata together, ``place`` orders the chunks.
     """
     notes = F.col("description")
     if config.truncate_labels:
@@ -75,6 +74,8 @@ def label_chunks(labels: DataFrame, config: JobConfig = JobConfig()) -> DataFram
             "info": extract_info(F.col("chunk"), ["description", "examples"]),
             "doc": F.md5(F.to_json(F.struct(*metadata))),
         }
+    ).withColumn(
+        "place", F.concat_ws("/", "code", F.lpad(F.col("chunk_no").cast("string"), 6, "0"), "doc")
     )
 
 
@@ -100,14 +101,6 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.where(norms == 0, 1.0, norms)
 
 
-def similarities(queries: np.ndarray, corpus: np.ndarray, metric: str) -> np.ndarray:
-    if metric == "cosine":
-        return unit_rows(queries) @ unit_rows(corpus).T
-    if metric == "dot":
-        return queries @ corpus.T
-    raise ValueError(f"unknown metric: {metric}")
-
-
 def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """The k best columns of every row: by rounded score, then by column number."""
     rounded = np.round(scores, SCORE_DIGITS) + 0.0
@@ -139,16 +132,15 @@ def top_k(
     payload: Sequence[str] = (),
     k: int = 5,
     metric: str = "cosine",
-    config: JobConfig = JobConfig(),
 ) -> DataFrame:
     """Add, for each named query vector, the k nearest corpus rows as an ordered array.
 
-    For a corpus within the index bound. Its matrix is broadcast; queries stay where they
-    are and are multiplied batch by batch: no shuffle, and no pair leaves the task that scored
-    it. Ties go to the smaller key. A larger corpus takes ``search.top_k_partitioned``.
+    For a corpus that ``index_fits``. Its matrix is broadcast; queries stay where they are and are
+    multiplied batch by batch: no shuffle, and no pair leaves the task that scored it. Ties go
+    to the smaller key. A larger corpus takes ``search.top_k_partitioned``.
     """
-    if not index_fits(corpus, corpus_vector, config):
-        raise ValueError("corpus over the index bound: use search.top_k_partitioned")
+    if metric not in ("cosine", "dot"):
+        raise ValueError(f"unknown metric: {metric}")
     kept = list(dict.fromkeys([key, *payload]))
     rows = corpus.select(*kept, corpus_vector).orderBy(*kept).toPandas()
     matrix = np.array(rows[corpus_vector].tolist(), dtype=float)
@@ -184,53 +176,3 @@ def ordered_union(*hit_lists: Column) -> Column:
     """The lists one after another, null lists skipped, each hit kept at its first place."""
     present = F.filter(F.array(*hit_lists), lambda hits: hits.isNotNull())
     return F.array_distinct(F.flatten(present))
-
-
-def multi_field_hits(
-    ads: DataFrame,
-    index: DataFrame,
-    title: str,
-    description: str,
-    keywords: str = "keywords",
-    config: JobConfig = JobConfig(),
-    embedder: Backend | None = None,
-    once: bool = False,
-) -> DataFrame:
-    """Add ``hits``: labels near the title, then the description, then the keywords.
-
-    Each field is embedded and searched on the ad's own row, so nothing is shuffled. With
-    ``once`` each distinct query text is embedded a single time instead, for a dear embedder.
-    """
-    queries = {
-        "_title": retrieval_query(F.col(title)),
-        "_description": retrieval_query(F.col(description)),
-        "_keywords": retrieval_query(keywords_text(F.col(keywords))),
-    }
-    if once:
-        asked = ads.withColumns(queries)
-        for name in queries:
-            asked = once_per_text(
-                asked, name, f"{name}_vector", lambda text: embed_column(text, config, embedder)
-            )
-        vectors = {f"{name}_hits": F.col(f"{name}_vector") for name in queries}
-    else:
-        asked = ads
-        vectors = {f"{n}_hits": embed_column(q, config, embedder) for n, q in queries.items()}
-    found = top_k(
-        asked, vectors, index, "embedding", "code", ["chunk_no", "doc", "label", "info"],
-        k=config.top_k, config=config,
-    )
-
-    def without_score(hits: Column) -> Column:
-        # a hit found for two fields has two scores and is still the same hit
-        return F.transform(
-            hits,
-            lambda h: F.struct(
-                h["doc"].alias("doc"), h["code"].alias("code"),
-                h["label"].alias("label"), h["info"].alias("info"),
-            ),
-        )
-
-    lists = [without_score(F.col(name)) for name in vectors]
-    extra = [c for c in found.columns if c not in ads.columns]
-    return found.withColumn("hits", ordered_union(*lists)).drop(*extra)

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from jobweave.storage import materialise
+
 
 def hash_shard(key: Column, shards: int) -> Column:
     """Shard 1..n by hash: no order, no counting, no shuffle. The choice for large runs."""
@@ -24,26 +26,25 @@ def contiguous_shards(
     hash of the row, and copies of one row by a stored row number.
     """
     order = list(order_by)
-    hashed = [f.name for f in df.schema.fields
-              if not any(t in f.dataType.simpleString() for t in ("map", "variant"))]
-    keyed = df.withColumn("_tie", F.xxhash64(*hashed))
-    cuts = _cut_keys(keyed, shards, [*order, "_tie"])
+    cuts = _cut_keys(df, shards, order)
+    if any(skipped for _, skipped in cuts or []):
+        plain = [f.name for f in df.schema.fields
+                 if not any(t in f.dataType.simpleString() for t in ("map", "variant"))]
+        df, order = df.withColumn("_tie", F.xxhash64(*plain)), [*order, "_tie"]
+        cuts = _cut_keys(df, shards, order)
     if cuts is None:
         return df.withColumn(column, F.lit(shards))
 
-    here = F.struct(*[*order, "_tie"])
-    split = [key for key, skipped in cuts if skipped > 0]
-    plain = keyed
-    if split:
-        at_cut = _any(here.eqNullSafe(_literal(key, keyed, order)) for key in split)
-        plain = keyed.where(~at_cut)
+    here = F.struct(*order)
+    split = {key for key, skipped in cuts if skipped}
+    at_cut = _any(here.eqNullSafe(_literal(key, df, order)) for key in split)
     shard = F.lit(1)
     for key, _ in cuts:
-        shard = shard + (here >= _literal(key, keyed, order)).cast("int")
-    result = plain.withColumn(column, shard).drop("_tie")
+        shard = shard + (here >= _literal(key, df, order)).cast("int")
+    result = (df.where(~at_cut) if split else df).withColumn(column, shard).drop("_tie")
     if split:
-        copies = keyed.where(at_cut).withColumn("_copy", F.monotonically_increasing_id()).checkpoint()
-        for key in {tuple(k) for k in split}:
+        copies = df.where(at_cut).withColumn("_copy", F.monotonically_increasing_id()).checkpoint()
+        for key in split:
             result = result.unionByName(_split_copies(copies, cuts, key, order, column))
     return result
 
@@ -56,9 +57,8 @@ def _any(conditions) -> Column:
 
 
 def _literal(key: Sequence, df: DataFrame, order: Sequence[str]) -> Column:
-    names = [*order, "_tie"]
     types = dict(df.dtypes)
-    return F.struct(*(F.lit(v).cast(types[n]).alias(n) for v, n in zip(key, names)))
+    return F.struct(*(F.lit(v).cast(types[n]).alias(n) for v, n in zip(key, order)))
 
 
 def _cut_keys(df: DataFrame, shards: int, order: Sequence[str]) -> list[tuple] | None:
@@ -67,11 +67,11 @@ def _cut_keys(df: DataFrame, shards: int, order: Sequence[str]) -> list[tuple] |
     Keys are counted (copies combine before the shuffle), range partitioned, and stored with
     the number of their range, because ranks are only right if both passes see the same ranges.
     """
-    counted = (
+    counted = materialise(
         df.groupBy(*order).agg(F.count(F.lit(1)).alias("_n"))
         .repartitionByRange(*order)
-        .withColumn("_range", F.spark_partition_id())
-        .checkpoint()
+        .withColumn("_range", F.spark_partition_id()),
+        "keys",
     )
     ranges = counted.groupBy("_range").agg(F.sum("_n").alias("_n")).orderBy("_range").collect()
     total = sum(row["_n"] for row in ranges)
@@ -101,7 +101,7 @@ def _split_copies(
     copies: DataFrame, cuts: list[tuple], key: tuple, order: Sequence[str], column: str
 ) -> DataFrame:
     """Shards of the rows that share one cut key, by their stored row number."""
-    here = F.struct(*[*order, "_tie"])
+    here = F.struct(*order)
     group = copies.where(here.eqNullSafe(_literal(key, copies, order)))
     shard = F.lit(1)
     for cut_key, skipped in cuts:

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobweave.config import JobConfig
+from jobweave.fixed import LANGUAGES
 from jobweave.functions.prompts import (
     chat_text, classification_messages, translation_messages,
 )
@@ -22,11 +23,12 @@ from jobweave.operators.coding import (
     apply_overrides, read_classifications, read_translations, submission,
 )
 from jobweave.operators.generation import generate
+from jobweave.operators.label_search import multi_field_hits
 from jobweave.operators.language import (
     detect_language, detect_language_with, relabel_unlisted, relabel_weak,
 )
 from jobweave.operators.models import Backend
-from jobweave.operators.retrieval import build_label_index, multi_field_hits, write_label_index
+from jobweave.operators.retrieval import build_label_index, write_label_index
 from jobweave.operators.sharding import contiguous_shards
 from jobweave.sources.tables import (
     language_table, read_ads, read_labels, read_stage, write_stage, write_submission,
@@ -158,7 +160,8 @@ def run_detect(
     config: JobConfig = DEFAULT,
 ) -> None:
     ads = read_ads(spark, paths.ads, limit=limit)
-    write_stage(detect_stage(ads, profile, detector, overrides, config), paths.detected, ["lang"])
+    done = detect_stage(ads, profile, detector, overrides, config)
+    write_stage(done, paths.detected, ["lang"], replaces=[code for _, code, _ in LANGUAGES])
 
 
 def run_translate(
@@ -174,7 +177,7 @@ def run_translate(
     ads = _part(spark, paths.detected, languages, shard, config)
     if ads is not None:
         done = translate_stage(ads, title, description, translator, config).drop("outcome")
-        write_stage(done, paths.translated, ["lang", "job_desc_extracted"], shard)
+        write_stage(done, paths.translated, ["lang", "job_desc_extracted"], shard, languages)
 
 
 def run_index(
@@ -203,7 +206,7 @@ def run_prompts(
     if ads is not None:
         index = spark.read.parquet(paths.index)
         done = prompt_stage(ads, index, title, description, config=config, embedder=embedder)
-        write_stage(done, paths.prompts, ["lang", "job_desc_extracted"], shard)
+        write_stage(done, paths.prompts, ["lang", "job_desc_extracted"], shard, languages)
 
 
 def run_classify(
@@ -220,7 +223,7 @@ def run_classify(
     if prompts is not None:
         labels = read_labels(spark, paths.labels)
         done = classify_stage(prompts, labels, classifier, codes, config).drop("outcome")
-        write_stage(done, paths.predicted, ["lang", "job_desc_extracted", "codable"], shard)
+        write_stage(done, paths.predicted, ["lang", "job_desc_extracted", "codable"], shard, languages)
         predicted = read_stage(spark, paths.predicted, languages)
         if shard is not None:
             predicted = predicted.where(F.col("shard") == shard)

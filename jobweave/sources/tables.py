@@ -37,7 +37,18 @@ def read_csv_table(
     return table if limit is None else table.limit(limit)
 
 
-read_ads = read_csv_table
+def read_ads(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
+    return spread(read_csv_table(spark, path, **options))
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A scan of few splits over all cores, because the work on its texts is heavy.
+
+    A scan that already has a split per core, as any large table does, is left alone. For
+    plain scans only: asking a plan with a shuffle for its partitions would run it.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
 def read_labels(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
@@ -79,17 +90,41 @@ def read_stage(
     return table
 
 
+def _clear(
+    spark: SparkSession, path: str, partition_cols: Sequence[str], languages: Iterable[str],
+    shard: int | None,
+) -> None:
+    """Remove what an earlier run left for these languages (and this shard)."""
+    below = "".join(f"/{c}=*" for c in partition_cols[1:])
+    tail = "" if shard is None else f"{below}/shard={shard}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for language in languages:
+        pattern = hadoop(f"{path}/lang={language}{tail}")
+        files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in files.globStatus(pattern) or []:
+            files.delete(status.getPath(), True)
+
+
 def write_stage(
-    df: DataFrame, path: str, partition_cols: Sequence[str], shard: int | None = None
+    df: DataFrame,
+    path: str,
+    partition_cols: Sequence[str],
+    shard: int | None = None,
+    replaces: Iterable[str] = (),
 ) -> None:
     """Write by partition; partitions not in ``df`` stay, those in it are replaced.
 
+    ``replaces`` names languages whose old rows go as a whole. A row whose answer changes between
+    two runs changes its partition as well, and would otherwise be there twice.
+
+
     The rebalance step collects each partition value into files of the advisory size and splits
     a heavy value (one language may hold most rows) over many tasks by measured size. A shard
     gets its own partition level, so that shards written one after another do not replace
     each other.
     """
     cols = list(partition_cols)
+    _clear(df.sparkSession, path, cols, replaces, shard)
     if shard is not None:
         df, cols = df.withColumn("shard", F.lit(shard)), [*cols, "shard"]
     (
