@@ -19,6 +19,11 @@ def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
+# The optimizer copies a deterministic expression to each place that reads it, and with it
+# the whole cleaning chain; it leaves one that may not be repeated in its place.
+_unescape = _unescape.asNondeterministic()
+
+
 def unescape_entities(text: Column) -> Column:
     """HTML entities to characters. Texts without ``&`` are not sent to Python."""
     return F.coalesce(_unescape(F.when(F.contains(text, F.lit("&")), text)), text)

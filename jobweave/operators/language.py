@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from jobweave import fixed
 from jobweave.config import Limits
 from jobweave.functions.text import eol_to_space, words
-from jobweave.joins import DEFAULT_LIMITS, fits_broadcast, lookup_join
+from jobweave.joins import DEFAULT_LIMITS, lookup_join
 from jobweave.operators.models import Backend, model_column
 
 
@@ -26,25 +26,6 @@ def train_profile(texts: DataFrame, text: str = "text", lang: str = "lang") -> D
     )
 
 
-def _log_shares(profile: DataFrame) -> tuple[DataFrame, dict[str, float]]:
-    """One row per word with a smoothed log share per language, and the share of unseen words.
-
-    Only the number of words per language, one row each, comes to the driver.
-    """
-    totals = profile.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()
-    vocabulary = profile.agg(F.count_distinct("token")).first()[0]
-    sizes = {row["lang"]: float(row["n"] + vocabulary) for row in totals}
-    counts = profile.groupBy("token").pivot("lang", list(sizes)).agg(F.sum("n"))
-    table = counts.select(
-        "token",
-        *(
-            F.log((F.coalesce(F.col(lang), F.lit(0)) + 1) / F.lit(size)).alias(lang)
-            for lang, size in sizes.items()
-        ),
-    )
-    return table, {lang: -math.log(size) for lang, size in sizes.items()}
-
-
 def detect_language(
     df: DataFrame,
     text: str,
@@ -58,8 +39,20 @@ def detect_language(
     several times, so give a stored one. Within the broadcast bounds every task holds it and
     scores its own rows, and nothing is shuffled; a larger one is joined word by word.
     """
-    table, unseen = _log_shares(profile)
-    if fits_broadcast(table, limits):
+    totals = profile.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()
+    vocabulary, longest = profile.agg(F.count_distinct("token"), F.max(F.octet_length("token"))).first()
+    sizes = {row["lang"]: float(row["n"] + vocabulary) for row in totals}
+    unseen = {lang: -math.log(size) for lang, size in sizes.items()}
+    counts = profile.groupBy("token").pivot("lang", list(sizes)).agg(F.sum("n"))
+    table = counts.select(
+        "token",
+        *(
+            F.log((F.coalesce(F.col(lang), F.lit(0)) + 1) / F.lit(size)).alias(lang)
+            for lang, size in sizes.items()
+        ),
+    )
+    at_most = vocabulary * ((longest or 0) + 8 * len(sizes))
+    if vocabulary <= limits.broadcast_rows and at_most <= limits.broadcast_bytes:
         return _detect_by_row(df, text, table, unseen)
     return _detect_by_join(df, text, table, unseen, key, limits)
 
@@ -68,9 +61,11 @@ def _detect_by_row(
     df: DataFrame, text: str, table: DataFrame, unseen: dict[str, float]
 ) -> DataFrame:
     """Score each text in the task that has it, with the words looked up in a shared table."""
-    rows = table.select("token", *unseen).toPandas()
-    places = {token: place for place, token in enumerate(rows["token"])}
-    shares = np.vstack([rows[list(unseen)].to_numpy(dtype=float), list(unseen.values())])
+    rows = table.toArrow()
+    places = {token: place for place, token in enumerate(rows["token"].to_pylist())}
+    shares = np.column_stack(
+        [np.append(rows[lang].to_numpy(), share) for lang, share in unseen.items()]
+    )
     shared = df.sparkSession.sparkContext.broadcast((places, shares, list(unseen)))
 
     def score(texts: pd.Series) -> pd.DataFrame:

@@ -20,7 +20,10 @@ Backend = Callable[[], Model]
 
 
 def model_column(backend: Backend, text: Column, result_type: str) -> Column:
-    """The backend's result for each text. Struct types take a frame from the model."""
+    """The backend's result for each text. Struct types take a frame from the model.
+
+    Marked as not repeatable, so that the optimizer never puts a second call into a plan.
+    """
     if result_type.startswith("struct"):
 
         def run_struct(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -28,14 +31,14 @@ def model_column(backend: Backend, text: Column, result_type: str) -> Column:
             for batch in batches:
                 yield model(batch)
 
-        return F.pandas_udf(run_struct, result_type)(text)
+        return F.pandas_udf(run_struct, result_type).asNondeterministic()(text)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = backend()
         for batch in batches:
             yield model(batch)
 
-    return F.pandas_udf(run, result_type)(text)
+    return F.pandas_udf(run, result_type).asNondeterministic()(text)
 
 
 def distinct_texts(df: DataFrame, text_column: str) -> tuple[DataFrame, DataFrame]:

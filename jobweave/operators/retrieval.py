@@ -142,12 +142,12 @@ def top_k(
     if metric not in ("cosine", "dot"):
         raise ValueError(f"unknown metric: {metric}")
     kept = list(dict.fromkeys([key, *payload]))
-    rows = corpus.select(*kept, corpus_vector).orderBy(*kept).toPandas()
-    matrix = np.array(rows[corpus_vector].tolist(), dtype=float)
-    if metric == "cosine" and len(rows):
+    rows = corpus.select(*kept, corpus_vector).orderBy(*kept).toArrow()
+    matrix = np.array(rows[corpus_vector].to_pylist(), dtype=float)
+    if metric == "cosine" and len(matrix):
         matrix = unit_rows(matrix)
     spark = corpus.sparkSession
-    shared = spark.sparkContext.broadcast((matrix, rows[kept].to_dict("records")))
+    shared = spark.sparkContext.broadcast((matrix, rows.select(kept).to_pylist()))
     hit_type = StructType(
         [StructField(n, corpus.schema[n].dataType) for n in kept] + [StructField("score", DoubleType())]
     )
