@@ -15,7 +15,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from jobweave.operators.retrieval import SCORE_DIGITS, best_columns, unit_rows
 from jobweave.storage import materialise
@@ -32,7 +32,7 @@ def _centres(corpus: DataFrame, key: str, vector: str, cells: int) -> np.ndarray
         corpus.select(F.xxhash64(key).alias("h"), key, vector)
         .orderBy("h", key).limit(cells).select(vector).collect()
     )
-    return unit_rows(np.array([row[0] for row in rows], dtype=float))
+    return unit_rows(np.array([row[0] for row in rows], dtype=float)) if rows else np.empty((0, 0))
 
 
 def _stack(vectors: pd.Series) -> np.ndarray:
@@ -156,7 +156,7 @@ def top_k_partitioned(
     centres = _centres(searchable, key, corpus_vector, n_cells)
     hit_type = StructType([*(corpus.schema[c] for c in kept), StructField("score", DoubleType())])
     if not len(centres):
-        return queries.withColumn("hits", F.array().cast(f"array<{hit_type.simpleString()}>"))
+        return queries.withColumn("hits", F.array().cast(ArrayType(hit_type)))
 
     assigned = materialise(
         searchable.select(
