@@ -12,21 +12,21 @@ DEFAULT_LIMITS = Limits()
 
 
 def fits_broadcast(df: DataFrame, limits: Limits = DEFAULT_LIMITS) -> bool:
-    """Whether ``df`` is within the broadcast bounds: one aggregation that stops at the row bound."""
+    """Whether ``df`` is within the broadcast bounds, measured by one aggregation over it."""
     sizes = [F.coalesce(F.length(F.to_json(F.struct(df[c]))), F.lit(0)) for c in df.columns]
-    rows, size = (
-        df.limit(limits.broadcast_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(sizes[1:], sizes[0])), F.lit(0)))
-        .first()
-    )
+    rows, size = df.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(sum(sizes[1:], sizes[0])), F.lit(0))
+    ).first()
     return rows <= limits.broadcast_rows and size <= limits.broadcast_bytes
 
 
-def row_salt(df: DataFrame, salts: int) -> Column:
-    """A salt computed from the row's content, so that a retried task gives the same one."""
-    plain = [f.name for f in df.schema.fields if "map" not in f.dataType.simpleString()
-             and "variant" not in f.dataType.simpleString()]
-    return F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
+def content_hash(df: DataFrame) -> Column:
+    """A hash of the whole row. Unlike a random number, a retried task gives the same one."""
+    unhashable = ("map", "variant")
+    return F.xxhash64(
+        *(f.name for f in df.schema.fields
+          if not any(kind in f.dataType.simpleString() for kind in unhashable))
+    )
 
 
 def lookup_join(
@@ -45,7 +45,9 @@ def lookup_join(
     keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(lookup, limits):
         return rows.join(F.broadcast(lookup), keys, how)
-    salted = rows.withColumn("_salt", row_salt(rows, limits.salts))
+    salted = rows.withColumn(
+        "_salt", F.pmod(content_hash(rows), F.lit(limits.salts)).cast("int")
+    )
     repeated = lookup.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.lit(limits.salts - 1)))
     )

@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from jobweave.joins import content_hash
 from jobweave.storage import materialise
 
 Model = Callable[[pd.Series], "pd.Series | pd.DataFrame"]
@@ -42,11 +43,16 @@ def model_column(backend: Backend, text: Column, result_type: str) -> Column:
 
 
 def distinct_texts(df: DataFrame, text_column: str) -> tuple[DataFrame, DataFrame]:
-    """``df`` with the key of its text, and each distinct text once, spread evenly over tasks."""
-    keyed = df.withColumn("_text_key", F.md5(F.col(text_column)))
+    """``df`` with the key of its text, and each distinct text once, spread evenly over tasks.
+
+    Rows without a text get a key of their own that meets nothing, so that they spread as well.
+    """
+    keyed = df.withColumn(
+        "_text_key", F.coalesce(F.md5(F.col(text_column)), F.hex(content_hash(df)))
+    )
     distinct = (
-        keyed.select("_text_key", text_column)
-        .where(F.col(text_column).isNotNull())
+        keyed.where(F.col(text_column).isNotNull())
+        .select("_text_key", text_column)
         .dropDuplicates(["_text_key"])
         .hint("rebalance")
     )

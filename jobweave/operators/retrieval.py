@@ -118,9 +118,8 @@ def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, list[np.ndarra
 
 def index_fits(corpus: DataFrame, vector: str, config: JobConfig = JobConfig()) -> bool:
     """Whether the corpus is small enough to be held as one matrix in every task."""
-    limit = config.limits.index_values
-    values = corpus.select(F.size(vector).alias("n")).limit(limit + 1).agg(F.sum("n")).first()[0]
-    return (values or 0) <= limit
+    values = corpus.agg(F.sum(F.size(vector))).first()[0]
+    return (values or 0) <= config.limits.index_values
 
 
 def top_k(

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from jobweave.joins import content_hash
 from jobweave.storage import materialise
 
 
@@ -28,9 +29,7 @@ def contiguous_shards(
     order = list(order_by)
     cuts = _cut_keys(df, shards, order)
     if any(skipped for _, skipped in cuts or []):
-        plain = [f.name for f in df.schema.fields
-                 if not any(t in f.dataType.simpleString() for t in ("map", "variant"))]
-        df, order = df.withColumn("_tie", F.xxhash64(*plain)), [*order, "_tie"]
+        df, order = df.withColumn("_tie", content_hash(df)), [*order, "_tie"]
         cuts = _cut_keys(df, shards, order)
     if cuts is None:
         return df.withColumn(column, F.lit(shards))

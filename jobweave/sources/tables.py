@@ -37,8 +37,12 @@ def read_csv_table(
     return table if limit is None else table.limit(limit)
 
 
-def read_ads(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
-    return spread(read_csv_table(spark, path, **options))
+def read_ads(
+    spark: SparkSession, path: str | list[str], limit: int | None = None, **options
+) -> DataFrame:
+    """The ads, at most the first ``limit`` of them, over all cores."""
+    ads = read_csv_table(spark, path, limit=limit, **options)
+    return spread(ads) if limit is None else ads.repartition(spark.sparkContext.defaultParallelism)
 
 
 def spread(table: DataFrame) -> DataFrame:
@@ -136,11 +140,14 @@ def write_stage(
     )
 
 
-def write_submission(df: DataFrame, path: str, sort: str = "id") -> None:
-    """Two columns without a header; the part files in name order are one sorted file.
+def write_submission(df: DataFrame, path: str, sort: str | None = None) -> None:
+    """Two columns without a header, in as many part files as there are tasks.
 
-    The sort is by ranges over all tasks; nothing is funnelled into one file.
+    With ``sort`` the part files in name order are one sorted file. It sorts by ranges, and a
+    value that fills more than one task is cut by where its rows came from.
     """
-    df.orderBy(sort).write.mode("overwrite").option("header", False).option(
-        "nullValue", ""
-    ).option("emptyValue", "").option("escape", '"').csv(path)
+    if sort is not None:
+        df = df.withColumn("_from", F.spark_partition_id()).orderBy(sort, "_from").drop("_from")
+    df.write.mode("overwrite").option("header", False).option("nullValue", "").option(
+        "emptyValue", ""
+    ).option("escape", '"').csv(path)

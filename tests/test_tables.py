@@ -58,7 +58,7 @@ def test_null_partition_value(spark, tmp_path):
 def test_submission_file(spark, tmp_path):
     path = str(tmp_path / "out")
     df = spark.createDataFrame([("3", "0110"), ("1", None), ("2", "a,b")], "id string, class_code string")
-    write_submission(df, path)
+    write_submission(df, path, "id")
     parts = sorted(glob.glob(path + "/part-*"))
     assert "".join(open(p).read() for p in parts) == '1,\n2,"a,b"\n3,0110\n'
 
