@@ -113,17 +113,19 @@ EXAMPLE_HEADINGS = [
 ]
 
 # --- Fixed values: cleaning ----------------------------------------------------
-# WHITESPACE holds the characters that str.strip takes off; the patterns are Java patterns.
+# The patterns are Java patterns. [\s\x1c-\x1f] under (?U) matches what str.strip takes off; that class is
+# one test per character, where the same characters listed one by one are more than twenty.
 
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 TAG_PATTERN = r"<[^<]+?>"
-URL_PATTERN = rf"https?://(?:www\.)?[^{WHITESPACE}/$.?#][^\n][^{WHITESPACE}]*"
-STAR_PATTERN = rf"\*[{WHITESPACE}*]*"
-SPACES_PATTERN = rf"[{WHITESPACE}]{{2,}}"
+URL_PATTERN = r"(?U)https?://(?:www\.)?[^\s\x1c-\x1f/$.?#][^\n][^\s\x1c-\x1f]*"
+STAR_PATTERN = r"(?U)\*[\s\x1c-\x1f*]*"
+SPACES_PATTERN = r"(?U)[\s\x1c-\x1f]{2,}"
 NO_BREAK_SPACE = "\u00a0"
 JAVASCRIPT_NOTICE = "You need to enable JavaScript to run this app"
 CAPTCHA_NOTICE = "reCAPTCHA check page"

@@ -75,9 +75,14 @@ def eol_to_space(text: Column) -> Column:
     return F.translate(text, "\r\n", "  ")
 
 
+def word_text(text: Column) -> Column:
+    """Lower-case runs of letters with one space between (and perhaps around) them."""
+    return F.regexp_replace(F.lower(text), r"\P{L}+", " ")
+
+
 def words(text: Column) -> Column:
     """Lower-case runs of letters."""
-    return F.array_remove(F.split(F.lower(text), r"[^\p{L}]+"), "")
+    return F.array_remove(F.split(F.lower(text), r"\P{L}+"), "")
 
 
 def na_to_null(df: DataFrame) -> DataFrame:

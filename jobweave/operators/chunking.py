@@ -86,7 +86,7 @@ def chunk_recursive(
 def word_windows(text: Column, size: int, overlap: int) -> Column:
     """Overlapping windows of ``size`` words as an array, without Python."""
     step = size - overlap
-    tokens = F.filter(F.split(text, f"[{fixed.WHITESPACE}]+"), lambda t: t != "")
+    tokens = F.filter(F.split(text, fixed.SPACE_RUN), lambda t: t != "")
 
     def windows(t: Column) -> Column:
         last = F.greatest(F.ceil((F.size(t) - F.lit(size)) / F.lit(step)), F.lit(0)).cast("int")

@@ -20,7 +20,8 @@ def generate(
 
     Each distinct prompt is answered once and the answers are stored before anything reads
     them: a repeated task must not give a second, different answer. A prompt longer than
-    ``max_words`` is not sent; its answer is null, which reads as unparsable later on.
+    ``max_words`` is not sent; its answer is null, which reads as unparsable later on. A backend
+    takes its settings when it is made, such as ``partial(my_model, config.sampling)``.
     """
     sent = F.col(prompt)
     if max_words is not None:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from jobweave import fixed
 from jobweave.config import Limits
-from jobweave.functions.text import eol_to_space, words
+from jobweave.functions.text import eol_to_space, word_text, words
 from jobweave.joins import DEFAULT_LIMITS, lookup_join
 from jobweave.operators.models import Backend, model_column
 
@@ -83,8 +83,7 @@ def _detect_by_row(
         return pd.DataFrame(found, columns=["lang", "score"]).astype({"score": "float64"})
 
     result = F.pandas_udf(score, "struct<lang:string,score:double>")
-    spoken = F.array_join(words(eol_to_space(F.col(text))), " ")
-    return df.withColumn("_found", result(spoken)).select(
+    return df.withColumn("_found", result(word_text(eol_to_space(F.col(text))))).select(
         *df.columns, F.col("_found.lang").alias("lang"), F.col("_found.score").alias("score")
     )
 

@@ -46,7 +46,13 @@ def distinct_texts(df: DataFrame, text_column: str) -> tuple[DataFrame, DataFram
     """``df`` with the key of its text, and each distinct text once, spread evenly over tasks.
 
     Rows without a text get a key of their own that meets nothing, so that they spread as well.
+    The number of tasks is set rather than left to the size in bytes: a few megabytes of
+    prompts can be hours of work for a model.
     """
+    session = df.sparkSession
+    tasks = max(
+        session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions"))
+    )
     keyed = df.withColumn(
         "_text_key", F.coalesce(F.md5(F.col(text_column)), F.hex(content_hash(df)))
     )
@@ -54,7 +60,7 @@ def distinct_texts(df: DataFrame, text_column: str) -> tuple[DataFrame, DataFram
         keyed.where(F.col(text_column).isNotNull())
         .select("_text_key", text_column)
         .dropDuplicates(["_text_key"])
-        .hint("rebalance")
+        .repartition(tasks)
     )
     return keyed, distinct
 

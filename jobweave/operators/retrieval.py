@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from jobweave.config import JobConfig
 from jobweave.functions.sections import extract_info
-from jobweave.functions.text import words
+from jobweave.functions.text import word_text
 from jobweave.operators.chunking import chunk_recursive
 from jobweave.operators.models import Backend, model_column
 
@@ -43,7 +43,7 @@ def hash_embed(text: Column, dimensions: int) -> Column:
 
         return texts.map(vector, na_action="ignore")
 
-    return F.pandas_udf(embed, "array<double>")(F.array_join(words(text), " "))
+    return F.pandas_udf(embed, "array<double>")(word_text(text))
 
 
 def embed_column(text: Column, config: JobConfig, backend: Backend | None = None) -> Column:

@@ -89,3 +89,16 @@ def test_cleaning_runs_once(spark):
     df = T.clean_ads(spark.createDataFrame([("1", "a", "b")], "id string, title string, description string"))
     plan = df.withColumn("n", F.length("description_clean"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_every_whitespace_character_is_squeezed(rows):
+    others = "᠎​⁠﻿_-a0"
+    texts = ["x" + c * 3 + "y" for c in fixed.WHITESPACE + others]
+    want = ["x y"] * len(fixed.WHITESPACE) + ["x" + c * 3 + "y" for c in others]
+    assert rows(texts, T.squeeze_spaces) == want
+    assert rows([c + "x" + c for c in fixed.WHITESPACE], T.strip) == ["x"] * len(fixed.WHITESPACE)
+
+
+def test_word_text_has_the_same_words(rows):
+    texts = ["Äb 1c-d_e", "12", "", "áb Σς"]
+    assert [t.split() for t in rows(texts, T.word_text)] == rows(texts, T.words)
