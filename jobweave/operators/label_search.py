@@ -7,27 +7,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from jobweave.config import JobConfig
 from jobweave.functions.prompts import retrieval_query
 from jobweave.functions.sections import keywords_text
-from jobweave.operators.models import Backend, distinct_texts, once_per_text
+from jobweave.operators.models import Backend, distinct_texts, join_by_text
 from jobweave.operators.retrieval import embed_column, index_fits, ordered_union, top_k
 from jobweave.operators.search import top_k_partitioned
+from jobweave.storage import materialise
 
 SHOWN = ("doc", "code", "label", "info")
 
 
-def _search_distinct(
-    asked: DataFrame, field: str, index: DataFrame, config: JobConfig, embedder: Backend | None
-) -> DataFrame:
-    """Hits of one field from an index too large for one task; the distinct texts are the queries."""
-    keyed, texts = distinct_texts(asked, field)
-    vectors = texts.select("_text_key", embed_column(F.col(field), config, embedder).alias("vector"))
-    hits = top_k_partitioned(
-        vectors, "_text_key", "vector", index, "place", "embedding", SHOWN, config.top_k
-    )
-    return keyed.join(
-        hits.select("_text_key", F.col("hits").alias(f"{field}_hits")), "_text_key", "left"
-    ).drop("_text_key")
-
-
 def multi_field_hits(
     ads: DataFrame,
     index: DataFrame,
@@ -41,39 +28,52 @@ def multi_field_hits(
     """Add ``hits``: labels near the title, then the description, then the keywords.
 
     With an index within the bound each field is embedded and searched on the ad's own row, so
-    nothing is shuffled. With ``once`` each distinct query text is embedded a single time
-    first, for a dear embedder. ``index`` is read more than once, so give a stored one.
+    nothing is shuffled. With ``once``, for a dear embedder, or with a larger index, the distinct
+    texts of all fields are embedded and searched once and the hits are joined back. ``index``
+    is read more than once, so give a stored one.
     """
     queries = {
         "_title": retrieval_query(F.col(title)),
         "_description": retrieval_query(F.col(description)),
         "_keywords": retrieval_query(keywords_text(F.col(keywords))),
     }
-    if not index_fits(index, "embedding", config):
-        found = ads.withColumns(queries)
-        for field in queries:
-            found = _search_distinct(found, field, index, config, embedder)
+    fits = index_fits(index, "embedding", config)
+    if fits and not once:
+        vectors = {f: embed_column(query, config, embedder) for f, query in queries.items()}
+        found = top_k(ads, vectors, index, "embedding", "place", SHOWN, config.top_k)
     else:
-        if once:
-            asked = ads.withColumns(queries)
-            for field in queries:
-                asked = once_per_text(
-                    asked, field, f"{field}_vector",
-                    lambda text: embed_column(text, config, embedder),
-                )
-            vectors = {f"{field}_hits": F.col(f"{field}_vector") for field in queries}
-        else:
-            asked = ads
-            vectors = {
-                f"{field}_hits": embed_column(query, config, embedder)
-                for field, query in queries.items()
-            }
-        found = top_k(asked, vectors, index, "embedding", "place", SHOWN, config.top_k)
+        found = _search_distinct(ads.withColumns(queries), list(queries), index, fits, config, embedder)
 
-    def shown(field: str) -> Column:
+    def shown(hits: str) -> Column:
         # a label found for two fields has two scores and is still the same label
-        return F.transform(
-            f"{field}_hits", lambda h: F.struct(*(h[name].alias(name) for name in SHOWN))
-        )
+        return F.transform(hits, lambda h: F.struct(*(h[name].alias(name) for name in SHOWN)))
 
     return found.withColumn("hits", ordered_union(*map(shown, queries))).select(*ads.columns, "hits")
+
+
+def _search_distinct(
+    asked: DataFrame,
+    fields: list[str],
+    index: DataFrame,
+    fits: bool,
+    config: JobConfig,
+    embedder: Backend | None,
+) -> DataFrame:
+    """Each field's text replaced by its hits."""
+    keyed, texts = distinct_texts(asked, *fields)
+    vectors = materialise(
+        texts.select("_text_key", embed_column(F.col("_text"), config, embedder).alias("vector")),
+        "query-vectors",
+    )
+    if fits:
+        search = {"hits": F.col("vector")}
+        found = top_k(vectors, search, index, "embedding", "place", SHOWN, config.top_k)
+    else:
+        found = top_k_partitioned(
+            vectors, "_text_key", "vector", index, "place", "embedding", SHOWN, config.top_k
+        )
+    hits = materialise(found.select("_text_key", "hits"), "hits")
+    keyed = keyed.drop(*fields)
+    for field in fields:
+        keyed = join_by_text(keyed, field, hits.withColumnRenamed("hits", field))
+    return keyed

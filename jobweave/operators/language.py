@@ -8,6 +8,7 @@ from operator import add
 
 import numpy as np
 import pandas as pd
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from jobweave import fixed
@@ -20,7 +21,8 @@ from jobweave.operators.models import Backend, model_column
 def train_profile(texts: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """Word counts per language from labelled texts: ``token, lang, n``."""
     return (
-        texts.select(F.col(lang).alias("lang"), F.explode(words(F.col(text))).alias("token"))
+        texts.where(F.col(lang).isNotNull())
+        .select(F.col(lang).alias("lang"), F.explode(words(F.col(text))).alias("token"))
         .groupBy("token", "lang")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -39,34 +41,29 @@ def detect_language(
     several times, so give a stored one. Within the broadcast bounds every task holds it and
     scores its own rows, and nothing is shuffled; a larger one is joined word by word.
     """
-    totals = profile.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()
-    vocabulary, longest = profile.agg(F.count_distinct("token"), F.max(F.octet_length("token"))).first()
-    sizes = {row["lang"]: float(row["n"] + vocabulary) for row in totals}
-    unseen = {lang: -math.log(size) for lang, size in sizes.items()}
-    counts = profile.groupBy("token").pivot("lang", list(sizes)).agg(F.sum("n"))
-    table = counts.select(
-        "token",
-        *(
-            F.log((F.coalesce(F.col(lang), F.lit(0)) + 1) / F.lit(size)).alias(lang)
-            for lang, size in sizes.items()
-        ),
-    )
-    at_most = vocabulary * ((longest or 0) + 8 * len(sizes))
-    if vocabulary <= limits.broadcast_rows and at_most <= limits.broadcast_bytes:
-        return _detect_by_row(df, text, table, unseen)
-    return _detect_by_join(df, text, table, unseen, key, limits)
+    rows, text_bytes, languages = profile.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("token")), F.lit(0)),
+        F.count_distinct("lang"),
+    ).first()
+    at_most = text_bytes + 8 * rows * languages
+    if rows <= limits.broadcast_rows and at_most <= limits.broadcast_bytes:
+        return _detect_by_row(df, text, profile)
+    return _detect_by_join(df, text, profile, key, limits)
 
 
-def _detect_by_row(
-    df: DataFrame, text: str, table: DataFrame, unseen: dict[str, float]
-) -> DataFrame:
+def _detect_by_row(df: DataFrame, text: str, profile: DataFrame) -> DataFrame:
     """Score each text in the task that has it, with the words looked up in a shared table."""
-    rows = table.toArrow()
-    places = {token: place for place, token in enumerate(rows["token"].to_pylist())}
-    shares = np.column_stack(
-        [np.append(rows[lang].to_numpy(), share) for lang, share in unseen.items()]
+    rows = profile.select("token", "lang", "n").toArrow().combine_chunks()
+    tokens, langs = (
+        pc.dictionary_encode(rows[name].combine_chunks()) for name in ("token", "lang")
     )
-    shared = df.sparkSession.sparkContext.broadcast((places, shares, list(unseen)))
+    counts = np.zeros((len(tokens.dictionary) + 1, len(langs.dictionary)))  # last row: unseen words
+    np.add.at(counts, (tokens.indices.to_numpy(), langs.indices.to_numpy()), rows["n"].to_numpy())
+    names = langs.dictionary.to_pylist()
+    order = sorted(range(len(names)), key=names.__getitem__)
+    shares = np.log((counts + 1) / (counts.sum(axis=0) + len(tokens.dictionary)))[:, order]
+    places = {token: place for place, token in enumerate(tokens.dictionary.to_pylist())}
+    shared = df.sparkSession.sparkContext.broadcast((places, shares, [names[i] for i in order]))
 
     def score(texts: pd.Series) -> pd.DataFrame:
         index, log_shares, languages = shared.value
@@ -89,14 +86,25 @@ def _detect_by_row(
 
 
 def _detect_by_join(
-    df: DataFrame, text: str, table: DataFrame, unseen: dict[str, float], key: str, limits: Limits
+    df: DataFrame, text: str, profile: DataFrame, key: str, limits: Limits
 ) -> DataFrame:
-    """Words are exploded, joined with the table and summed by row.
+    """Words are exploded, joined with their shares and summed by row.
 
     Sums are combined inside the task that explodes, so what is shuffled is one short row per
     text and task. The row key hashes the key column together with the text, so neither copies
     of a text nor a repeated key gather in one task.
     """
+    totals = profile.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()
+    vocabulary = profile.agg(F.count_distinct("token")).first()[0]
+    sizes = {row["lang"]: float(row["n"] + vocabulary) for row in totals}
+    counts = profile.groupBy("token").pivot("lang", list(sizes)).agg(F.sum("n"))
+    table = counts.select(
+        "token",
+        *(
+            F.log((F.coalesce(F.col(lang), F.lit(0)) + 1) / F.lit(size)).alias(f"lp_{lang}")
+            for lang, size in sizes.items()
+        ),
+    )
     row_key = {
         "_row_a": F.xxhash64(F.col(key), F.col(text)),
         "_row_b": F.xxhash64(F.col(text), F.col(key)),
@@ -105,21 +113,20 @@ def _detect_by_join(
     tokens = keyed.select(
         "_row_a", "_row_b", F.explode(words(eol_to_space(F.col(text)))).alias("token")
     )
-    renamed = table.select("token", *(F.col(lang).alias(f"lp_{lang}") for lang in unseen))
     sums = (
-        lookup_join(tokens, renamed, "token", "left", limits)
+        lookup_join(tokens, table, "token", "left", limits)
         .groupBy("_row_a", "_row_b")
         .agg(
             *(
-                F.exp(F.avg(F.coalesce(f"lp_{lang}", F.lit(share)))).alias(f"p_{lang}")
-                for lang, share in unseen.items()
+                F.exp(F.avg(F.coalesce(f"lp_{lang}", F.lit(-math.log(size))))).alias(f"p_{lang}")
+                for lang, size in sizes.items()
             )
         )
     )
-    likelihoods = [F.col(f"p_{lang}") for lang in unseen]
+    likelihoods = [F.col(f"p_{lang}") for lang in sizes]
     best = F.array_max(
         F.array(*(F.struct(p.alias("p"), F.lit(lang).alias("lang"))
-                  for p, lang in zip(likelihoods, unseen)))
+                  for p, lang in zip(likelihoods, sizes)))
     )
     scores = sums.select(
         "_row_a", "_row_b", best.alias("_best"), reduce(add, likelihoods).alias("_all")

@@ -42,41 +42,51 @@ def model_column(backend: Backend, text: Column, result_type: str) -> Column:
     return F.pandas_udf(run, result_type).asNondeterministic()(text)
 
 
-def distinct_texts(df: DataFrame, text_column: str) -> tuple[DataFrame, DataFrame]:
-    """``df`` with the key of its text, and each distinct text once, spread evenly over tasks.
+def distinct_texts(df: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` with a ``<column>_key`` per text column, and the distinct texts of all of them.
 
-    Rows without a text get a key of their own that meets nothing, so that they spread as well.
-    The number of tasks is set rather than left to the size in bytes: a few megabytes of
-    prompts can be hours of work for a model.
+    The second table is ``_text_key, _text``. Rows without a text get a key of their own that
+    meets nothing, so that they spread over tasks as well. The number of tasks for the texts is
+    set rather than left to their size: a few megabytes of prompts can be hours of work.
     """
+    alone = F.hex(content_hash(df))
+    keyed = df.withColumns({f"{c}_key": F.coalesce(F.md5(F.col(c)), alone) for c in columns})
+    texts = F.array(
+        *(F.struct(F.col(f"{c}_key").alias("_text_key"), F.col(c).alias("_text")) for c in columns)
+    )
     session = df.sparkSession
     tasks = max(
         session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions"))
     )
-    keyed = df.withColumn(
-        "_text_key", F.coalesce(F.md5(F.col(text_column)), F.hex(content_hash(df)))
-    )
     distinct = (
-        keyed.where(F.col(text_column).isNotNull())
-        .select("_text_key", text_column)
+        keyed.select(F.inline(texts))
+        .where(F.col("_text").isNotNull())
         .dropDuplicates(["_text_key"])
         .repartition(tasks)
     )
     return keyed, distinct
 
 
+def join_by_text(keyed: DataFrame, column: str, results: DataFrame) -> DataFrame:
+    """``keyed`` with the results of one text column, which are keyed by ``_text_key``.
+
+    One text may be in a third of the rows. The results have a single row for it, and adaptive
+    skew handling splits the other side.
+    """
+    key = f"{column}_key"
+    return keyed.join(results.withColumnRenamed("_text_key", key), key, "left").drop(key)
+
+
 def once_per_text(
     df: DataFrame, text_column: str, result_column: str, compute: Callable[[Column], Column]
 ) -> DataFrame:
     """Add ``compute(text)``, evaluated once per distinct text and kept in a written table.
 
     For results that are dear or not repeatable. Copies of a text are dropped before the model
-    runs. The join back may meet one text in a third of the rows; the answer side then
-    has a single row, and adaptive skew handling splits the row side.
+    runs.
     """
     keyed, distinct = distinct_texts(df, text_column)
     answers = materialise(
-        distinct.select("_text_key", compute(F.col(text_column)).alias(result_column)),
-        result_column,
+        distinct.select("_text_key", compute(F.col("_text")).alias(result_column)), result_column
     )
-    return keyed.join(answers, "_text_key", "left").drop("_text_key")
+    return join_by_text(keyed, text_column, answers)

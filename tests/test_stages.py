@@ -10,6 +10,7 @@ from jobweave.operators.generation import (
 )
 from jobweave.operators.language import train_profile
 from jobweave.operators.report import outcome_report
+from jobweave.operators.retrieval import build_label_index
 from jobweave.plans import stages
 from jobweave.sources.tables import read_stage
 
@@ -116,6 +117,18 @@ def test_each_prompt_is_answered_once(spark, tmp_path):
     assert {r["id"]: r["a"] for r in done.collect()} == first  # reading again does not ask again
 
 
+def test_row_local_stages_do_not_shuffle(spark, paths, profile):
+    ads = spark.createDataFrame([("1", "the nurse", "care")], "id string, title string, description string")
+    detected = stages.detect_stage(ads, profile)
+    labels = spark.createDataFrame([("2221", "Nurses", "care", 0)], "code string, label string, description string, pos int")
+    index = build_label_index(labels, CONFIG)
+    asked = ads.withColumn("keywords", F.array(F.lit("care")))
+    prompted = stages.prompt_stage(asked, index, "title", "description", config=CONFIG)
+    for df in (detected, prompted, stages.translation_prompts(detected, "title", "description")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == plan.count("BroadcastExchange")
+
+
 def test_stand_ins():
     assert frequent_words("bbbb aaaa bbbb cc dddd eeee ffff gggg") == ["bbbb", "aaaa", "dddd", "eeee", "ffff"]
     assert answer_classification("nothing") == '{"codable": false, "class_code": null, "likelihood": null}'
