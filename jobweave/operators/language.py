@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from functools import reduce
+from itertools import repeat
 from operator import add
 
 import numpy as np
@@ -74,7 +75,8 @@ def _detect_by_row(df: DataFrame, text: str, profile: DataFrame) -> DataFrame:
             if not tokens:
                 found.append((None, None))
                 continue
-            likelihood = np.exp(log_shares[[index.get(t, none) for t in tokens]].mean(axis=0))
+            found_at = np.fromiter(map(index.get, tokens, repeat(none)), np.int64, len(tokens))
+            likelihood = np.exp(log_shares[found_at].mean(axis=0))
             best = len(languages) - 1 - int(np.argmax(likelihood[::-1]))
             found.append((languages[best], likelihood[best] / likelihood.sum()))
         return pd.DataFrame(found, columns=["lang", "score"]).astype({"score": "float64"})

@@ -52,14 +52,14 @@ def distinct_texts(df: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
     alone = F.hex(content_hash(df))
     keyed = df.withColumns({f"{c}_key": F.coalesce(F.md5(F.col(c)), alone) for c in columns})
     texts = F.array(
-        *(F.struct(F.col(f"{c}_key").alias("_text_key"), F.col(c).alias("_text")) for c in columns)
+        *(F.struct(F.md5(F.col(c)).alias("_text_key"), F.col(c).alias("_text")) for c in columns)
     )
     session = df.sparkSession
     tasks = max(
         session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions"))
     )
     distinct = (
-        keyed.select(F.inline(texts))
+        df.select(F.inline(texts))  # not from keyed: that would read every column
         .where(F.col("_text").isNotNull())
         .dropDuplicates(["_text_key"])
         .repartition(tasks)
