@@ -6,7 +6,6 @@ import json
 import re
 from collections import Counter
 
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from jobweave.functions.prompts import CLASSIFICATION_INSTRUCTIONS, TRANSLATION_INSTRUCTIONS
