@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from jobweave.llm.queries import SHARD_BYTES
+from jobweave.llm.queries import MIX, SHARD_BYTES
 
 HASH = "('0x' || substr(md5({}), 1, 15))::bigint"
 
@@ -26,6 +26,62 @@ ORACLES = {
                case when depth = 0 then '' else lpad(bin(prefix), depth::int, '0') end as shard
         from leaves
     """,
+    "op9_mixing": f"""
+        with recursive docs as (
+            select doc_id, case when source is null then '1' else '0' || source end as sk,
+                   coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size,
+                   {HASH.format(f"concat_ws(chr(1), '{MIX.seed}', coalesce(doc_id::varchar, chr(0)))")} as h
+            from documents
+        ), units as (
+            select sk, h, h % {MIX.blocks} as block, sum(size)::bigint as size from docs group by sk, h
+        ), sources as (
+            select sk, sum(size)::bigint as source_size,
+                   ([{", ".join(f"{w}.0::double" for w in MIX.weights)}])[(row_number() over (order by sk) - 1) % {len(MIX.weights)} + 1] as w
+            from units group by sk
+        ), rounds as (
+            select 0 as round, sk, source_size, w, false as capped,
+                   sum(source_size) over () * {MIX.total_share}::double / sum(w) over () as level
+            from sources
+            union all
+            select round + 1, sk, source_size, w, capped,
+                   (sum(source_size) over () * {MIX.total_share}::double
+                    - coalesce(sum({MIX.most}.0::double * source_size) filter (capped) over (), 0))
+                   / sum(w) filter (not capped) over ()
+            from (select * replace (capped or level * w > {MIX.most}.0::double * source_size as capped) from rounds)
+            where round < (select count(*) from sources)
+        ), targets as (
+            select sk, source_size,
+                   case when capped then {MIX.most}.0::double * source_size else level * w end as target,
+                   case when source_size > 0 then floor(target / source_size) else 0 end as copies,
+                   target - copies * source_size as need
+            from rounds where round = (select count(*) from sources)
+        ), blocks as (
+            select u.sk, u.block, any_value(t.need) as need, sum(u.size) as bsize,
+                   sum(sum(u.size)) over (partition by u.sk order by u.block) as upto
+            from units u join targets t on u.sk = t.sk group by u.sk, u.block
+        ), edge as (
+            select sk, block, need - upto + bsize as gap from blocks where upto > need and upto - bsize < need
+        ), chosen as (
+            select * from (
+                select u.sk, u.h, u.size, e.gap, sum(u.size) over (partition by u.sk, u.block order by u.h) as upto
+                from units u join edge e on u.sk = e.sk and u.block = e.block
+            ) where upto <= gap
+        ), gaps as (
+            select e.sk, e.block, e.gap - coalesce(sum(c.size), 0) as gap
+            from edge e left join chosen c on e.sk = c.sk group by e.sk, e.block, e.gap
+        ), best as (
+            select u.sk, arg_min(u.h, (abs(g.gap - u.size), u.h)) as h, min(abs(g.gap - u.size)) as off, any_value(g.gap) as gap
+            from units u join gaps g on u.sk = g.sk and u.block >= g.block
+            where u.size > 0 and not exists (select 1 from chosen c where c.sk = u.sk and c.h = u.h)
+            group by u.sk
+        ), extra as (
+            select sk, h from chosen union select sk, h from best where off < gap
+            union select u.sk, u.h from units u join blocks b on u.sk = b.sk and u.block = b.block where b.upto <= b.need
+        )
+        select d.doc_id, d.size, t.source_size, t.target,
+               (d.size * (t.copies + (e.h is not null)::int))::bigint as taken
+        from docs d join targets t on d.sk = t.sk left join extra e on d.sk = e.sk and d.h = e.h
+    """,
     "op10_chat_format": r"""
         with turns as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobweave.llm import chat_format, sharding
+from jobweave.llm import chat_format, language_id, mixing, sharding
 from jobweave.llm.common import table
 
+MIX = mixing.Mix()
 SHARD_BYTES = 4 * 1024 * 1024
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", language_id.held_out(F.col("doc_id")).alias("held_out"))
+    model = language_id.train(documents.where(~F.col("held_out")))
+    predicted = language_id.predict(documents.select("doc_id", "held_out", "text"), model)
+    return predicted.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document; no shard is over the limit, but a single longer document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -17,6 +27,14 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.select("doc_id", "n_bytes", "depth", "shard")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(documents, MIX)
+    taken = (F.col("size") * F.size("draws")).alias("taken")
+    return mixed.select("doc_id", "size", "source_size", "target", taken)
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, and what is read back from the result."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -29,6 +47,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op7_sharding": op7_sharding,
+    "op9_mixing": op9_mixing,
     "op10_chat_format": op10_chat_format,
 }
