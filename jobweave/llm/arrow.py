@@ -53,3 +53,39 @@ def runs(keys: np.ndarray) -> np.ndarray:
     if not len(keys):
         return np.zeros(1, dtype=np.int64)
     return np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Batches regrouped so that no run of equal integers in the first ``keys`` columns is cut.
+
+    The rows must be sorted by these columns. Holds one batch and one group at a time.
+    """
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        for piece in pieces(batch):
+            starts = group_starts(piece, keys)
+            last = int(starts[-2])
+            if held and any(
+                not held[-1].column(k)[-1].equals(piece.column(k)[0]) for k in range(keys)
+            ):
+                yield _joined(held)
+                held = []
+            if last > 0:
+                yield _joined([*held, piece.slice(0, last)])
+                held = []
+            held.append(piece.slice(last))
+    if held:
+        yield _joined(held)
+
+
+def group_starts(batch: pa.RecordBatch, keys: int) -> np.ndarray:
+    """Start of each group of equal keys, and the number of rows at the end."""
+    changes = np.zeros(max(0, batch.num_rows - 1), dtype=bool)
+    for k in range(keys):
+        values = batch.column(k).to_numpy(zero_copy_only=False)
+        changes |= values[1:] != values[:-1]
+    return np.concatenate(([0], np.flatnonzero(changes) + 1, [batch.num_rows]))
+
+
+def _joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]

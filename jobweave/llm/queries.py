@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobweave.llm import chat_format, language_id, mixing, sharding
+from jobweave.llm import chat_format, language_id, mixing, sharding, simhash
 from jobweave.llm.common import table
 
 MIX = mixing.Mix()
@@ -20,6 +20,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, radius=3)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document; no shard is over the limit, but a single longer document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,6 +53,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_simhash": op3_simhash,
     "op7_sharding": op7_sharding,
     "op9_mixing": op9_mixing,
     "op10_chat_format": op10_chat_format,
