@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobweave.llm import chat_format, language_id, mixing, sharding, simhash
+from jobweave.llm import chat_format, language_id, mixing, sharding, simhash, suffix_dedup
 from jobweave.llm.common import table
 
 MIX = mixing.Mix()
@@ -25,6 +25,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, radius=3)
 
 
+def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of 400 bytes that come again."""
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document; no shard is over the limit, but a single longer document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -54,6 +60,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_simhash": op3_simhash,
+    "op5_suffix_array": op5_suffix_array,
     "op7_sharding": op7_sharding,
     "op9_mixing": op9_mixing,
     "op10_chat_format": op10_chat_format,
