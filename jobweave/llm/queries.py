@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobweave.llm import chat_format, language_id, mixing, sharding, simhash, suffix_dedup
+from jobweave.llm import chat_format, language_id, line_dedup, mixing, sharding, simhash, suffix_dedup
 from jobweave.llm.common import table
 
 MIX = mixing.Mix()
@@ -25,6 +25,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, radius=3)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that come earlier, or nearly so."""
+    cut = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), most=2, least_chars=20)
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages of 400 bytes that come again."""
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
@@ -60,6 +66,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_simhash": op3_simhash,
+    "op4_line_dedup": op4_line_dedup,
     "op5_suffix_array": op5_suffix_array,
     "op7_sharding": op7_sharding,
     "op9_mixing": op9_mixing,
