@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobweave.llm import chat_format, language_id, line_dedup, mixing, sharding, simhash, suffix_dedup
+from jobweave.llm import chat_format, language_id, line_dedup, mixing, segmentation, sharding, simhash, suffix_dedup
 from jobweave.llm.common import table
 
 MIX = mixing.Mix()
@@ -20,6 +20,30 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def vocabulary() -> segmentation.Vocabulary:
+    """The public model; where it lies is the parameter."""
+    import public_tokenizers
+
+    return segmentation.load(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def encoded(documents: DataFrame, key: str, *kept: str) -> DataFrame:
+    """Two sampled segmentations of each text: digests of their ids, scores, and whether they decode to the text."""
+    pieces = vocabulary()
+    expected = F.xxhash64(F.coalesce(F.replace("text", F.lit("\u2581"), F.lit(" ")), F.lit("")))
+    rows = documents.select(key, *kept, "text", expected.alias("expected"))
+    decoded = segmentation.decode(segmentation.sample_segmentations(rows, pieces, key, samples=2), pieces)
+    return decoded.select(
+        key, *kept, "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+        "log_prob", "perturbed", "log_inclusion", (F.xxhash64("decoded") == F.col("expected")).alias("round_trip"),
+    )
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two segmentations of every document, drawn without replacement."""
+    return encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, radius=3)
@@ -65,6 +89,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash": op3_simhash,
     "op4_line_dedup": op4_line_dedup,
     "op5_suffix_array": op5_suffix_array,
