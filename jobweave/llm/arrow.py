@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that a task holds at once, besides a single longer text.
-PIECE_BYTES = 32 * 1024 * 1024
+PIECE_BYTES = 4 * 1024 * 1024
 
 
 def pieces(batch: pa.RecordBatch, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobweave.llm import chat_format, language_id, line_dedup, mixing, segmentation, sharding, simhash, suffix_dedup
+from jobweave.llm import ann, chat_format, embedding_dedup, language_id, line_dedup, mixing, segmentation, sharding, simhash, suffix_dedup
 from jobweave.llm.common import table
 
 MIX = mixing.Mix()
@@ -61,6 +61,11 @@ def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector, at a cosine of 0.9."""
+    return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), threshold=0.9)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The shard of every document; no shard is over the limit, but a single longer document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,6 +73,12 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded.select("doc_id", "n_bytes", "depth", "shard")
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth one, among all."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -93,7 +104,9 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_line_dedup": op4_line_dedup,
     "op5_suffix_array": op5_suffix_array,
+    "op6_nn_descent": op6_nn_descent,
     "op7_sharding": op7_sharding,
+    "op8_ann": op8_ann,
     "op9_mixing": op9_mixing,
     "op10_chat_format": op10_chat_format,
 }

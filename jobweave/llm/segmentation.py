@@ -30,7 +30,7 @@ from jobweave.llm.common import replace_columns
 SPACE = "▁"
 SAMPLED = ("sample", "ids", "log_prob", "perturbed", "log_inclusion")
 #: Text that is segmented at once.
-_BATCH = 8 << 20
+_BATCH = 3 << 20
 #: Branches with a smaller log share of the probability cannot win: below what a double can draw.
 _LEAST = -40.0
 _BYTE = 0x110000
@@ -232,7 +232,7 @@ class Lattices:
             count[end] += 1  # pieces of one length end at different nodes
         self.begin = np.concatenate(([0], np.cumsum(count)))
         free = self.begin[1:].copy()
-        self.start = np.empty(self.begin[-1], dtype=np.int64)
+        self.start = np.empty(self.begin[-1], dtype=np.int32)
         self.piece = np.empty(self.begin[-1], dtype=np.int32)
         for start, end, piece in found:
             free[end] -= 1

@@ -25,8 +25,8 @@ from jobweave.storage import materialise
 KMER = 32
 #: Contexts of one k-mer that a task sorts; those of more frequent ones are counted window by window.
 GROUP = 4096
-_CHUNK = 1 << 20
-_PLACE = np.uint64((1 << 22) - 1)
+_CHUNK = 1 << 18
+_PLACE = np.uint64((1 << 20) - 1)
 _KEY = ["k1", "k2"]
 ANCHORS = "kmer long, ctx long, k1 long, k2 long, pos int, lo int, hi int"
 RUNS = "kmer long, ctx long, first int, last int"
@@ -49,9 +49,10 @@ def remove_repeats(documents: DataFrame, length: int = 400) -> DataFrame:
     anchors = materialise(
         rows.select("text", *_KEY).mapInArrow(partial(_anchors, length=length), ANCHORS), "anchors"
     )
-    place = F.struct(*_KEY, "pos", "lo", "hi")
+    anchors = anchors.withColumn("place", F.xxhash64(*_KEY, "pos"))
     contexts = materialise(
-        anchors.groupBy("kmer", "ctx").agg(F.min(place).alias("at"), (F.min(place) != F.max(place)).alias("many")),
+        anchors.groupBy("kmer", "ctx").agg(
+            F.min("place").alias("place"), (F.min("place") != F.max("place")).alias("many")),
         "contexts",
     )
     # K-mers with several contexts, not all of them known to be repeated.
@@ -60,7 +61,9 @@ def remove_repeats(documents: DataFrame, length: int = 400) -> DataFrame:
         .where((F.col("n") > 1) & ~F.col("known")).select("kmer", (F.col("n") > GROUP).alias("large")),
         "open-kmers",
     )
-    repeated = _repeated_windows(rows, contexts.join(open_, "kmer"), length)
+    # The bytes of such a context are read at one of its places.
+    places = contexts.join(open_, "kmer").join(anchors, ["kmer", "ctx", "place"])
+    repeated = _repeated_windows(rows, places, length)
     copied = materialise(rows.groupBy(*_KEY).count().where("count > 1").select(*_KEY), "copied")
     verdict = _spans(anchors, contexts, repeated, copied, length)
     return join_measured(rows, verdict, _KEY).select("doc_id", "text", "copied", "spans").mapInArrow(
@@ -72,11 +75,11 @@ def join_measured(rows: DataFrame, lookup: DataFrame, on: list[str], how: str =
     return rows.join(F.broadcast(lookup) if fits_broadcast(lookup) else lookup, on, how)
 
 
-def _repeated_windows(rows: DataFrame, contexts: DataFrame, length: int) -> DataFrame:
+def _repeated_windows(rows: DataFrame, places: DataFrame, length: int) -> DataFrame:
     """Runs of repeated windows of contexts that share a k-mer, by how far their start is left of the anchor."""
     wanted = materialise(
-        contexts.groupBy("at.k1", "at.k2").agg(
-            F.collect_list(F.struct("kmer", "ctx", "large", "at.pos", "at.lo", "at.hi")).alias("wanted")),
+        places.groupBy(*_KEY).agg(
+            F.collect_set(F.struct("kmer", "ctx", "large", "pos", "lo", "hi")).alias("wanted")),
         "wanted",
     )
     parts = join_measured(rows.select("text", *_KEY), wanted, _KEY, "inner").mapInArrow(
@@ -99,19 +102,18 @@ def _repeated_windows(rows: DataFrame, contexts: DataFrame, length: int) -> Data
 
 def _spans(anchors: DataFrame, contexts: DataFrame, repeated: DataFrame, copied: DataFrame, length: int) -> DataFrame:
     """``k1, k2, copied, spans``: what to remove of each text that loses bytes."""
-    whole = contexts.where("many").select(
-        "kmer", "ctx", F.col("at.pos").alias("pos"), (F.col("at.pos") - F.col("at.hi")).alias("first"),
-        (F.col("at.pos") - F.col("at.lo")).alias("last"),
-    ).drop("pos")
+    none = F.lit(None).cast("int")
+    whole = contexts.where("many").select("kmer", "ctx", none.alias("first"), none.alias("last"))
     found = materialise(whole.unionByName(repeated), "repeated")
     single = join_measured(anchors, copied, _KEY, "left_anti").join(found, ["kmer", "ctx"])
     spans = single.groupBy(*_KEY).agg(F.collect_set(F.struct(
-        (F.col("pos") - F.col("last")).alias("start"), (F.col("pos") - F.col("first") + length).alias("end")
+        F.coalesce(F.col("pos") - F.col("last"), "lo").alias("start"),
+        (F.coalesce(F.col("pos") - F.col("first"), "hi") + length).alias("end"),
     )).alias("spans"))
-    none = F.lit(None).cast(spans.schema["spans"].dataType)
+    nothing = F.lit(None).cast(spans.schema["spans"].dataType)
     return materialise(
         spans.withColumn("copied", F.lit(False)).unionByName(
-            copied.withColumn("spans", none).withColumn("copied", F.lit(True))),
+            copied.withColumn("spans", nothing).withColumn("copied", F.lit(True))),
         "spans",
     )
 
@@ -187,7 +189,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
             for row, key in enumerate(zip(k1.tolist(), k2.tolist())):
                 fresh[row] = key not in seen
                 seen.add(key)
-            if len(seen) > 1_000_000:
+            if len(seen) > 100_000:
                 seen.clear()
             texts = piece.column(0).filter(pa.array(fresh))
             k1, k2 = k1[fresh], k2[fresh]
