@@ -29,13 +29,13 @@ def normal(rows, names):
     return sorted((tuple(_value(r[i]) for i in order) for r in rows), key=repr)
 
 
-def compare(spark, con, sf: str, name: str) -> str | None:
+def compare(spark, con, sf: str, name: str, queries=QUERIES, oracles=ORACLES) -> str | None:
     """None when query and oracle agree, else what differs."""
-    df = QUERIES[name](spark, sf)
+    df = queries[name](spark, sf)
     got = [tuple(r) for r in df.collect()]
-    if name not in ORACLES:
+    if name not in oracles:
         return None if got else "no rows"
-    relation = con.sql(ORACLES[name])
+    relation = con.sql(oracles[name])
     wanted, columns = relation.fetchall(), relation.columns
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} against {sorted(columns)}"
