@@ -83,7 +83,7 @@ def _late_lines(texts: DataFrame, firsts: DataFrame, most: int, least_chars: int
     """``line``: lines that have an earlier one within ``most`` edits."""
     keys = texts.mapInArrow(partial(_keys, most=most, least=least_chars), "key long, line long")
     met = materialise(
-        keys.repartition("key").sortWithinPartitions("key").mapInArrow(_meet, "a long, b long, key long"), "line-pairs"
+        keys.repartition("key").sortWithinPartitions("key").mapInArrow(partial(_meet, listed=LISTED), "a long, b long, key long"), "line-pairs"
     )
     pairs = materialise(met.where("key is null").select("a", "b").distinct(), "line-candidates")
     crowded = met.where("key is not null").select("key", "a")
@@ -171,7 +171,7 @@ def _keys(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Iterator[
                 [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (keys, lines)], names=["key", "line"])
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meet(batches: Iterator[pa.RecordBatch], listed: int) -> Iterator[pa.RecordBatch]:
     """Pairs of lines under a key, one of each role; rows of crowded keys as they are, with the key."""
     held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
     crowd = None
@@ -182,7 +182,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, lines = np.concatenate((held[0], keys)), np.concatenate((held[1], lines))
         starts = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
         size = np.diff(starts)
-        large = size > LISTED
+        large = size > listed
         if crowd is not None and keys[0] == crowd:
             large[0] = True
         crowd = keys[-1] if large[-1] else None

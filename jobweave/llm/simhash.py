@@ -9,7 +9,7 @@ integer distance, and a search follows only edges within the radius of its own d
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from itertools import combinations, repeat
 
@@ -162,8 +162,18 @@ def _search(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Recor
             [pa.array(values[tied].view(np.int64)), pa.array(values[root[tied]].view(np.int64))], names=["a", "b"])
 
 
-def forest_components(values: np.ndarray, starts: np.ndarray, radius: int) -> np.ndarray:
-    """For each fingerprint an index that all fingerprints connected with it in its shard share."""
+def tree_links(values: np.ndarray, starts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs within the radius in each shard, both ways round; for small shards."""
+    return _Forest(values, starts).search(np.arange(len(values)), radius, np.arange(len(values)))
+
+
+def forest_components(
+    values: np.ndarray, starts: np.ndarray, radius: int, confirm: Callable[[int, int], bool] | None = None
+) -> np.ndarray:
+    """For each fingerprint an index that all fingerprints connected with it in its shard share.
+
+    ``confirm`` may turn down a link of two fingerprints; it is asked only for those not yet connected.
+    """
     tree = _Forest(values, starts)
     root = np.arange(len(values))
     sizes = np.repeat(np.diff(starts), np.diff(starts))
@@ -174,7 +184,7 @@ def forest_components(values: np.ndarray, starts: np.ndarray, radius: int) -> np
     while at < len(queries):
         upto = max(at + 1, int(np.searchsorted(load, (load[at - 1] if at else 0) + _PAIRS)))
         found = tree.search(queries[at:upto], radius, root)
-        root = _union(root, *found)
+        root = _union(root, *found) if confirm is None else _union_confirmed(root, *found, confirm)
         at = upto
     return root
 
@@ -195,6 +205,22 @@ def _union(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return parent
 
 
+def _union_confirmed(root: np.ndarray, a: np.ndarray, b: np.ndarray, confirm: Callable[[int, int], bool]) -> np.ndarray:
+    parent = root.copy()
+
+    def top(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, j in zip(a.tolist(), b.tolist()):
+        x, y = top(i), top(j)
+        if x != y and confirm(i, j):
+            parent[max(x, y)] = min(x, y)
+    return np.array([top(i) for i in range(len(parent))])
+
+
 class _Forest:
     """A BK-tree per shard, built and searched level by level for all shards at once."""
 
