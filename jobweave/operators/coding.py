@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from jobweave.config import Limits
 from jobweave.functions.answers import parse_classification, parse_translation
@@ -71,16 +71,24 @@ def validate_codes(
 
 
 def read_translations(
-    df: DataFrame, raw: str = "raw_translations", coerce_objects: bool = False
+    df: DataFrame,
+    raw: str = "raw_translations",
+    coerce_objects: bool = False,
+    too_long: Column | None = None,
 ) -> DataFrame:
-    """Add ``job_desc_extracted, title_en, description_en, keywords, outcome`` to each row."""
+    """Add ``job_desc_extracted, title_en, description_en, keywords, outcome`` to each row.
+
+    Columns of these names are replaced. ``too_long`` tells prompts that were never sent.
+    """
+    df = df.drop("job_desc_extracted", "title_en", "description_en", "keywords", "outcome")
     return df.withColumn("_r", parse_translation(F.col(raw), coerce_objects)).select(
         *df.columns,
         F.col("_r.job_desc_extracted"),
         F.col("_r.title").alias("title_en"),
         F.col("_r.description").alias("description_en"),
         F.col("_r.keywords"),
-        F.when(F.col("_r.parsed"), "ok").otherwise("parse_error").alias("outcome"),
+        F.when(F.lit(False) if too_long is None else too_long, "too_long")
+        .when(F.col("_r.parsed"), "ok").otherwise("parse_error").alias("outcome"),
     )
 
 
@@ -91,15 +99,21 @@ def read_classifications(
     codes: DataFrame | None = None,
     coerce_objects: bool = False,
     limits: Limits = DEFAULT_LIMITS,
+    too_long: Column | None = None,
 ) -> DataFrame:
-    """Add ``codable, class_code, likelihood, label_code, outcome`` to each row."""
+    """Add ``codable, class_code, likelihood, label_code, outcome`` to each row.
+
+    Columns of these names are replaced. ``too_long`` tells prompts that were never sent.
+    """
+    df = df.drop("codable", "class_code", "likelihood", "label_code", "outcome", "valid_code", "parsed")
     parsed = df.withColumn("_r", parse_classification(F.col(raw), coerce_objects)).select(
         *df.columns, "_r.parsed", "_r.codable", "_r.class_code", "_r.likelihood"
     )
     checked = validate_codes(parsed, labels, codes, limits)
     return checked.withColumn(
         "outcome",
-        F.when(~F.col("parsed"), "parse_error")
+        F.when(F.lit(False) if too_long is None else too_long, "too_long")
+        .when(~F.col("parsed"), "parse_error")
         .when(~F.col("valid_code"), "invalid_code")
         .otherwise("ok"),
     ).drop("parsed", "valid_code")

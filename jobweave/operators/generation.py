@@ -2,29 +2,38 @@
 
 from __future__ import annotations
 
+import inspect
 import json
 import re
 from collections import Counter
+from functools import partial
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from jobweave.config import Sampling
 from jobweave.functions.prompts import CLASSIFICATION_INSTRUCTIONS, TRANSLATION_INSTRUCTIONS
 from jobweave.operators.models import Backend, Model, model_column, once_per_text
 
 
+def over_length(prompt: Column, sampling: Sampling) -> Column:
+    """Whether a prompt leaves no room for its answer, counted in words: a lower bound of tokens."""
+    words = F.size(F.split(F.trim(prompt), r"\s+"))
+    return F.coalesce(words > sampling.context_tokens - sampling.max_tokens, F.lit(False))
+
+
 def generate(
-    df: DataFrame, prompt: str, answer: str, backend: Backend, max_words: int | None = None
+    df: DataFrame, prompt: str, answer: str, backend: Backend, sampling: Sampling = Sampling()
 ) -> DataFrame:
     """Add the backend's answer to each prompt.
 
     Each distinct prompt is answered once and the answers are stored before anything reads
-    them: a repeated task must not give a second, different answer. A prompt longer than
-    ``max_words`` is not sent; its answer is null, which reads as unparsable later on. A backend
-    takes its settings when it is made, such as ``partial(my_model, config.sampling)``.
+    them: a repeated task must not give a second, different answer. A prompt that is
+    ``over_length`` is not sent and has a null answer. A backend with a parameter ``sampling`` gets the
+    settings when it is made.
     """
-    sent = F.col(prompt)
-    if max_words is not None:
-        sent = F.when(F.size(F.split(F.trim(prompt), r"\s+")) <= max_words, F.col(prompt))
+    if "sampling" in inspect.signature(backend).parameters:
+        backend = partial(backend, sampling=sampling)
+    sent = F.when(~over_length(F.col(prompt), sampling), F.col(prompt))
     return once_per_text(
         df.withColumn("_sent", sent), "_sent", answer,
         lambda text: model_column(backend, text, "string"),

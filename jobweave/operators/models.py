@@ -8,6 +8,7 @@ result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -16,6 +17,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from jobweave.joins import content_hash
 from jobweave.storage import materialise
 
+#: Texts that one task sends to a model, at most.
+TEXTS_PER_TASK = 1000
+
 Model = Callable[[pd.Series], "pd.Series | pd.DataFrame"]
 Backend = Callable[[], Model]
 
@@ -46,23 +50,22 @@ def distinct_texts(df: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
     """``df`` with a ``<column>_key`` per text column, and the distinct texts of all of them.
 
     The second table is ``_text_key, _text``. Rows without a text get a key of their own that
-    meets nothing, so that they spread over tasks as well. The number of tasks for the texts is
-    set rather than left to their size: a few megabytes of prompts can be hours of work.
+    meets nothing, so that they spread over tasks as well. The number of tasks grows with the
+    rows, ``TEXTS_PER_TASK`` each at most: a few megabytes of prompts can be hours of work, and a lost
+    task repeats its calls. One exchange by key both drops the copies and spreads the texts.
     """
     alone = F.hex(content_hash(df))
     keyed = df.withColumns({f"{c}_key": F.coalesce(F.md5(F.col(c)), alone) for c in columns})
     texts = F.array(
         *(F.struct(F.md5(F.col(c)).alias("_text_key"), F.col(c).alias("_text")) for c in columns)
     )
-    session = df.sparkSession
-    tasks = max(
-        session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions"))
-    )
+    rows = df.select(F.lit(1)).count() * len(columns)  # reads no text
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / TEXTS_PER_TASK))
     distinct = (
         df.select(F.inline(texts))  # not from keyed: that would read every column
         .where(F.col("_text").isNotNull())
+        .repartition(tasks, "_text_key")
         .dropDuplicates(["_text_key"])
-        .repartition(tasks)
     )
     return keyed, distinct
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def outcome_report(df: DataFrame) -> DataFrame:
-    """Rows by language and outcome (``ok``, ``parse_error``, ``invalid_code``)."""
-    return df.groupBy("lang", "outcome").agg(F.count(F.lit(1)).alias("n"))
+def outcome_report(df: DataFrame, outcome: str = "outcome") -> DataFrame:
+    """Rows by language and outcome (``ok``, ``parse_error``, ``invalid_code``, ``too_long``)."""
+    return df.groupBy("lang", F.col(outcome).alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def chunk_count(chunks: DataFrame) -> DataFrame:

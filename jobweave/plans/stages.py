@@ -22,18 +22,19 @@ from jobweave.functions.text import clean_ads
 from jobweave.operators.coding import (
     apply_overrides, read_classifications, read_translations, submission,
 )
-from jobweave.operators.generation import generate
+from jobweave.operators.generation import generate, over_length
 from jobweave.operators.label_search import multi_field_hits
 from jobweave.operators.language import (
     detect_language, detect_language_with, relabel_unlisted, relabel_weak,
 )
 from jobweave.operators.models import Backend
+from jobweave.operators.report import outcome_report
 from jobweave.operators.retrieval import build_label_index, write_label_index
 from jobweave.operators.sharding import contiguous_shards
 from jobweave.sources.tables import (
-    language_table, read_ads, read_labels, read_stage, spread, write_stage,
-    write_submission,
+    read_ads, read_labels, read_stage, spread, with_language_name, write_stage, write_submission,
 )
+from jobweave.storage import scratch_removed
 
 DEFAULT = JobConfig()
 
@@ -51,6 +52,7 @@ def detect_stage(
     """Clean texts and add ``lang, score``. Give a word profile or an outside detector."""
     if (profile is None) == (detector is None):
         raise ValueError("give either a profile or a detector")
+    ads = ads.drop("lang", "score", "description_clean", "title_clean")  # results take their place
     if overrides is not None:
         ads = apply_overrides(
             ads, overrides, config.id_column, config.description_column, config.limits
@@ -69,10 +71,9 @@ def translation_prompts(
     ads: DataFrame, title: str, description: str, config: JobConfig = DEFAULT
 ) -> DataFrame:
     """Add ``translation_prompt``, the whole conversation as one string."""
-    named = ads.join(
-        F.broadcast(language_table(ads.sparkSession).select("lang", "language")), "lang", "left"
-    )
-    messages = translation_messages(F.col(title), F.col(description), F.col("language"))
+    ads = ads.drop("translation_prompt")
+    named = with_language_name(ads, "_language")
+    messages = translation_messages(F.col(title), F.col(description), F.col("_language"))
     return named.withColumn("translation_prompt", chat_text(messages, config.chat)).select(
         *ads.columns, "translation_prompt"
     )
@@ -86,9 +87,11 @@ def translate_stage(
     config: JobConfig = DEFAULT,
 ) -> DataFrame:
     """Add the raw answer and its English title, description and keywords."""
-    prompted = translation_prompts(ads, title, description, config)
-    answered = generate(prompted, "translation_prompt", "raw_translations", translator)
-    return read_translations(answered.drop("translation_prompt"))
+    prompted = translation_prompts(ads.drop("raw_translations"), title, description, config)
+    answered = generate(prompted, "translation_prompt", "raw_translations", translator, config.sampling)
+    return read_translations(
+        answered, too_long=over_length(F.col("translation_prompt"), config.sampling)
+    ).drop("translation_prompt")
 
 
 def prompt_stage(
@@ -102,6 +105,7 @@ def prompt_stage(
     once: bool = False,
 ) -> DataFrame:
     """Add ``prompt``: the ad together with the labels nearest to it."""
+    ads = ads.drop("prompt", "hits")
     found = multi_field_hits(ads, index, title, description, keywords, config, embedder, once)
     messages = classification_messages(
         F.col(title), F.col(description), format_hits(F.col("hits"))
@@ -117,8 +121,11 @@ def classify_stage(
     config: JobConfig = DEFAULT,
 ) -> DataFrame:
     """Add the raw answer, its checked code and the code's label."""
-    answered = generate(prompts, "prompt", "raw_responses", classifier)
-    return read_classifications(answered, labels, codes=codes, limits=config.limits)
+    answered = generate(prompts.drop("raw_responses"), "prompt", "raw_responses", classifier, config.sampling)
+    return read_classifications(
+        answered, labels, codes=codes, limits=config.limits,
+        too_long=over_length(F.col("prompt"), config.sampling),
+    )
 
 
 # --- stages as jobs between tables -----------------------------------------------
@@ -142,9 +149,9 @@ def _part(
     """The asked languages and shard of a stage table; None, with a message, when empty."""
     table = read_stage(spark, path, languages)
     if table.isEmpty():
-        print(f"No data found for languages {', '.join(languages)}. Skipping...")
+        print(f"nothing to do for {', '.join(languages)}: the table {path} has no rows of them")
         return None
-    table = spread(table.drop("shard"))
+    table = spread(table)
     if shard is None:
         return table
     cut = contiguous_shards(table, config.shards, [config.id_column])
@@ -161,8 +168,13 @@ def run_detect(
     config: JobConfig = DEFAULT,
 ) -> None:
     ads = read_ads(spark, paths.ads, limit=limit)
-    done = detect_stage(ads, profile, detector, overrides, config)
-    write_stage(done, paths.detected, ["lang"], replaces=[code for _, code, _ in LANGUAGES])
+    with scratch_removed(spark):
+        done = detect_stage(ads, profile, detector, overrides, config)
+        write_stage(done, paths.detected, ["lang"], replaces=[code for _, code, _ in LANGUAGES])
+
+
+def _shard_of(shard: int | None, config: JobConfig) -> tuple[int, int]:
+    return (1, 1) if shard is None else (shard, config.shards)
 
 
 def run_translate(
@@ -174,11 +186,19 @@ def run_translate(
     translator: Backend,
     shard: int | None = None,
     config: JobConfig = DEFAULT,
-) -> None:
+) -> DataFrame | None:
+    """Translate the languages, or one shard of them; returns the rows by language and outcome."""
     ads = _part(spark, paths.detected, languages, shard, config)
-    if ads is not None:
-        done = translate_stage(ads, title, description, translator, config).drop("outcome")
-        write_stage(done, paths.translated, ["lang", "job_desc_extracted"], shard, languages)
+    if ads is None:
+        return None
+    with scratch_removed(spark):
+        done = translate_stage(ads, title, description, translator, config)
+        done = done.withColumnRenamed("outcome", "translate_outcome")
+        write_stage(
+            done, paths.translated, ["lang", "job_desc_extracted"], _shard_of(shard, config), languages
+        )
+    written = read_stage(spark, paths.translated, languages)
+    return outcome_report(written, "translate_outcome")
 
 
 def run_index(
@@ -205,9 +225,12 @@ def run_prompts(
 ) -> None:
     ads = _part(spark, paths.translated, languages, shard, config)
     if ads is not None:
-        index = spark.read.parquet(paths.index)
-        done = prompt_stage(ads, index, title, description, config=config, embedder=embedder)
-        write_stage(done, paths.prompts, ["lang", "job_desc_extracted"], shard, languages)
+        with scratch_removed(spark):
+            index = spark.read.parquet(paths.index)
+            done = prompt_stage(ads, index, title, description, config=config, embedder=embedder)
+            write_stage(
+                done, paths.prompts, ["lang", "job_desc_extracted"], _shard_of(shard, config), languages
+            )
 
 
 def run_classify(
@@ -215,22 +238,33 @@ def run_classify(
     paths: Paths,
     languages: Sequence[str],
     classifier: Backend,
-    codes: DataFrame | None = None,
+    codes: DataFrame,
     shard: int | None = None,
     config: JobConfig = DEFAULT,
-    compat: bool = False,
-) -> None:
+) -> DataFrame | None:
+    """Classify the languages, or one shard of them; returns the rows by language and outcome.
+
+    ``codes`` are the valid codes: the taxonomy table may lack some, so it is not asked for them.
+    """
     prompts = _part(spark, paths.prompts, languages, shard, config)
-    if prompts is not None:
+    if prompts is None:
+        return None
+    with scratch_removed(spark):
         labels = read_labels(spark, paths.labels)
-        done = classify_stage(prompts, labels, classifier, codes, config).drop("outcome")
-        write_stage(done, paths.predicted, ["lang", "job_desc_extracted", "codable"], shard, languages)
-        predicted = read_stage(spark, paths.predicted, languages)
-        if shard is not None:
-            predicted = predicted.where(F.col("shard") == shard)
-        write_submission(
-            submission(predicted, config.id_column, compat), paths.submission, config.id_column
+        done = classify_stage(prompts, labels, classifier, codes, config)
+        write_stage(
+            done, paths.predicted, ["lang", "job_desc_extracted", "codable"],
+            _shard_of(shard, config), languages,
         )
+    return outcome_report(read_stage(spark, paths.predicted, languages))
+
+
+def run_submission(
+    spark: SparkSession, paths: Paths, config: JobConfig = DEFAULT, compat: bool = False
+) -> None:
+    """The submission of all predictions that are there, whichever runs have written them."""
+    predicted = read_stage(spark, paths.predicted)
+    write_submission(submission(predicted, config.id_column, compat), paths.submission, config.id_column)
 
 
 def run_all(
@@ -239,10 +273,10 @@ def run_all(
     translator: Backend,
     classifier: Backend,
     languages: Sequence[str],
+    codes: DataFrame,
     profile: DataFrame | None = None,
     detector: Backend | None = None,
     overrides: DataFrame | None = None,
-    codes: DataFrame | None = None,
     title: str = "title_clean",
     description: str = "description_clean",
     embedder: Backend | None = None,
@@ -259,3 +293,4 @@ def run_all(
         spark, paths, "title_en", "description_en", languages, config=config, embedder=embedder
     )
     run_classify(spark, paths, languages, classifier, codes, config=config)
+    run_submission(spark, paths, config)

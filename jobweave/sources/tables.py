@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,17 +20,19 @@ def read_csv_table(
     schema: StructType | str | None = None,
     limit: int | None = None,
     multi_line: bool = True,
+    malformed: str = "FAILFAST",
 ) -> DataFrame:
     """A CSV with a header, every column a string, missing-value texts as null.
 
     Types are never inferred: a code such as ``0110`` keeps its zero. Quoted newlines make a
     file unsplittable, so give large inputs as many files, or set ``multi_line=False`` where no
-    field holds a newline.
+    field holds a newline. A row with more or fewer fields than the header stops the job;
+    ``malformed="PERMISSIVE"`` with ``_corrupt_record`` in ``schema`` keeps such rows there.
     """
     reader = (
         spark.read.option("header", True).option("multiLine", multi_line)
         .option("quote", '"').option("escape", '"').option("inferSchema", False)
-        .option("mode", "PERMISSIVE")
+        .option("mode", malformed)
     )
     if schema is not None:
         reader = reader.schema(schema)
@@ -69,6 +72,22 @@ def language_table(spark: SparkSession) -> DataFrame:
     )
 
 
+def with_language_name(
+    df: DataFrame, column: str = "language", lang: str = "lang", iso_3: str | None = None
+) -> DataFrame:
+    """Add the name of each row's language, and its long code; null for one that is not listed."""
+    added = {"language": column} | ({"lang_iso_3": iso_3} if iso_3 else {})
+    names = language_table(df.sparkSession).select(
+        F.col("lang").alias("_code"), *(F.col(c).alias(name) for c, name in added.items()))
+    return df.drop(*added.values()).join(F.broadcast(names), df[lang] == F.col("_code"), "left").drop("_code")
+
+
+def unlisted_languages(df: DataFrame, lang: str = "lang") -> DataFrame:
+    """Rows whose language is not one of the 25."""
+    names = language_table(df.sparkSession).select(F.col("lang").alias("_code"))
+    return df.join(F.broadcast(names), df[lang] == F.col("_code"), "left_anti")
+
+
 def code_table(labels: DataFrame) -> DataFrame:
     """The valid codes: the four-digit codes of the taxonomy, each once.
 
@@ -83,7 +102,7 @@ def read_stage(
     languages: Iterable[str] | None = None,
     schema: StructType | str | None = None,
 ) -> DataFrame:
-    """A stage table, only the partitions of the given languages."""
+    """A stage table, only the partitions of the given languages, whatever shards wrote it."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     table = reader.parquet(path)
     if languages is not None:
@@ -91,53 +110,76 @@ def read_stage(
     for name in BOOLEAN_PARTITIONS:
         if name in table.columns:
             table = table.withColumn(name, F.col(name).cast("boolean"))
-    return table
-
-
-def _clear(
-    spark: SparkSession, path: str, partition_cols: Sequence[str], languages: Iterable[str],
-    shard: int | None,
-) -> None:
-    """Remove what an earlier run left for these languages (and this shard)."""
-    below = "".join(f"/{c}=*" for c in partition_cols[1:])
-    tail = "" if shard is None else f"{below}/shard={shard}"
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    for language in languages:
-        pattern = hadoop(f"{path}/lang={language}{tail}")
-        files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-        for status in files.globStatus(pattern) or []:
-            files.delete(status.getPath(), True)
+    return table.drop("shard")
 
 
 def write_stage(
     df: DataFrame,
     path: str,
     partition_cols: Sequence[str],
-    shard: int | None = None,
+    part: tuple[int, int] = (1, 1),
     replaces: Iterable[str] = (),
 ) -> None:
     """Write by partition; partitions not in ``df`` stay, those in it are replaced.
 
-    ``replaces`` names languages whose old rows go as a whole. A row whose answer changes between
-    two runs changes its partition as well, and would otherwise be there twice.
+    ``part`` is the shard and the number of shards. It is the last partition level of every
+    table, so one language may be written in thirds beside others that are written whole. Changing the
+    number of shards replaces what the other number left behind.
 
+    ``replaces`` names languages whose old rows of this shard go as a whole. A row whose answer
+    changes between two runs changes its partition as well, and would otherwise be there twice.
 
-    The rebalance step collects each partition value into files of the advisory size and splits
-    a heavy value (one language may hold most rows) over many tasks by measured size. A shard
-    gets its own partition level, so that shards written one after another do not replace
-    each other.
+    The rows are written aside first and take their places afterwards, so a failing job leaves
+    the table as it was. The rebalance step collects each partition value into files of the advisory
+    size and splits a heavy value (one language may hold most rows) over many tasks by measured size.
     """
-    cols = list(partition_cols)
-    _clear(df.sparkSession, path, cols, replaces, shard)
-    if shard is not None:
-        df, cols = df.withColumn("shard", F.lit(shard)), [*cols, "shard"]
+    label = f"{part[0]}-of-{part[1]}"
+    cols = [*partition_cols, "shard"]
+    new = f"{path}/_new-{uuid.uuid4().hex}"
     (
-        df.hint("rebalance", *cols)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*cols)
-        .parquet(path)
+        df.withColumn("shard", F.lit(label)).hint("rebalance", *cols)
+        .write.partitionBy(*cols).parquet(new)
     )
+    _take_place(df.sparkSession, path, new, len(cols), label, list(replaces))
+
+
+def _take_place(
+    spark: SparkSession, path: str, new: str, levels: int, label: str, replaces: list[str]
+) -> None:
+    """Move written partitions to their places, and aside what they replace.
+
+    Only directories are listed and renamed, one per partition.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def leaves(pattern: str) -> dict[str, object]:
+        found = {}
+        for status in files.globStatus(hadoop(pattern)) or []:
+            parts = status.getPath().toString().split("/")[-levels:]
+            found["/".join(parts)] = status.getPath()
+        return found
+
+    written = leaves(f"{new}/{'/'.join(['*=*'] * levels)}")
+    above = {leaf.rpartition("/")[0] for leaf in written}
+    count = label.rpartition("-")[2]
+    stale = {}
+    for language in {f"lang={x}" for x in replaces} | {leaf.split("/")[0] for leaf in written}:
+        below = "/".join(["*=*"] * (levels - 1))
+        for leaf, place in leaves(f"{path}/{language}/{below}").items():
+            shard = leaf.rpartition("shard=")[2]
+            same = shard == label or not shard.endswith(f"-of-{count}")
+            if same and (language.removeprefix("lang=") in replaces or leaf.rpartition("/")[0] in above):
+                stale[leaf] = place
+    old = f"{path}/_old-{uuid.uuid4().hex}"
+    for root, moved in ((old, stale), (path, written)):
+        for leaf, place in moved.items():
+            target = hadoop(f"{root}/{leaf}")
+            files.mkdirs(target.getParent())
+            if not files.rename(place, target):
+                raise OSError(f"cannot move {place} to {target}")
+    for rest in (old, new):
+        files.delete(hadoop(rest), True)
 
 
 def write_submission(df: DataFrame, path: str, sort: str | None = None) -> None:

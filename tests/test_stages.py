@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from jobweave.config import JobConfig
+from jobweave.config import JobConfig, Sampling
 from jobweave.operators.generation import (
     answer_classification, frequent_words, generate, offline_classifier, offline_translator,
 )
@@ -50,6 +50,10 @@ def paths(tmp_path):
 LANGUAGES = ["en", "de", "fr", "un"]
 
 
+def codes(spark):
+    return spark.createDataFrame([("2221",), ("8322",)], "code string")
+
+
 def submitted(paths):
     lines = "".join(open(p).read() for p in sorted(glob.glob(paths.submission + "/part-*"))).splitlines()
     return dict(line.split(",") for line in lines)
@@ -58,7 +62,7 @@ def submitted(paths):
 def test_all_stages(spark, paths, profile, capsys):
     def run():
         stages.run_all(
-            spark, paths, offline_translator, offline_classifier, LANGUAGES, profile=profile, config=CONFIG
+            spark, paths, offline_translator, offline_classifier, LANGUAGES, codes(spark), profile=profile, config=CONFIG
         )
 
     run()
@@ -74,8 +78,8 @@ def test_all_stages(spark, paths, profile, capsys):
     run()  # a second run replaces the first and adds nothing
     assert submitted(paths) == first
     assert read_stage(spark, paths.predicted).count() == 15
-    stages.run_classify(spark, paths, ["sv"], offline_classifier, config=CONFIG)
-    assert "No data found for languages sv" in capsys.readouterr().out
+    stages.run_classify(spark, paths, ["sv"], offline_classifier, codes(spark), config=CONFIG)
+    assert "nothing to do for sv" in capsys.readouterr().out
 
 
 def test_shards_give_what_one_run_gives(spark, paths, profile):
@@ -86,8 +90,8 @@ def test_shards_give_what_one_run_gives(spark, paths, profile):
         )
     sharded = read_stage(spark, paths.translated)
     assert sharded.count() == 15 and sharded.select("id").distinct().count() == 15
-    sizes = {r["shard"]: r["count"] for r in sharded.groupBy("shard").count().collect()}
-    assert sizes == {1: 5, 2: 5, 3: 5}
+    stored = spark.read.parquet(paths.translated).groupBy("shard").count().collect()
+    assert {r["shard"]: r["count"] for r in stored} == {"1-of-3": 5, "2-of-3": 5, "3-of-3": 5}
 
 
 def test_detect_overrides(spark, paths, profile):
@@ -110,13 +114,25 @@ def test_each_prompt_is_answered_once(spark, tmp_path):
         return answer
 
     df = spark.createDataFrame([(i, f"p{i % 3}") for i in range(90)] + [(99, "one two three")], "id int, p string")
-    done = generate(df, "p", "a", backend, max_words=2)
+    done = generate(df, "p", "a", backend, Sampling(context_tokens=3, max_tokens=1))
     first = {r["id"]: r["a"] for r in done.collect()}
     assert sum(int(f.read_text()) for f in log.iterdir()) == 3
     assert len(first) == 91 and len(set(first.values()) - {None}) == 3 and first[99] is None
     assert {r["id"]: r["a"] for r in done.collect()} == first  # reading again does not ask again
 
 
+def test_sampling_reaches_the_backend_and_long_prompts_are_told(spark):
+    def backend(sampling):
+        return lambda prompts: prompts.map(lambda p: f'{{"codable":true,"likelihood":{sampling.temperature}}}')
+
+    config = JobConfig(sampling=Sampling(temperature=0.75, context_tokens=4, max_tokens=1))
+    prompts = spark.createDataFrame([("1", "en", "a b"), ("2", "en", "a b c d")], "id string, lang string, prompt string")
+    labels = spark.createDataFrame([("2221", "Nurses", 0)], "code string, label string, pos int")
+    got = {r["id"]: (r["raw_responses"], r["outcome"])
+           for r in stages.classify_stage(prompts, labels, backend, codes(spark), config).collect()}
+    assert got == {"1": ('{"codable":true,"likelihood":0.75}', "invalid_code"), "2": (None, "too_long")}
+
+
 def test_row_local_stages_do_not_shuffle(spark, paths, profile):
     ads = spark.createDataFrame([("1", "the nurse", "care")], "id string, title string, description string")
     detected = stages.detect_stage(ads, profile)

@@ -1,5 +1,6 @@
 import glob
 
+import pytest
 from pyspark.sql import functions as F
 
 from jobweave.config import Limits
@@ -19,6 +20,13 @@ def test_csv(spark, tmp_path):
     assert read_csv_table(spark, str(path), limit=2).count() == 2
 
 
+def test_csv_with_too_many_fields_stops(spark, tmp_path):
+    path = tmp_path / "ads.csv"
+    path.write_text("id,title\n1,a,b\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv_table(spark, str(path)).collect()
+
+
 def test_label_order(spark, tmp_path):
     path = tmp_path / "labels.csv"
     path.write_text("code,label,description\n02,b,x\n0110,a,y\n0110,c,z\n")
@@ -43,10 +51,35 @@ def test_stage_partitions(spark, tmp_path):
 
 def test_shards_live_side_by_side(spark, tmp_path):
     path = str(tmp_path / "stage")
+    schema = "id string, lang string"
+
+    def write(ids, lang, part, replaces):
+        write_stage(spark.createDataFrame([(i, lang) for i in ids], schema), path, ["lang"], part, replaces)
+
+    def stored():
+        return sorted(r["id"] for r in read_stage(spark, path).collect())
+
     for shard, ids in ((1, "ab"), (2, "cd"), (1, "ef")):
-        df = spark.createDataFrame([(i, "en") for i in ids], "id string, lang string")
-        write_stage(df, path, ["lang"], shard, replaces=["en"])
-    assert {r["id"] for r in read_stage(spark, path).collect()} == set("cdef")
+        write(ids, "en", (shard, 3), ["en"])
+    write("xy", "fr", (1, 1), ["fr"])
+    assert stored() == list("cdefxy")
+    write("gh", "en", (1, 2), ["en"])  # another number of shards replaces the first
+    write("ij", "en", (2, 2), ["en"])
+    assert stored() == list("ghijxy")
+    write("k", "en", (1, 1), ["en"])
+    assert stored() == list("kxy")
+    write("", "fr", (1, 1), ["fr"])
+    assert stored() == ["k"]
+
+
+def test_failing_write_keeps_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    df = spark.createDataFrame([("1", "en"), ("2", "fr")], "id string, lang string")
+    write_stage(df, path, ["lang"], replaces=["en", "fr"])
+    broken = df.withColumn("id", F.when(F.col("id") == "2", F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="lost"):
+        write_stage(broken, path, ["lang"], replaces=["en", "fr"])
+    assert {tuple(r) for r in read_stage(spark, path).select("id", "lang").collect()} == {("1", "en"), ("2", "fr")}
 
 
 def test_null_partition_value(spark, tmp_path):
