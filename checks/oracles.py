@@ -127,10 +127,10 @@ def info(source, key, text, paragraphs, name):
 CODE = four("p_size")
 RAW = f"""answers AS (SELECT *, p_partkey % 9 AS kind, {CODE} AS code FROM part),
 parsed AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_type AS lang, kind,
-  kind NOT IN (2, 4, 6, 7) AS parsed,
-  kind NOT IN (1, 2, 4, 6, 7) AS codable,
-  CASE WHEN kind IN (0, 1, 8) THEN code WHEN kind = 5 THEN '9' || code END AS class_code,
-  CASE kind WHEN 0 THEN 0.5::DOUBLE WHEN 8 THEN 0.5::DOUBLE WHEN 1 THEN 0.25::DOUBLE
+  kind NOT IN (2, 4, 7) AS parsed,
+  kind NOT IN (1, 2, 4, 7) AS codable,
+  CASE WHEN kind IN (0, 1, 6, 8) THEN code WHEN kind = 5 THEN '9' || code END AS class_code,
+  CASE kind WHEN 0 THEN 0.5::DOUBLE WHEN 6 THEN 0.5::DOUBLE WHEN 8 THEN 0.5::DOUBLE WHEN 1 THEN 0.25::DOUBLE
     WHEN 3 THEN 7.5::DOUBLE WHEN 5 THEN 1::DOUBLE END AS likelihood
   FROM answers)"""
 CHECKED = f"""{RAW}, {LABELS},
@@ -327,7 +327,7 @@ def sections(paragraphs):
     return f"WITH {info('documents', 'doc_id', text, paragraphs, 'i')} SELECT doc_id, info FROM i"
 
 
-HALF = f"""p AS (SELECT *, doc_id % 8 AS kind, {FIRST_LINE} AS t FROM documents)"""
+HALF = f"""p AS (SELECT *, doc_id % 10 AS kind, {FIRST_LINE} AS t FROM documents)"""
 
 SHARD = """least(3, (row_number() OVER (ORDER BY {order}) - 1) // greatest(1, count(*) OVER () // 3) + 1)"""
 NEIGHBOURS = """SELECT a.vec_id, a.label AS own, b.vec_id AS neighbour, b.label,
@@ -342,6 +342,8 @@ WINDOWS = f"""words AS (SELECT doc_id, list_filter(regexp_split_to_array(text, {
 windows AS (SELECT doc_id, w, unnest(range(0, CAST(greatest(ceil((len(w) - 100) / 90), 0) AS BIGINT) + 1)) AS chunk_no
   FROM words WHERE len(w) > 0)"""
 
+STAGE_ROWS = "SELECT lang, count(*) AS n, count(DISTINCT doc_id) AS ids, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY lang"
+
 ORACLES = {
     "na_normalise": """SELECT event_id, CASE event_type WHEN 'purchase' THEN 'purchase' WHEN 'signup' THEN 'na' END AS event_type FROM events""",
     "head_n": "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 100",
@@ -350,6 +352,9 @@ ORACLES = {
     "overwrite_partition": "SELECT lang, count(*) AS n, CAST(sum(CASE WHEN lang = 'de' THEN 0 ELSE n_chars END) AS BIGINT) AS chars FROM documents GROUP BY lang",
     "submission": f"WITH {CHECKED} SELECT id, CASE WHEN codable THEN class_code END AS class_code FROM checked",
     "submission_compat": f"WITH {CHECKED} SELECT id, class_code FROM checked",
+    "stage_mixed_shards": STAGE_ROWS,
+    "stage_rerun_shards": STAGE_ROWS,
+    "submission_from_parts": "SELECT CAST(doc_id AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS class_code FROM documents",
     "empty_guard": "SELECT count(*) FILTER (lang = 'zz') = 0 AS zz_empty, count(*) FILTER (lang = 'en') = 0 AS en_empty FROM documents",
     "dim_codes_by_major_group": """WITH c AS (SELECT DISTINCT CASE WHEN p_partkey < 10000 THEN lpad(CAST(p_partkey AS VARCHAR), 4, '0') END AS code FROM part)
 SELECT left(code, 1) AS major, count(*) AS n FROM c WHERE code IS NOT NULL GROUP BY 1""",
@@ -411,9 +416,10 @@ FROM t JOIN embeddings e ON e.vec_id = t.neighbour GROUP BY t.vec_id""",
     "translation_prompt": f"""WITH {GAPPY}, {LANGUAGES}, g AS (SELECT id, title || ' {{description}}' AS title, description, CASE WHEN lang = 'es' THEN 'un' ELSE lang END AS lang FROM gappy)
 SELECT id, {translation_chat('title', 'description', 'language')} AS translation_prompt FROM g LEFT JOIN languages USING (lang)""",
     "chat_template": f"""SELECT conv_id, turn, {turn("'system'", "'Conversation ' || conv_id")} || {turn('role', 'text')} || {lit(CONFIG.chat.generation)} AS chat FROM conversations""",
-    "parse_translation": f"""WITH {HALF} SELECT doc_id, kind IN (0, 1, 3, 7) AS parsed, kind IN (0, 3, 7) AS job_desc_extracted,
-  CASE WHEN kind IN (0, 1, 7) THEN t END AS title, CASE WHEN kind IN (0, 1, 7) THEN text END AS description,
-  CASE WHEN kind IN (0, 1, 7) THEN lang || '|' || source END AS keywords FROM p""",
+    "parse_translation": f"""WITH {HALF} SELECT doc_id, kind NOT IN (2, 4, 5) AS parsed, kind NOT IN (1, 2, 4, 5) AS job_desc_extracted,
+  CASE WHEN kind IN (0, 1, 6, 7, 8) THEN t WHEN kind = 9 THEN 'two' || chr(10) || 'lines' END AS title,
+  CASE WHEN kind IN (0, 1, 6, 7, 8) THEN text END AS description,
+  CASE WHEN kind IN (0, 1, 6, 7, 8) THEN lang || '|' || source WHEN kind = 9 THEN lang END AS keywords FROM p""",
     "parse_classification": f"WITH {RAW} SELECT id, parsed, codable, class_code, likelihood FROM parsed",
     "parse_props": """SELECT event_id, event_type <> 'view' AS parsed, event_type <> 'view' AS codable, CAST(NULL AS VARCHAR) AS class_code,
   CASE WHEN event_type <> 'view' THEN value END AS likelihood FROM events""",

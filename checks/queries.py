@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from jobweave.config import JobConfig
+from jobweave.config import JobConfig, Limits
 from jobweave.functions import sections, text as clean
 from jobweave.functions.answers import parse_classification, parse_translation
 from jobweave.functions.prompts import chat_text, message, retrieval_query
@@ -18,11 +18,10 @@ from jobweave.operators import coding, language, report, retrieval
 from jobweave.operators.chunking import chunk_recursive, chunk_words
 from jobweave.operators.label_search import multi_field_hits as multi_field
 from jobweave.operators.generation import generate, offline_classifier, offline_translator
-from jobweave.operators.search import top_k_partitioned
 from jobweave.operators.sharding import contiguous_shards, hash_shard
 from jobweave.plans import stages
 from jobweave.sources.tables import (
-    code_table, language_table, read_stage, spread, write_stage,
+    code_table, read_stage, spread, unlisted_languages, with_language_name, write_stage,
 )
 from jobweave.storage import materialise, scratch_path
 
@@ -194,13 +193,59 @@ def submission_compat(spark, sf):
 
 
 def empty_guard(spark, sf):
-    documents = table(spark, sf, "documents")
-    return documents.agg(
-        (F.count_if(F.col("lang") == "zz") == 0).alias("zz_empty"),
-        (F.count_if(F.col("lang") == "en") == 0).alias("en_empty"),
+    """The guard of the jobs on a stage table: nothing to do for one language, something for the other."""
+    path = scratch_path(spark, "guard")
+    write_stage(table(spark, sf, "documents").select("doc_id", "lang"), path, ["lang"])
+    guarded = {lang: stages._part(spark, path, [lang], None, CONFIG) is None for lang in ("zz", "en")}
+    return spark.range(1).select(*(F.lit(empty).alias(f"{lang}_empty") for lang, empty in guarded.items()))
+
+
+def _stage_rows(spark, path):
+    return read_stage(spark, path).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("ids"), F.sum("n_chars").alias("chars")
     )
 
 
+def stage_mixed_shards(spark, sf):
+    """One language in thirds, the others whole, in one table."""
+    path = scratch_path(spark, "mixed")
+    documents = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    english = materialise(contiguous_shards(documents.where("lang = 'en'"), 3, ["doc_id"]), "thirds")
+    for shard in (1, 2, 3):
+        part = english.where(F.col("shard") == shard).drop("shard")
+        write_stage(part, path, ["lang"], (shard, 3), ["en"])
+    write_stage(documents.where("lang <> 'en'"), path, ["lang"], replaces=["de", "fr", "es"])
+    return _stage_rows(spark, path)
+
+
+def stage_rerun_shards(spark, sf):
+    """Three shards first, two afterwards: nothing of the first run is left."""
+    path = scratch_path(spark, "rerun")
+    documents = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    for shards in (3, 2):
+        for shard in range(1, shards + 1):
+            part = documents.where(F.pmod("doc_id", F.lit(shards)) == shard - 1)
+            write_stage(part, path, ["lang"], (shard, shards), ["en", "de", "fr", "es"])
+    return _stage_rows(spark, path)
+
+
+def submission_from_parts(spark, sf):
+    """Classified by language group, one of them in thirds; the submission file holds all of it."""
+    root = scratch_path(spark, "submission")
+    taxonomy(spark, sf).drop("pos").write.option("header", True).option("escape", '"').csv(f"{root}/labels")
+    prompts = searched_ads(spark, sf).select(
+        "id", "lang", F.lit(True).alias("job_desc_extracted"),
+        F.concat(F.lit("- Job Ad Title:\nx\n\n- Job Ad Description:\n"), "id").alias("prompt"))
+    write_stage(prompts, f"{root}/prompts", ["lang", "job_desc_extracted"])
+    paths = stages.Paths("", f"{root}/labels", "", "", "", f"{root}/prompts", f"{root}/predicted", f"{root}/out")
+    codes = code_table(taxonomy(spark, sf))
+    stages.run_classify(spark, paths, ["fr", "de", "es", "un"], offline_classifier, codes, config=CONFIG)
+    for shard in (1, 2, 3):
+        stages.run_classify(spark, paths, ["en"], offline_classifier, codes, shard, CONFIG)
+    stages.run_submission(spark, paths, CONFIG)
+    return spark.read.schema("id string, class_code string").csv(f"{root}/out")
+
+
 def dim_codes_by_major_group(spark, sf):
     labels = table(spark, sf, "part").select(F.lpad(F.col("p_partkey").cast("string"), 5, "0").alias("c"))
     labels = labels.select(F.when(F.startswith("c", F.lit("0")), F.substring("c", 2, 4)).otherwise(F.col("c")).alias("code"))
@@ -318,15 +363,13 @@ def code_label_lookup(spark, sf):
 
 
 def lang_name(spark, sf):
-    names = language_table(spark)
-    return table(spark, sf, "documents").join(F.broadcast(names), "lang", "left").select(
-        "doc_id", "lang", "language", "lang_iso_3"
-    )
+    documents = table(spark, sf, "documents").select("doc_id", "lang")
+    return with_language_name(documents, iso_3="lang_iso_3").select("doc_id", "lang", "language", "lang_iso_3")
 
 
 def unknown_lang_anti(spark, sf):
     events = table(spark, sf, "events").select("event_id", F.substring("event_type", 1, 2).alias("lang"))
-    return events.join(F.broadcast(language_table(spark)), "lang", "left_anti").select("event_id", "lang")
+    return unlisted_languages(events).select("event_id", "lang")
 
 
 # --- text cleaning --------------------------------------------------------------------------
@@ -434,7 +477,7 @@ def chat_template(spark, sf):
 
 
 def raw_translations(spark, sf) -> DataFrame:
-    kind = F.pmod("doc_id", F.lit(8))
+    kind = F.pmod("doc_id", F.lit(10))
     title, body = F.split("text", "\n")[0], F.col("text")
     good = F.to_json(F.struct(
         F.lit(True).alias("job_desc_extracted"), title.alias("title"), body.alias("description"),
@@ -449,6 +492,8 @@ def raw_translations(spark, sf) -> DataFrame:
         .when(kind == 4, F.lit('{"job_desc_extracted":true,"title":"t","description":"d","keywords":["a",null]}'))
         .when(kind == 5, F.lit('{"job_desc_extracted":true,"title":"t","description":"d"}'))
         .when(kind == 6, F.regexp_replace(good, r"\}$", ""))
+        .when(kind == 8, F.concat(F.lit("Here:\n```json\n"), good))
+        .when(kind == 9, F.concat(F.lit('{"job_desc_extracted":true,"title":"two\nlines","description":null,"keywords":["'), F.col("lang"), F.lit('"')))
         .otherwise(good)
     )
     return texts(spark, sf, "documents").select("doc_id", "lang", raw.alias("raw"))
@@ -535,7 +580,10 @@ def topk_similarity(spark, sf):
 def topk_partitioned(spark, sf):
     vectors = table(spark, sf, "embeddings")
     corpus = vectors.select(F.col("vec_id").alias("neighbour"), "embedding")
-    return _hits(top_k_partitioned(vectors, "vec_id", "embedding", corpus, "neighbour", "embedding"))
+    third = Limits(index_values=vectors.agg(F.sum(F.size("embedding"))).first()[0] // 3 + 1)
+    return _hits(retrieval.top_k(
+        vectors, {"hits": F.col("embedding")}, corpus, "embedding", "neighbour", limits=third
+    ))
 
 
 def knn_label_vote(spark, sf):
@@ -616,7 +664,9 @@ def detect_language(spark, sf):
 
 
 def detect_stage(spark, sf):
-    done = stages.detect_stage(gappy_ads(spark, sf).drop("lang"), profile(spark, sf))
+    """Ads that already have columns named like the results: these take their place."""
+    given = gappy_ads(spark, sf).withColumn("score", F.lit("given"))
+    done = stages.detect_stage(given, profile(spark, sf))
     return done.select("id", "description_clean", "title_clean", "lang", F.round("score", 6).alias("score"))
 
 
@@ -687,6 +737,9 @@ QUERIES = {
     "submission": submission,
     "submission_compat": submission_compat,
     "empty_guard": empty_guard,
+    "stage_mixed_shards": stage_mixed_shards,
+    "stage_rerun_shards": stage_rerun_shards,
+    "submission_from_parts": submission_from_parts,
     "dim_codes_by_major_group": dim_codes_by_major_group,
     "overrides": overrides,
     "text_fallback": text_fallback,

@@ -7,7 +7,12 @@ An answer that breaks one rule counts as unreadable as a whole. The rules are st
 
 from __future__ import annotations
 
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 from jobweave import fixed
 from jobweave.functions.expressions import let
@@ -19,20 +24,78 @@ TRANSLATION_TYPE = (
 )
 CLASSIFICATION_TYPE = "struct<parsed:boolean,codable:boolean,class_code:string,likelihood:double>"
 
-_FENCE = r"(?s)```(?:json)?(.*?)```"
+_FENCE = r"(?s)```(?:json)?(.*?)(?:```|\z)"
 _NUMBER = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 _SPECIAL = r"(?i)^[+-]?(inf|infinity|nan)$"
 _NUMERIC_KIND = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
 
 
-def answer_json(raw: Column) -> Column:
+def answer_json(raw: Column, strict: bool = False) -> Column:
     """The object in an answer as VARIANT, null where there is none.
 
-    A fenced block wins over the text around it; what remains has to be one object.
+    A fenced block, also one that is not closed, wins over the text around it. The object comes first in
+    what remains; text after it does not matter, raw control characters in strings are taken as they
+    are, and an object that breaks off is closed where it does. ``strict`` asks for exactly one object.
     """
     fenced = F.regexp_extract(raw, _FENCE, 1)
     body = strip(F.when(F.rlike(raw, F.lit(_FENCE)), fenced).otherwise(raw))
-    return let(body, lambda b: F.when(F.rlike(b, F.lit(r"(?s)^\{.*\}\z")), F.try_parse_json(b)))
+
+    def read(b: Column) -> Column:
+        exact = F.when(F.rlike(b, F.lit(r"(?s)^\{.*\}\z")), F.try_parse_json(b))
+        if strict:
+            return exact
+        # Only answers that are not already one object are looked at in Python.
+        open_ = F.when(exact.isNull() & F.startswith(b, F.lit("{")), b)
+        return F.coalesce(exact, F.try_parse_json(_first_object(open_)))
+
+    return let(body, read) if strict else read(body)
+
+
+def _first_object(text: Column) -> Column:
+    def find(texts: pd.Series) -> pd.Series:
+        return texts.map(first_object, na_action="ignore")
+
+    return F.pandas_udf(find, StringType())(text)
+
+
+_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\]]|"|[^"{}\[\]]+', re.S)
+
+
+def first_object(text: str) -> str | None:
+    """The first object of a text as strict JSON; one that breaks off is closed."""
+    closers: list[str] = []
+    end = None
+    for token in _TOKEN.finditer(text):
+        mark = token[0]
+        if mark in "{[":
+            closers.append("}" if mark == "{" else "]")
+        elif mark in "}]":
+            if not closers or closers.pop() != mark:
+                return None
+            if not closers:
+                end = token.end()
+                break
+        elif mark == '"':  # a string that never ends
+            rest = text[token.start() :]
+            return _strict(f"{text[: token.start()]}{rest.removesuffix(chr(92))}\"", closers)
+    if end is not None:
+        return _strict(text[:end], [])
+    return _strict(text, closers)
+
+
+def _strict(text: str, closers: list[str]) -> str | None:
+    """Close what is open, dropping an unfinished member if the text cannot be read with it."""
+    while True:
+        for tail in ("", "null", ": null"):
+            try:
+                value = json.loads(text.rstrip().rstrip(",") + tail + "".join(reversed(closers)), strict=False)
+            except ValueError:
+                continue
+            return json.dumps(value, ensure_ascii=False) if isinstance(value, dict) else None
+        cut = text.rfind(",")
+        if cut < 0 or not closers:
+            return None
+        text = text[:cut]
 
 
 def _field(answer: Column, name: str, rule) -> Column:

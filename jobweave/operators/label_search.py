@@ -8,8 +8,7 @@ from jobweave.config import JobConfig
 from jobweave.functions.prompts import retrieval_query
 from jobweave.functions.sections import keywords_text
 from jobweave.operators.models import Backend, distinct_texts, join_by_text
-from jobweave.operators.retrieval import embed_column, index_fits, ordered_union, top_k
-from jobweave.operators.search import top_k_partitioned
+from jobweave.operators.retrieval import embed_column, ordered_union, top_k
 from jobweave.storage import materialise
 
 SHOWN = ("doc", "code", "label", "info")
@@ -27,22 +26,22 @@ def multi_field_hits(
 ) -> DataFrame:
     """Add ``hits``: labels near the title, then the description, then the keywords.
 
-    With an index within the bound each field is embedded and searched on the ad's own row, so
-    nothing is shuffled. With ``once``, for a dear embedder, or with a larger index, the distinct
-    texts of all fields are embedded and searched once and the hits are joined back. ``index``
-    is read more than once, so give a stored one.
+    Each field is embedded and searched on the ad's own row, so nothing is shuffled. With ``once``, for a dear
+    embedder, the distinct texts of all fields are embedded and searched once and the hits are
+    joined back. ``index`` is read more than once, so give a stored one.
     """
     queries = {
         "_title": retrieval_query(F.col(title)),
         "_description": retrieval_query(F.col(description)),
         "_keywords": retrieval_query(keywords_text(F.col(keywords))),
     }
-    fits = index_fits(index, "embedding", config)
-    if fits and not once:
-        vectors = {f: embed_column(query, config, embedder) for f, query in queries.items()}
-        found = top_k(ads, vectors, index, "embedding", "place", SHOWN, config.top_k)
+    if once:
+        found = _search_distinct(ads.withColumns(queries), list(queries), index, config, embedder)
     else:
-        found = _search_distinct(ads.withColumns(queries), list(queries), index, fits, config, embedder)
+        vectors = {f: embed_column(query, config, embedder) for f, query in queries.items()}
+        found = top_k(
+            ads, vectors, index, "embedding", "place", SHOWN, config.top_k, limits=config.limits
+        )
 
     def shown(hits: str) -> Column:
         # a label found for two fields has two scores and is still the same label
@@ -55,7 +54,6 @@ def _search_distinct(
     asked: DataFrame,
     fields: list[str],
     index: DataFrame,
-    fits: bool,
     config: JobConfig,
     embedder: Backend | None,
 ) -> DataFrame:
@@ -65,13 +63,10 @@ def _search_distinct(
         texts.select("_text_key", embed_column(F.col("_text"), config, embedder).alias("vector")),
         "query-vectors",
     )
-    if fits:
-        search = {"hits": F.col("vector")}
-        found = top_k(vectors, search, index, "embedding", "place", SHOWN, config.top_k)
-    else:
-        found = top_k_partitioned(
-            vectors, "_text_key", "vector", index, "place", "embedding", SHOWN, config.top_k
-        )
+    found = top_k(
+        vectors, {"hits": F.col("vector")}, index, "embedding", "place", SHOWN, config.top_k,
+        limits=config.limits,
+    )
     hits = materialise(found.select("_text_key", "hits"), "hits")
     keyed = keyed.drop(*fields)
     for field in fields:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -10,11 +11,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from jobweave.config import JobConfig
+from jobweave.config import JobConfig, Limits
 from jobweave.functions.sections import extract_info
 from jobweave.functions.text import word_text
 from jobweave.operators.chunking import chunk_recursive
 from jobweave.operators.models import Backend, model_column
+from jobweave.storage import materialise
 
 SCORE_DIGITS = 6
 _BATCH_VALUES = 4_000_000  # similarities held at a time in one task
@@ -64,8 +66,9 @@ def label_chunks(labels: DataFrame, config: JobConfig = JobConfig()) -> DataFram
     notes = F.col("description")
     if config.truncate_labels:
         notes = extract_info(notes, ["description", "tasks", "examples"])
+    # A label without notes is found by its own text.
     chunks = chunk_recursive(
-        labels.withColumn("description", notes).where(F.col("description").isNotNull()),
+        labels.withColumn("description", F.coalesce(notes, F.col("label"))).where(F.col("description").isNotNull()),
         "description", config.chunk_tokens, config.chunk_overlap,
     ).drop("description")
     metadata = [c for c in chunks.columns if c not in ("chunk_no", "pos")]
@@ -116,10 +119,13 @@ def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, list[np.ndarra
     return rounded, picks
 
 
-def index_fits(corpus: DataFrame, vector: str, config: JobConfig = JobConfig()) -> bool:
-    """Whether the corpus is small enough to be held as one matrix in every task."""
-    values = corpus.agg(F.sum(F.size(vector))).first()[0]
-    return (values or 0) <= config.limits.index_values
+def index_slabs(corpus: DataFrame, vector: str, limits: Limits) -> int:
+    """In how many slabs a corpus has to be cut so that each fits a task, payload included."""
+    others = [F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0)) for c in corpus.columns if c != vector]
+    values, payload = corpus.agg(
+        F.coalesce(F.sum(F.size(vector)), F.lit(0)), F.coalesce(F.sum(sum(others, F.lit(0))), F.lit(0))
+    ).first()
+    return max(1, math.ceil(values / limits.index_values), math.ceil(payload / limits.broadcast_bytes))
 
 
 def top_k(
@@ -131,44 +137,76 @@ def top_k(
     payload: Sequence[str] = (),
     k: int = 5,
     metric: str = "cosine",
+    limits: Limits = Limits(),
 ) -> DataFrame:
     """Add, for each named query vector, the k nearest corpus rows as an ordered array.
 
-    For a corpus that ``index_fits``. Its matrix is broadcast; queries stay where they are and are
-    multiplied batch by batch: no shuffle, and no pair leaves the task that scored it. Ties go
-    to the smaller key. A larger corpus takes ``search.top_k_partitioned``.
+    The corpus is cut into slabs within the bounds by its measured size, mostly one. A slab is broadcast as a
+    matrix; queries stay where they are and are multiplied batch by batch: no shuffle, and no
+    pair leaves the task that scored it. With several slabs the queries pass by one after the other, and
+    keep the k best so far in a stored table between them. Ties go to the smaller key. Rows of either side
+    without a vector have no hits and are not found.
     """
     if metric not in ("cosine", "dot"):
         raise ValueError(f"unknown metric: {metric}")
     kept = list(dict.fromkeys([key, *payload]))
-    rows = corpus.select(*kept, corpus_vector).orderBy(*kept).toArrow()
-    matrix = np.array(rows[corpus_vector].to_pylist(), dtype=float)
+    rows = corpus.where(F.col(corpus_vector).isNotNull()).select(*kept, corpus_vector)
+    slabs = index_slabs(rows, corpus_vector, limits)
+    hit_type = ArrayType(StructType(
+        [StructField(n, corpus.schema[n].dataType) for n in kept] + [StructField("score", DoubleType())]
+    ))
+    if slabs == 1:
+        find = _search_slab(rows, corpus_vector, kept, hit_type, k, metric)
+        return queries.withColumns({name: find(vector) for name, vector in query_vectors.items()})
+
+    def better(x: Column, y: Column) -> Column:
+        return F.when((x["score"] > y["score"]) | ((x["score"] == y["score"]) & (x[key] < y[key])), -1).otherwise(1)
+
+    # Vectors may come from a model whose answers differ from call to call, so they are stored as well.
+    done = materialise(queries.withColumns({f"_v_{name}": v for name, v in query_vectors.items()}), "asked")
+    for slab in range(slabs):
+        part = rows.where(F.pmod(F.xxhash64(key), F.lit(slabs)) == slab)
+        find = _search_slab(part, corpus_vector, kept, hit_type, k, metric)
+        for name in query_vectors:
+            found = find(F.col(f"_v_{name}"))
+            merged = found if slab == 0 else F.slice(F.array_sort(F.concat(name, found), better), 1, k)
+            done = done.withColumn(name, merged)
+        done = materialise(done, "hits")
+    return done.drop(*(f"_v_{name}" for name in query_vectors))
+
+
+def _search_slab(
+    rows: DataFrame, vector: str, kept: list[str], hit_type: ArrayType, k: int, metric: str
+):
+    """A column function: the hits of a query vector in one slab."""
+    table = rows.orderBy(*kept).toArrow()
+    flat = table[vector].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    matrix = flat.astype(float).reshape(table.num_rows, -1) if table.num_rows else np.empty((0, 0))
     if metric == "cosine" and len(matrix):
         matrix = unit_rows(matrix)
-    spark = corpus.sparkSession
-    shared = spark.sparkContext.broadcast((matrix, rows.select(kept).to_pylist()))
-    hit_type = StructType(
-        [StructField(n, corpus.schema[n].dataType) for n in kept] + [StructField("score", DoubleType())]
-    )
+    shared = rows.sparkSession.sparkContext.broadcast((matrix, table.select(kept)))
 
     def search(vectors: pd.Series) -> pd.Series:
-        corpus_matrix, records = shared.value
+        corpus_matrix, payload = shared.value
         present = np.flatnonzero(vectors.notna().to_numpy())
         found: list = [None] * len(vectors)
-        step = max(1, _BATCH_VALUES // max(1, len(records)))
+        step = max(1, _BATCH_VALUES // max(1, len(corpus_matrix)))
         for start in range(0, len(present), step):
             part = present[start : start + step]
             batch = np.stack(vectors.iloc[part].to_list()).astype(float)
             if metric == "cosine":
                 batch = unit_rows(batch)
-            scores = batch @ corpus_matrix.T if len(records) else np.empty((len(part), 0))
+            scores = batch @ corpus_matrix.T if len(corpus_matrix) else np.empty((len(part), 0))
             rounded, picks = best_columns(scores, k)
+            chosen = payload.take(np.concatenate([*picks, np.empty(0, int)]).astype(int)).to_pylist()
+            at = 0
             for place, row, pick in zip(part, rounded, picks):
-                found[place] = [{**records[c], "score": float(row[c])} for c in pick]
+                hits = chosen[at : at + len(pick)]
+                at += len(pick)
+                found[place] = [{**hit, "score": float(row[c])} for hit, c in zip(hits, pick)]
         return pd.Series(found)
 
-    find = F.pandas_udf(search, ArrayType(hit_type))
-    return queries.withColumns({name: find(vector) for name, vector in query_vectors.items()})
+    return F.pandas_udf(search, hit_type)
 
 
 def ordered_union(*hit_lists: Column) -> Column:

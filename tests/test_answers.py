@@ -19,7 +19,14 @@ CLASSIFICATION = {
     '```json\n{"codable":true,"class_code":"0110","likelihood":0.5}\n```': good(),
     'Sure:\n```\n{"codable":true,"class_code":"0110","likelihood":0.5}\n```\nbye': good(),
     'text {"codable":true,"class_code":"0110","likelihood":0.5}': BROKEN,
-    '{"codable":true,"class_code":"0110","likelihood":0.5} text': BROKEN,
+    '{"codable":true,"class_code":"0110","likelihood":0.5} text } {': good(),
+    '{"codable":true,"class_code":"0110","likelihood":0.5': good(),
+    '{"codable":true,"likelihood":0.5,"class_code":"01': good(code="01"),
+    '{"codable":true,"class_code":"0110","likelihood":': good(likelihood=None),
+    '{"codable":true,"class_code":"01\n10","likelihood":0.5}': good(code="01\n10"),
+    '```json\n{"codable":true,"class_code":"0110","likelihood":0.5}\nbye': good(),
+    '```\n{"codable":true,"class_code":"0110","likelihood":0.5': good(),
+    '{"codable":true]': BROKEN,
     '{"codable":true,"class_code":"0110","likelih': BROKEN,
     "": BROKEN,
     None: BROKEN,

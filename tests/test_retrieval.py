@@ -8,7 +8,6 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from jobweave.config import JobConfig, Limits
-from jobweave.operators import search
 from jobweave.operators.chunking import chunk_recursive, chunk_words, count_words, split_text
 from jobweave.operators.label_search import multi_field_hits
 from jobweave.operators.retrieval import (
@@ -58,14 +57,16 @@ def test_top_k(spark, tables):
     assert got == brute(queries, corpus, 5)
 
 
-@pytest.mark.parametrize("cells", [1, 4, 30])
-def test_partitioned_equals_brute_force(tables, cells, monkeypatch):
-    monkeypatch.setattr(search, "BLOCK_ROWS", 16)
-    monkeypatch.setattr(search, "LANE_ROWS", 16)
+@pytest.mark.parametrize("values", [200, 1000])
+def test_slabs_equal_brute_force(tables, values):
     queries, corpus, q, c = tables
-    found = search.top_k_partitioned(q, "q", "v", c, "n", "v", k=5, cells=cells)
-    got = {r["q"]: None if r["hits"] is None else [h["n"] for h in r["hits"]] for r in found.collect()}
-    assert got == brute(queries, corpus, 5)
+    corpus, c = [*corpus, (999, None)], c.unionByName(c.limit(1).select(F.lit(999).alias("n"), F.lit(None).cast("array<double>").alias("v")))
+    for limits in (Limits(index_values=values), Limits()):
+        found = top_k(q, {"hits": F.col("v")}, c, "v", "n", k=5, limits=limits)
+        got = {r["q"]: None if r["hits"] is None else [h["n"] for h in r["hits"]] for r in found.collect()}
+        assert got == brute(queries, [row for row in corpus if row[1] is not None], 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
 
 
 def test_more_neighbours_than_corpus(spark, tables):
@@ -74,7 +75,7 @@ def test_more_neighbours_than_corpus(spark, tables):
     expected = {r["q"]: [h["n"] for h in r["hits"] or []]
                 for r in top_k(q, {"hits": F.col("v")}, few, "v", "n", k=5).collect()}
     assert all(len(v) == 3 for k, v in expected.items() if k != 903)
-    found = search.top_k_partitioned(q, "q", "v", few, "n", "v", k=5)
+    found = top_k(q, {"hits": F.col("v")}, few, "v", "n", k=5, limits=Limits(index_values=6))
     assert {r["q"]: [h["n"] for h in r["hits"] or []] for r in found.collect()} == expected
 
 
@@ -82,7 +83,6 @@ def test_empty_corpus(tables):
     _, _, q, c = tables
     none = c.where("n < 0")
     assert all(not r["hits"] for r in top_k(q, {"hits": F.col("v")}, none, "v", "n").collect())
-    assert all(not r["hits"] for r in search.top_k_partitioned(q, "q", "v", none, "n", "v").collect())
 
 
 @settings(max_examples=100, database=None)
