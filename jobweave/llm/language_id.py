@@ -109,7 +109,7 @@ def _frequent(counts: DataFrame, most: int) -> pa.Table:
     sizes = totals.groupBy("total").agg(F.count(F.lit(1)).alias("entries"))
     # The largest counts; there are at most ``most`` of them before the entries add up to it.
     least, held = 1, 0
-    for row in sizes.orderBy(F.desc("total")).limit(most).collect():
+    for row in sizes.orderBy(F.desc("total")).limit(most + 1).collect():
         held += row["entries"]
         if held > most:
             least = row["total"] + 1
