@@ -428,6 +428,7 @@ SELECT id, {translation_chat('title', 'description', 'language')} AS translation
   CASE WHEN kind = 7 THEN '{{"code":"' || lpad(CAST(p_size AS VARCHAR), 4, '0') || '"}}' ELSE class_code END AS class_code,
   CASE WHEN kind = 7 THEN 1::DOUBLE ELSE likelihood END AS likelihood
 FROM parsed JOIN part ON parsed.id = CAST(p_partkey AS VARCHAR)""",
+    "chunk_cover": "SELECT doc_id, md5(regexp_replace(text, '[ \\n]', '', 'g')) AS letters_md5, true AS fits FROM documents WHERE trim(text) <> ''",
     "chunk_words": f"WITH {WINDOWS} SELECT doc_id, chunk_no, array_to_string(list_slice(w, chunk_no * 90 + 1, chunk_no * 90 + 100), ' ') AS chunk FROM windows",
     "hash_embed": f"WITH {counts('documents', 'doc_id', 'text', 64, 'v')} SELECT doc_id, bucket, round(n / norm, 6) AS weight FROM v",
     "label_index": f"""WITH {INDEX}, w AS (SELECT code, round(sum(n / norm), 6) AS weight_sum FROM cv GROUP BY code)

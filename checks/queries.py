@@ -541,6 +541,16 @@ def chunks_recursive(spark, sf):
     return chunks.select("doc_id", "chunk_no", "chunk")
 
 
+def chunk_cover(spark, sf):
+    """Without overlap the chunks of a document are the document, none too large."""
+    chunks = chunk_recursive(texts(spark, sf, "documents").select("doc_id", "text"), "text", 100, 0)
+    pieces = F.transform(F.sort_array(F.collect_list(F.struct("chunk_no", "chunk"))), lambda c: c["chunk"])
+    return chunks.groupBy("doc_id").agg(
+        F.md5(F.regexp_replace(F.array_join(pieces, ""), r"[ \n]", "")).alias("letters_md5"),
+        (F.max(F.size(F.split(F.trim("chunk"), r"\s+"))) <= 100).alias("fits"),
+    )
+
+
 def chunk_count(spark, sf):
     return report.chunk_count(
         chunk_words(texts(spark, sf, "documents").select("doc_id", "text"), "text", 100, 10)
@@ -789,6 +799,7 @@ QUERIES = {
     "coerce_objects": coerce_objects,
     "chunk_words": chunks_of_words,
     "chunk_recursive": chunks_recursive,
+    "chunk_cover": chunk_cover,
     "hash_embed": hash_embed,
     "label_index": label_index,
     "multi_field_hits": multi_field_hits,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from jobweave import fixed
+
 
 @dataclass(frozen=True)
 class Sampling:
@@ -49,6 +52,8 @@ class JobConfig:
     top_k: int = 5
     chunk_tokens: int = 512
     chunk_overlap_share: float = 0.1
+    chunk_separators: tuple[str, ...] = fixed.CHUNK_SEPARATORS
+    count_tokens: Callable[[str], int] | None = None  # of the embedding model; words where none is given
     shards: int = 3
     sampling: Sampling = field(default_factory=Sampling)
     chat: ChatMarkers = field(default_factory=ChatMarkers)

@@ -173,3 +173,6 @@ LANGUAGES = [
 
 TRUE_WORDS = ["true", "t", "yes", "y", "on", "1"]
 FALSE_WORDS = ["false", "f", "no", "n", "off", "0"]
+
+# Where long notes are cut, the coarsest place first: fixed values.
+CHUNK_SEPARATORS = ("\n\n", "\n", ".", " ", "")

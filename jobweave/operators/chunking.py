@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from jobweave import fixed
 from jobweave.functions.expressions import let
 
-SEPARATORS = ("\n\n", "\n", ".", " ", "")
 TokenCounter = Callable[[str], int]
 
 
@@ -19,49 +18,64 @@ def count_words(text: str) -> int:
     return len(text.split())
 
 
-def _pieces(text: str, size: int, separators: Sequence[str], count: TokenCounter) -> Iterator[str]:
-    """Pieces of at most ``size`` tokens, cut at the coarsest separator that suffices.
+def _parts(text: str, separator: str) -> list[str]:
+    """A text cut before each separator, which stays at the head of the part it starts."""
+    if not separator:
+        return list(text)
+    head, *rest = text.split(separator)
+    return [part for part in (head, *(separator + r for r in rest)) if part]
 
-    A separator stays at the head of the piece after it.
-    """
-    if count(text) <= size or not separators:
+
+def _packed(parts: list[str], size: int, overlap: int, count: TokenCounter) -> Iterator[str]:
+    """Neighbouring parts put together as far as they fit; the next chunk repeats up to ``overlap`` tokens."""
+    window: list[tuple[str, int]] = []
+    used = 0
+    for part in parts:
+        tokens = count(part)
+        if window and used + tokens > size:
+            yield "".join(p for p, _ in window)
+            while window and (used > overlap or used + tokens > size):
+                used -= window.pop(0)[1]
+        window.append((part, tokens))
+        used += tokens
+    if window:
+        yield "".join(p for p, _ in window)
+
+
+def _chunks(
+    text: str, size: int, overlap: int, separators: Sequence[str], count: TokenCounter
+) -> Iterator[str]:
+    """Chunks of one level: its small parts are packed with each other only; a large part is a level of its own."""
+    level = next((i for i, s in enumerate(separators) if s in text), None)
+    if level is None:
         yield text
         return
-    separator, finer = separators[0], separators[1:]
-    if separator and separator not in text:
-        yield from _pieces(text, size, finer, count)
-        return
-    head, *rest = text.split(separator) if separator else list(text)
-    for part in [head, *(separator + r for r in rest)]:
-        if part:
-            yield from _pieces(part, size, finer, count)
+    finer = separators[level + 1 :]
+    small: list[str] = []
+    for part in _parts(text, separators[level]):
+        if count(part) < size:
+            small.append(part)
+            continue
+        yield from _packed(small, size, overlap, count)
+        small = []
+        yield from _chunks(part, size, overlap, finer, count) if finer else [part]
+    yield from _packed(small, size, overlap, count)
 
 
 def split_text(
     text: str,
     size: int,
     overlap: int,
-    separators: Sequence[str] = SEPARATORS,
+    separators: Sequence[str] = fixed.CHUNK_SEPARATORS,
     count: TokenCounter = count_words,
 ) -> list[str]:
-    """Chunks of at most ``size`` tokens; neighbours share up to ``overlap`` tokens."""
-    chunks: list[str] = []
-    window: list[tuple[str, int]] = []
-    used = 0
-    fresh = False
-    for piece in _pieces(text, size, separators, count):
-        tokens = count(piece)
-        if window and used + tokens > size:
-            if fresh:
-                chunks.append("".join(p for p, _ in window))
-            while window and (used > overlap or used + tokens > size):
-                used -= window.pop(0)[1]
-        window.append((piece, tokens))
-        used += tokens
-        fresh = True
-    if window and fresh:
-        chunks.append("".join(p for p, _ in window))
-    return [c for c in (chunk.strip() for chunk in chunks) if c]
+    """Chunks of at most ``size`` tokens, if a separator allows; neighbours share up to ``overlap`` tokens.
+
+    The coarsest separator that the text has makes the first cut, and parts too large are cut again by
+    the finer ones. Parts of different levels are not put together.
+    """
+    chunks = (chunk.strip() for chunk in _chunks(text, size, overlap, separators, count))
+    return [chunk for chunk in chunks if chunk]
 
 
 def chunk_recursive(
@@ -69,7 +83,7 @@ def chunk_recursive(
     text: str,
     size: int,
     overlap: int,
-    separators: Sequence[str] = SEPARATORS,
+    separators: Sequence[str] = fixed.CHUNK_SEPARATORS,
     count: TokenCounter = count_words,
 ) -> DataFrame:
     """One row per chunk with ``chunk_no`` from 0; all other columns ride along on the JVM side."""

@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 from jobweave.config import JobConfig, Limits
 from jobweave.functions.sections import extract_info
 from jobweave.functions.text import word_text
-from jobweave.operators.chunking import chunk_recursive
+from jobweave.operators.chunking import chunk_recursive, count_words
 from jobweave.operators.models import Backend, model_column
 from jobweave.storage import materialise
 
@@ -70,6 +70,7 @@ def label_chunks(labels: DataFrame, config: JobConfig = JobConfig()) -> DataFram
     chunks = chunk_recursive(
         labels.withColumn("description", F.coalesce(notes, F.col("label"))).where(F.col("description").isNotNull()),
         "description", config.chunk_tokens, config.chunk_overlap,
+        config.chunk_separators, config.count_tokens or count_words,
     ).drop("description")
     metadata = [c for c in chunks.columns if c not in ("chunk_no", "pos")]
     return chunks.withColumns(

@@ -127,6 +127,14 @@ def test_split_text(text, size, overlap):
     assert not chunks or not text[max(position, 0):].strip() or text.rstrip().endswith(chunks[-1])
 
 
+def test_levels_are_not_packed_together():
+    text = "a b\n\nc d e f g h\n\ni j"
+    # the long paragraph is cut at blanks; its last part does not take in the next paragraph
+    assert split_text(text, 4, 0) == ["a b", "c d e f", "g h", "i j"]
+    assert split_text("a b\n\nc\n\nd e f", 4, 0) == ["a b\n\nc", "d e f"]
+    assert split_text("a.b.c.d", 2, 0, count=lambda t: len(t.replace(".", ""))) == ["a.b", ".c.d"]
+
+
 def test_chunk_sizes_and_coverage():
     random.seed(1)
     text = " ".join(f"w{i}{random.choice(['', '.', chr(10), chr(10) * 2])}" for i in range(500))

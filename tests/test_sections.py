@@ -8,31 +8,6 @@ T1, T2 = fixed.TASK_HEADINGS[:2]
 E1, E2 = fixed.EXAMPLE_HEADINGS
 
 
-def marked(lines, heading, sign):
-    at = lines.index(heading)
-    kept = [heading]
-    for line in lines[at + 1 :]:
-        if not line.startswith(sign):
-            break
-        kept.append(line)
-    return kept
-
-
-def plain_info(text, paragraphs):
-    lines = [line.strip() for line in text.split("\n")]
-    kept = lines[:1]
-    if "tasks" in paragraphs:
-        headings = [h for h in fixed.TASK_HEADINGS if h in lines]
-        if not headings:
-            return "\n".join(kept)
-        kept += marked(lines, headings[0], "(")
-    if "examples" in paragraphs:
-        headings = [h for h in fixed.EXAMPLE_HEADINGS if h in lines]
-        if headings:
-            kept += marked(lines, headings[0], "-")
-    return "\n".join(kept)
-
-
 def test_edges(rows):
     cases = {
         "only text\nmore": "only text",
@@ -49,12 +24,30 @@ def test_edges(rows):
 
 
 def test_random_texts(rows):
+    """What is shown are lines of the text: the first, then headings in their order, each with the items below it."""
     random.seed(3)
     parts = [*fixed.TASK_HEADINGS, *fixed.EXAMPLE_HEADINGS, "(a) x", "- y", "", "z", " (b)", "\t- w", T1 + " "]
     texts = ["\n".join(random.choices(parts, k=random.randint(1, 9))) for _ in range(2000)]
-    for paragraphs in (FULL, ["description", "examples"], ["description"], ["description", "tasks"]):
-        got = rows(texts, lambda c: S.extract_info(c, paragraphs))
-        assert got == [plain_info(t, paragraphs) for t in texts]
+    full = rows(texts, lambda c: S.extract_info(c, FULL))
+    first = rows(texts, lambda c: S.extract_info(c, ["description"]))
+    for text, shown, line in zip(texts, full, first):
+        lines = [x.strip() for x in text.split("\n")]
+        assert line == lines[0]
+        head, *rest = shown.split("\n")
+        assert head == line
+        sign, above = None, None
+        for item in rest:
+            if item in (*fixed.TASK_HEADINGS, *fixed.EXAMPLE_HEADINGS) and not (sign and item.startswith(sign)):
+                sign, above = ("(" if item in fixed.TASK_HEADINGS else "-"), item
+            else:
+                assert sign and item.startswith(sign), text
+            assert item in lines
+        has_tasks = any(h in lines for h in fixed.TASK_HEADINGS)
+        assert bool(rest) == has_tasks, text
+        if has_tasks:
+            assert rest[0] == next(h for h in fixed.TASK_HEADINGS if h in lines)
+            wanted = next((h for h in fixed.EXAMPLE_HEADINGS if h in lines), None)
+            assert (wanted in rest) == (wanted is not None) and (above is None or above in lines)
 
 
 def test_null_text(rows):
