@@ -53,17 +53,18 @@ def train(labelled: DataFrame, training: Training = Training()) -> Model:
     """A model of the columns ``text`` and ``lang``.
 
     Rows without text or lang teach nothing. The sample is a documented bound: languages with more
-    than ``rows`` texts are thinned by a hash, whole texts are read. Counting is distributed; the driver gets at most
+    than ``rows`` texts are thinned by a hash of all columns (give a key, so that copies are not drawn as one), whole
+    texts are read. Counting is distributed; the driver gets at most
     ``words`` words and ``ngrams`` n-grams of each length, the most frequent ones (all that tie at the
     boundary stay out), and fewer if ``cells`` numbers do not hold them for all languages.
     """
     known = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
-        F.col("text").cast("string"), F.col("lang").cast("string"))
+        F.col("text").cast("string"), F.col("lang").cast("string"), F.xxhash64(*labelled.columns).alias("row"))
     totals = materialise(known.groupBy("lang").agg(F.count(F.lit(1)).alias("texts")), "languages")
     languages = tuple(r["lang"] for r in totals.orderBy("lang").limit(training.cells).collect())
     if not languages:
         return Model((), (), ())
-    share = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) / float(1 << 30)
+    share = F.pmod("row", F.lit(1 << 30)) / float(1 << 30)
     sample = lookup_join(known, totals, "lang").where(share < training.rows / F.col("texts"))
     words = materialise(
         sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(f"({LETTERS})"), F.lit(1))).alias("entry"))

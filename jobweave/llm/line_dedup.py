@@ -110,6 +110,7 @@ def _late_in_crowds(crowded: DataFrame, known: DataFrame, most: int) -> DataFram
     sizes = crowded.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     cut = crowded.join(sizes, "key").select(
         "key", F.col("a").bitwiseAND(F.lit(-2)).alias("line"), F.col("a").bitwiseAND(F.lit(1)).alias("role"), "blocks")
+    cut = cut.unionByName(cut.where("role = 1").withColumn("role", F.lit(0).cast("long")))  # these look up, too
     own = F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int")
     cells = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     by_role = F.when(F.col("role") == 1, F.struct(F.col("own").alias("i"), F.col("other").alias("j"))).otherwise(
@@ -128,7 +129,8 @@ def probes(size: int, most: int) -> tuple[tuple[int, int, int, int], ...]:
     """``start, end, seed, role`` of the substrings of a line of ``size``: role 1 is looked up, 0 looks up.
 
     Lines look up lines of their length or shorter. A segment can only have moved by the edits on its left and by
-    those left for its right, which bounds its places.
+    those left for its right, which bounds its places. A line's own segments look up as well, so lines of
+    one length need no second row for them.
     """
     found = [(*cut, size * (most + 1) + i, 1) for i, cut in enumerate(_segments(size, most))]
     for shorter in range(max(most + 1, size - most), size + 1):
@@ -137,7 +139,8 @@ def probes(size: int, most: int) -> tuple[tuple[int, int, int, int], ...]:
             low = max(0, start - i, start + moved - (most - i))
             high = min(size - (end - start), start + i, start + moved + (most - i))
             for place in range(low, high + 1):
-                found.append((place, place + end - start, shorter * (most + 1) + i, 0))
+                if moved or place != start:
+                    found.append((place, place + end - start, shorter * (most + 1) + i, 0))
     return tuple(found)
 
 
@@ -172,7 +175,7 @@ def _keys(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Iterator[
 
 
 def _meet(batches: Iterator[pa.RecordBatch], listed: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of lines under a key, one of each role; rows of crowded keys as they are, with the key."""
+    """Pairs of lines under a key, at least one looked up; rows of crowded keys as they are, with the key."""
     held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
     crowd = None
     for batch in batches:
@@ -203,7 +206,7 @@ def _pairs(keys: np.ndarray, lines: np.ndarray, large: np.ndarray) -> pa.RecordB
         at = at[at + step < len(k)]
         at = at[k[at] == k[at + step]]
         a, b = v[at], v[at + step]
-        meet = ((a ^ b) & 1 == 1) & (a & ~1 != b & ~1)
+        meet = ((a | b) & 1 == 1) & (a & ~1 != b & ~1)
         found_a.append(np.minimum(a & ~1, b & ~1)[meet])
         found_b.append(np.maximum(a & ~1, b & ~1)[meet])
         step += 1
