@@ -225,17 +225,21 @@ def searched(source: str, name: str = "hits") -> str:
   WHERE place <= {CONFIG.top_k} GROUP BY id, code)"""
 
 
-def prompts(source: str) -> str:
-    """``prompted(id, prompt)`` on top of ``searched(source)``."""
+def classification_chat(title: str, description: str, categories: str) -> str:
     body = filled(
-        fixed.CLASSIFICATION_USER, title="s.title_en", description="s.description_en",
-        proposed_categories="coalesce(p.categories, '')",
-        format_instructions=lit(CLASSIFICATION_INSTRUCTIONS),
+        fixed.CLASSIFICATION_USER, title=title, description=description,
+        proposed_categories=categories, format_instructions=lit(CLASSIFICATION_INSTRUCTIONS),
     )
+    return chat(("system", lit(fixed.CLASSIFICATION_SYSTEM)), ("user", body))
+
+
+def prompts(source: str) -> str:
+    """``prompted(id, prompt)`` on top of ``searched(source)``."""
+    whole = classification_chat("s.title_en", "s.description_en", "coalesce(p.categories, '')")
     return f"""{searched(source)},
 proposed AS (SELECT id, string_agg(code || ': ' || label || ' - ' || info, {NL} || {NL} ORDER BY pos) AS categories
   FROM hits JOIN chunks USING (code) JOIN shown USING (code) GROUP BY id),
-prompted AS (SELECT s.id, {chat(('system', lit(fixed.CLASSIFICATION_SYSTEM)), ('user', body))} AS prompt
+prompted AS (SELECT s.id, {whole} AS prompt
   FROM {source} s LEFT JOIN proposed p USING (id))"""
 
 
@@ -342,6 +346,16 @@ WINDOWS = f"""words AS (SELECT doc_id, list_filter(regexp_split_to_array(text, {
 windows AS (SELECT doc_id, w, unnest(range(0, CAST(greatest(ceil((len(w) - 100) / 90), 0) AS BIGINT) + 1)) AS chunk_no
   FROM words WHERE len(w) > 0)"""
 
+
+
+def held_out(own: int) -> str:
+    """One half of the documents scored with the profile of the other."""
+    scored = detected("own", "doc_id", "text").replace(
+        "AS token FROM documents)", f"AS token FROM documents WHERE doc_id % 2 <> {own})")
+    return f"""SELECT * FROM (WITH own AS (SELECT * FROM documents WHERE doc_id % 2 = {own}), {scored}
+SELECT own.doc_id, spoken_lang.lang AS lang, round(score, 6) AS score FROM own LEFT JOIN spoken_lang USING (doc_id))"""
+
+
 STAGE_ROWS = "SELECT lang, count(*) AS n, count(DISTINCT doc_id) AS ids, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY lang"
 
 ORACLES = {
@@ -415,6 +429,7 @@ FROM t JOIN embeddings e ON e.vec_id = t.neighbour GROUP BY t.vec_id""",
     "retrieval_query": f"WITH {GAPPY} SELECT id, {query_text('title')} AS query FROM gappy",
     "translation_prompt": f"""WITH {GAPPY}, {LANGUAGES}, g AS (SELECT id, title || ' {{description}}' AS title, description, CASE WHEN lang = 'es' THEN 'un' ELSE lang END AS lang FROM gappy)
 SELECT id, {translation_chat('title', 'description', 'language')} AS translation_prompt FROM g LEFT JOIN languages USING (lang)""",
+    "classification_prompt": f"WITH {GAPPY} SELECT id, {classification_chat('title', 'description', 'lang')} AS prompt FROM gappy",
     "chat_template": f"""SELECT conv_id, turn, {turn("'system'", "'Conversation ' || conv_id")} || {turn('role', 'text')} || {lit(CONFIG.chat.generation)} AS chat FROM conversations""",
     "parse_translation": f"""WITH {HALF} SELECT doc_id, kind NOT IN (2, 4, 5) AS parsed, kind NOT IN (1, 2, 4, 5) AS job_desc_extracted,
   CASE WHEN kind IN (0, 1, 6, 7, 8) THEN t WHEN kind = 9 THEN 'two' || chr(10) || 'lines' END AS title,
@@ -438,6 +453,7 @@ SELECT code, label, 0::BIGINT AS chunk_no, chunk, info, weight_sum FROM chunks J
     "train_lang_profile": f"WITH {PROFILE} SELECT token, lang, n FROM profile",
     "detect_language": f"WITH {detected('documents', 'doc_id', 'text')} SELECT doc_id, lang, round(score, 6) AS score FROM spoken_lang RIGHT JOIN documents d USING (doc_id)".replace(
         "SELECT doc_id, lang, round", "SELECT doc_id, spoken_lang.lang AS lang, round"),
+    "detect_held_out": f"{held_out(0)} UNION ALL {held_out(1)}",
     "generate_offline": f"""WITH {ADS}, {translated('ads', 'title', 'description')}
 SELECT id, true AS parsed, title_en AS title, array_to_string(keyword_list, ',') AS keywords FROM translated""",
     "detect_stage": f"WITH {GAPPY}, {detect_on('gappy')} SELECT id, description_clean, title_clean, lang, round(score, 6) AS score FROM detected",

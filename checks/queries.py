@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from jobweave.config import JobConfig, Limits
 from jobweave.functions import sections, text as clean
 from jobweave.functions.answers import parse_classification, parse_translation
-from jobweave.functions.prompts import chat_text, message, retrieval_query
+from jobweave.functions.prompts import chat_text, classification_messages, message, retrieval_query
 from jobweave.joins import lookup_join
 from jobweave.operators import coding, language, report, retrieval
 from jobweave.operators.chunking import chunk_recursive, chunk_words
@@ -462,6 +462,12 @@ def translation_prompt(spark, sf):
     return stages.translation_prompts(made, "title", "description").select("id", "translation_prompt")
 
 
+def classification_prompt(spark, sf):
+    """The message by itself, with the language in place of the categories and missing fields."""
+    messages = classification_messages(F.col("title"), F.col("description"), F.col("lang"))
+    return gappy_ads(spark, sf).select("id", chat_text(messages, CONFIG.chat).alias("prompt"))
+
+
 def chat_template(spark, sf):
     """Each turn as a conversation of its own, after a system message."""
     messages = F.array(
@@ -670,6 +676,18 @@ def detect_language(spark, sf):
     return found.select("doc_id", "lang", F.round("score", 6).alias("score"))
 
 
+def detect_held_out(spark, sf):
+    """Each half of the documents scored with what the other half has taught."""
+    documents = texts(spark, sf, "documents").select("doc_id", "text", "lang")
+    half = F.pmod("doc_id", F.lit(2))
+    found = []
+    for own in (0, 1):
+        taught = materialise(language.train_profile(documents.where(half != own)), "half-profile")
+        found.append(language.detect_language(
+            documents.where(half == own).select("doc_id", "text"), "text", taught, "doc_id"))
+    return found[0].unionByName(found[1]).select("doc_id", "lang", F.round("score", 6).alias("score"))
+
+
 # --- stages --------------------------------------------------------------------------------------------------
 
 
@@ -791,6 +809,7 @@ QUERIES = {
     "keywords_text": keywords_text,
     "retrieval_query": retrieval_queries,
     "translation_prompt": translation_prompt,
+    "classification_prompt": classification_prompt,
     "chat_template": chat_template,
     "parse_translation": parse_translations,
     "parse_classification": parse_classifications,
@@ -806,6 +825,7 @@ QUERIES = {
     "multi_field_hits_once": multi_field_hits_once,
     "train_lang_profile": train_lang_profile,
     "detect_language": detect_language,
+    "detect_held_out": detect_held_out,
     "generate_offline": generate_offline,
     "detect_stage": detect_stage,
     "translate_stage": translate_stage,
