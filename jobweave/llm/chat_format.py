@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from jobweave.llm.arrow import content, pieces, runs
+from jobweave.llm.arrow import content, pieces
 
 FORMATTED = "conv_id long, part int, formatted string, loss array<struct<start: long, length: long>>"
 DIGEST = (

@@ -18,7 +18,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from jobweave.joins import lookup_join
 from jobweave.llm.arrow import group_starts, pieces, runs, whole_groups
 from jobweave.llm.common import replace_columns
 from jobweave.llm.components import connected_components
