@@ -32,9 +32,9 @@ class Settings:
     widest: int = 64
     tables: int = 6  # random partitions that the first lists come from
     bucket: int = 200  # vectors in a bucket, about
-    rounds: int = 3  # before each audit
-    audits: int = 3
-    audited: int = 128
+    rounds: int = 1  # before each audit
+    audits: int = 6
+    audited: int = 512
     recall: float = 0.98
     block: int = 1024
     seed: int = 6
@@ -224,8 +224,10 @@ def _introduce(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterato
                         continue
                     similarity = vectors[start:end] @ vectors[start:end].T
                     np.fill_diagonal(similarity, -np.inf)
-                    better = similarity > least[start:end, None]
-                    a, b = np.nonzero(better)
+                    # No more than a list holds can enter it from here.
+                    most = min(int(width[start:end].max()), end - start - 1)
+                    bound = -np.partition(-similarity, most - 1, axis=1)[:, most - 1]
+                    a, b = np.nonzero(similarity >= np.maximum(bound, np.nextafter(least[start:end], np.inf))[:, None])
                     rows.append((a + start, b + start))
             if rows:
                 a, b = (np.concatenate(x) for x in zip(*rows))
