@@ -30,7 +30,7 @@ from jobweave.llm.common import replace_columns
 SPACE = "▁"
 SAMPLED = ("sample", "ids", "log_prob", "perturbed", "log_inclusion")
 #: Text that is segmented at once.
-_BATCH = 3 << 20
+_BATCH = 700_000
 #: Branches with a smaller log share of the probability cannot win: below what a double can draw.
 _LEAST = -40.0
 _BYTE = 0x110000
