@@ -1,8 +1,9 @@
 """Near-duplicate vectors by NN-descent.
 
 Each vector keeps a list of its nearest so far. A round introduces the neighbours of a vector to each
-other and keeps whom they prefer. A list that is full of links is saturated and doubles. When a sample of vectors, compared
-with all, has nearly all its links in the graph, links at or above the threshold make the components.
+other and keeps whom they prefer. A list that is full of links is saturated and doubles. Links at or above the threshold make
+the components. Vectors drawn until enough of them have links are compared with all; the search goes on until their
+links, nearly all, lie inside components.
 """
 
 from __future__ import annotations
@@ -30,11 +31,14 @@ class Settings:
 
     width: int = 8
     widest: int = 64
-    tables: int = 6  # random partitions that the first lists come from
+    tables: int = 6  # random partitions that the first lists come from, at least
+    at_once: int = 12  # partitions that are shuffled at a time
     bucket: int = 200  # vectors in a bucket, about
     rounds: int = 1  # before each audit
     audits: int = 6
-    audited: int = 512
+    audited: int = 512  # vectors drawn for the audits at first
+    evidence: int = 400  # drawn vectors that must have a link, or all are drawn
+    slice_bytes: int = 16 << 20  # of drawn vectors that are compared with all at a time
     recall: float = 0.98
     block: int = 1024
     seed: int = 6
@@ -60,9 +64,7 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, settings: Settings
         "vectors",
     )
     n = points.count()
-    lists = _graph(points, n, threshold, settings)
-    edges = lists.where(F.col("similarity") >= threshold).select(F.col("node").alias("a"), F.col("neighbour").alias("b"))
-    roots = connected_components(edges)
+    roots = _roots(points, n, threshold, settings)
     linked = materialise(points.join(roots, points["name"] == roots["node"]).drop("node"), "linked-vectors")
     inside = _links_inside(linked, threshold, settings)
     firsts = linked.groupBy("root").agg(F.min("first").alias("component"))
@@ -82,26 +84,64 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, settings: Settings
     )
 
 
-def _graph(points: DataFrame, n: int, threshold: float, settings: Settings) -> DataFrame:
-    """The neighbour lists, refined until the audit is satisfied."""
-    lists = None
+def _roots(points: DataFrame, n: int, threshold: float, settings: Settings) -> DataFrame:
+    """``node, root`` of the vectors with links, refined until the audit is satisfied.
+
+    A table of which all vectors had to be drawn needs no second turn: the audit has seen all its links. If the last audit
+    falls short, that is an error.
+    """
+    turn_of = partitions(n, threshold, settings)
+    sets = -(-turn_of // settings.at_once)
+    each = -(-turn_of // sets)
+    lists, truth, whole, recall = None, None, False, 0.0
     for audit in range(settings.audits):
-        first = _merge(_first_lists(points, n, settings, audit), settings, threshold)
-        lists = first if lists is None else _merge(lists.unionByName(first), settings, threshold)
+        for turn in range(audit * sets, (audit + 1) * sets):
+            first = _first_lists(points, n, settings, turn, each)
+            lists = _merge(first if lists is None else lists.unionByName(first), settings, threshold)
         for _ in range(settings.rounds):
             lists, changed = _round(points, lists, settings, threshold)
             if changed <= 0.001 * n:
                 break
-        if audit + 1 < settings.audits and _recall(points, n, lists, threshold, settings) >= settings.recall:
-            break
-    return lists
+        ties = _ties(lists, threshold)
+        roots = materialise(connected_components(ties), "vector-roots")
+        if truth is None:
+            truth, whole = true_links(points, n, threshold, settings)
+        recall = _recall(truth, roots)
+        if whole or recall >= settings.recall:
+            # What only the audit has found is true as well.
+            seen = truth.select(F.col("node").alias("a"), F.col("neighbour").alias("b"))
+            ends = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            return roots if recall == 1 else connected_components(ends.unionByName(seen))
+    raise RuntimeError(
+        f"after {settings.audits * sets * each} partitions the search reaches {recall:.4f} of the audited vectors' links, "
+        f"less than {settings.recall}")
+
+
+def partitions(n: int, threshold: float, settings: Settings) -> int:
+    """How many random partitions a turn takes.
+
+    Two vectors at the threshold are on the same side of a plane with probability 1 - angle / pi. With so many partitions they
+    share a bucket of one with a probability of ``recall``, however few other links there are.
+    """
+    side = 1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi
+    together = side ** _planes(n, settings)
+    if together >= settings.recall:
+        return settings.tables
+    return max(settings.tables, int(np.ceil(np.log1p(-min(settings.recall, 0.9999)) / np.log1p(-together))))
+
 
+def _planes(n: int, settings: Settings) -> int:
+    return int(max(0, np.ceil(np.log2(max(1, n) / settings.bucket))))
 
-def _first_lists(points: DataFrame, n: int, settings: Settings, turn: int) -> DataFrame:
+
+def _ties(lists: DataFrame, threshold: float) -> DataFrame:
+    return lists.where(F.col("similarity") >= threshold).select(F.col("node").alias("a"), F.col("neighbour").alias("b"))
+
+
+def _first_lists(points: DataFrame, n: int, settings: Settings, turn: int, tables: int) -> DataFrame:
     """Candidates from random partitions: vectors on the same side of some random planes."""
-    planes = int(max(0, np.ceil(np.log2(max(1, n) / settings.bucket))))
     keyed = points.select("name", "embedding").mapInArrow(
-        partial(_bucket, planes=planes, settings=settings, turn=turn),
+        partial(_bucket, planes=_planes(n, settings), settings=settings, turn=turn, tables=tables),
         "part int, bucket long, name long, embedding array<double>")
     # A crowded bucket is dealt out at random; its members still meet in other partitions and rounds.
     crowded = keyed.groupBy("part", "bucket").agg(F.count(F.lit(1)).alias("n")).where(
@@ -115,11 +155,13 @@ def _first_lists(points: DataFrame, n: int, settings: Settings, turn: int) -> Da
     return ordered.mapInArrow(partial(_nearest_in_bucket, settings=settings), LISTS)
 
 
-def _bucket(batches: Iterator[pa.RecordBatch], planes: int, settings: Settings, turn: int) -> Iterator[pa.RecordBatch]:
+def _bucket(
+    batches: Iterator[pa.RecordBatch], planes: int, settings: Settings, turn: int, tables: int
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch):
             vectors = matrix(piece.column(1))
-            for part in range(settings.tables):
+            for part in range(tables):
                 rng = np.random.default_rng((settings.seed, turn, part))
                 sides = vectors @ rng.standard_normal((vectors.shape[1], planes)) > 0
                 bucket = sides @ (1 << np.arange(planes, dtype=np.int64)) if planes else np.zeros(len(vectors), np.int64)
@@ -235,34 +277,56 @@ def _introduce(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterato
                 yield _list_rows(member[a], member[b], exact, width[a])
 
 
-def _recall(points: DataFrame, n: int, lists: DataFrame, threshold: float, settings: Settings) -> float:
-    """The share of a sample's links, found by comparing it with all, that the graph reaches.
+def true_links(points: DataFrame, n: int, threshold: float, settings: Settings) -> tuple[DataFrame, bool]:
+    """``node, neighbour``: all links of vectors drawn at random, and whether all vectors are drawn.
 
-    A saturated list counts as complete if its members are links: the others follow in their component.
+    A drawn vector with many links is no more evidence than one with a single link, and one without is none, so
+    vectors are drawn until enough of them have links.
     """
-    share = F.pmod(F.xxhash64(F.lit(settings.seed), "name"), F.lit(1 << 30)) / float(1 << 30)
-    some = points.where(share < settings.audited / max(1, n)) if n > settings.audited else points
-    sample = some.select("name", "embedding").toArrow()
-    if not sample.num_rows:
-        return 1.0
-    names, vectors = sample.column(0).to_numpy(), _unit(matrix(sample.column(1).combine_chunks()))
-    true = points.select("name", "embedding").mapInArrow(
-        partial(_links_of, names=names, vectors=vectors, threshold=threshold), "node long, neighbour long")
-    linked = lists.where(F.col("similarity") >= threshold).select("node", "neighbour")
-    have = linked.unionByName(linked.select(F.col("neighbour").alias("node"), F.col("node").alias("neighbour"))).distinct()
-    counts = true.join(have.withColumn("found", F.lit(1)), ["node", "neighbour"], "left").groupBy("node").agg(
-        F.count(F.lit(1)).alias("links"), F.count("found").alias("found")).agg(
-        F.sum(F.least("links", F.lit(settings.widest))), F.sum(F.least("found", F.lit(settings.widest)))).first()
-    return counts[1] / counts[0] if counts[0] else 1.0
+    spark = points.sparkSession
+    truth = spark.createDataFrame([], "node long, neighbour long")
+    width = len(points.select("embedding").first()[0]) if n else 1
+    most = max(1, settings.slice_bytes // (8 * width))
+    place = F.xxhash64(F.lit(settings.seed), "name").bitwiseAND(F.lit((1 << 62) - 1))
+    drawn, size, linked = 0, settings.audited, 0
+    while drawn < n and linked < settings.evidence:
+        upto = min(n, drawn + min(size, most))
+        some = points.where((place >= F.lit((1 << 62) * drawn // n)) & (place < F.lit((1 << 62) * upto // n)))
+        sample = some.select("name", "embedding").toArrow()
+        drawn, size = upto, 2 * size
+        if not sample.num_rows:
+            continue
+        names, vectors = sample.column(0).to_numpy(), _unit(matrix(sample.column(1).combine_chunks()))
+        found = points.select("name", "embedding").mapInArrow(
+            partial(_links_of, names=names, vectors=vectors, threshold=threshold), "node long, neighbour long")
+        truth = materialise(truth.unionByName(found), "true-links")
+        linked = truth.select("node").distinct().count()
+    return truth, drawn >= n
+
+
+def _recall(truth: DataFrame, roots: DataFrame) -> float:
+    """The share of the true links that lie inside components, where all are counted, or the mean share of a vector's if less."""
+    of_node = roots.select("node", F.col("root").alias("x"))
+    of_neighbour = roots.select(F.col("node").alias("neighbour"), F.col("root").alias("y"))
+    of_vector = truth.join(of_node, "node", "left").join(of_neighbour, "neighbour", "left").groupBy("node").agg(
+        F.count(F.lit(1)).alias("links"), F.count_if(F.col("x") == F.col("y")).alias("found"))
+    links, found, mean = of_vector.agg(F.sum("links"), F.sum("found"), F.avg(F.col("found") / F.col("links"))).first()
+    return min(found / links, mean) if links else 1.0
 
 
 def _links_of(batches: Iterator[pa.RecordBatch], names, vectors, threshold: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch):
             ids = piece.column(0).to_numpy()
-            a, b = np.nonzero(vectors @ _unit(matrix(piece.column(1))).T >= threshold)
-            other = names[a] != ids[b]
-            yield pa.RecordBatch.from_arrays([pa.array(names[a][other]), pa.array(ids[b][other])], names=["node", "neighbour"])
+            if not piece.num_rows:
+                continue
+            unit = _unit(matrix(piece.column(1)))
+            for start in range(0, len(names), 1024):
+                a, b = np.nonzero(vectors[start : start + 1024] @ unit.T >= threshold - 1e-9)
+                a += start
+                other = (names[a] != ids[b]) & (dots(vectors[a], unit[b]) >= threshold)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names[a][other]), pa.array(ids[b][other])], names=["node", "neighbour"])
 
 
 def _links_inside(linked: DataFrame, threshold: float, settings: Settings) -> DataFrame:

@@ -106,3 +106,36 @@ def test_no_vectors_and_repeated_ids(spark):
     got = embedding_dedup.link_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((str(r["vec_id"]), r["n_links"], r["component_id"], r["kept"]) for r in got) == [
         ("5", 2, 5, True), ("5", 2, 5, True), ("9", 0, 9, True), ("None", 2, 5, False)]
+
+
+def scattered_pairs(n, pairs, cosine=0.91, dimension=64, seed=3):
+    rng = np.random.default_rng(seed)
+    rows = rng.standard_normal((n, dimension))
+    rows /= np.linalg.norm(rows, axis=1)[:, None]
+    for i in range(pairs):
+        aside = rows[2 * i + 1] - (rows[2 * i + 1] @ rows[2 * i]) * rows[2 * i]
+        rows[2 * i + 1] = cosine * rows[2 * i] + np.sqrt(1 - cosine**2) * aside / np.linalg.norm(aside)
+    return rows.astype(np.float32)
+
+
+def test_few_links_in_a_large_table(spark):
+    """A small sample has no link at all, which says nothing about the search."""
+    vectors = scattered_pairs(3000, 40)
+    settings = embedding_dedup.Settings(bucket=8, audited=16)
+    got = embedding_dedup.link_vectors(frame(spark, vectors, bad=False), 0.9, settings)
+    assert {r["vec_id"]: r["component_id"] for r in got.where("n_links > 0").collect()} == {
+        i: i - i % 2 for i in range(80)}
+
+
+def test_search_that_falls_short_fails_with_the_figure(spark):
+    settings = embedding_dedup.Settings(bucket=8, audited=64, evidence=3, audits=1, recall=1.01)
+    with pytest.raises(RuntimeError, match=r"partitions the search reaches [01]\.\d+ of"):
+        embedding_dedup.link_vectors(frame(spark, scattered_pairs(400, 100), bad=False), 0.9, settings)
+
+
+@pytest.mark.parametrize("n,probability", [(5_000, 0.98), (200_000, 0.98), (1_000_000, 0.98)])
+def test_partitions_follow_the_size(n, probability):
+    settings = embedding_dedup.Settings()
+    planes = int(np.ceil(np.log2(n / settings.bucket)))
+    share = (1 - np.arccos(0.9) / np.pi) ** planes
+    assert 1 - (1 - share) ** embedding_dedup.partitions(n, 0.9, settings) >= probability
