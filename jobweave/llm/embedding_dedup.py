@@ -2,7 +2,7 @@
 
 Each vector keeps a list of its nearest so far. A round introduces the neighbours of a vector to each
 other and keeps whom they prefer. A list that is full of links is saturated and doubles. Links at or above the threshold make
-the components. Vectors drawn until enough of them have links are compared with all; the search goes on until their
+the components, also those that no list has room for: each group of vectors that are compared gives its ties. Vectors drawn until enough of them have links are compared with all; the search goes on until their
 links, nearly all, lie inside components.
 """
 
@@ -22,12 +22,14 @@ from jobweave.llm.components import connected_components
 from jobweave.llm.vectors import dots, matrix, usable
 from jobweave.storage import materialise
 
+#: Entries of lists. A width of zero marks a tie: links, listed or not, connect its ends.
 LISTS = "node long, neighbour long, similarity double, width int"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``widest`` bounds a list, not a vector's links: inside components all links are counted in blocks."""
+    """``widest`` bounds a list, not a vector's links: ties keep what falls out of lists, and inside components all links
+    are counted in blocks."""
 
     width: int = 8
     widest: int = 64
@@ -96,7 +98,7 @@ def _roots(points: DataFrame, n: int, threshold: float, settings: Settings) -> D
     lists, truth, whole, recall = None, None, False, 0.0
     for audit in range(settings.audits):
         for turn in range(audit * sets, (audit + 1) * sets):
-            first = _first_lists(points, n, settings, turn, each)
+            first = _first_lists(points, n, threshold, settings, turn, each)
             lists = _merge(first if lists is None else lists.unionByName(first), settings, threshold)
         for _ in range(settings.rounds):
             lists, changed = _round(points, lists, settings, threshold)
@@ -104,6 +106,8 @@ def _roots(points: DataFrame, n: int, threshold: float, settings: Settings) -> D
                 break
         ties = _ties(lists, threshold)
         roots = materialise(connected_components(ties), "vector-roots")
+        lists = lists.where("width > 0").unionByName(roots.where(F.col("node") != F.col("root")).select(
+            "node", F.col("root").alias("neighbour"), F.lit(1.0).alias("similarity"), F.lit(0).alias("width")))
         if truth is None:
             truth, whole = true_links(points, n, threshold, settings)
         recall = _recall(truth, roots)
@@ -135,10 +139,12 @@ def _planes(n: int, settings: Settings) -> int:
 
 
 def _ties(lists: DataFrame, threshold: float) -> DataFrame:
-    return lists.where(F.col("similarity") >= threshold).select(F.col("node").alias("a"), F.col("neighbour").alias("b"))
+    return lists.where((F.col("width") == 0) | (F.col("similarity") >= threshold)).select(F.col("node").alias("a"), F.col("neighbour").alias("b"))
 
 
-def _first_lists(points: DataFrame, n: int, settings: Settings, turn: int, tables: int) -> DataFrame:
+def _first_lists(
+    points: DataFrame, n: int, threshold: float, settings: Settings, turn: int, tables: int
+) -> DataFrame:
     """Candidates from random partitions: vectors on the same side of some random planes."""
     keyed = points.select("name", "embedding").mapInArrow(
         partial(_bucket, planes=_planes(n, settings), settings=settings, turn=turn, tables=tables),
@@ -152,7 +158,7 @@ def _first_lists(points: DataFrame, n: int, settings: Settings, turn: int, table
         "part", "bucket", F.pmod(F.xxhash64("name", "part"), F.coalesce("blocks", F.lit(1))).alias("block"),
         "name", "embedding")
     ordered = keyed.repartition("part", "bucket", "block").sortWithinPartitions("part", "bucket", "block", "name")
-    return ordered.mapInArrow(partial(_nearest_in_bucket, settings=settings), LISTS)
+    return ordered.mapInArrow(partial(_nearest_in_bucket, settings=settings, threshold=threshold), LISTS)
 
 
 def _bucket(
@@ -171,8 +177,10 @@ def _bucket(
                 )
 
 
-def _nearest_in_bucket(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa.RecordBatch]:
-    """The nearest of each vector in its bucket, taken in runs of bounded length."""
+def _nearest_in_bucket(
+    batches: Iterator[pa.RecordBatch], settings: Settings, threshold: float
+) -> Iterator[pa.RecordBatch]:
+    """The nearest of each vector in its bucket, taken in runs of bounded length, and the ties of each run."""
     for batch in batches:
         for piece in pieces(batch):
             starts = group_starts(piece, 3)
@@ -184,6 +192,8 @@ def _nearest_in_bucket(batches: Iterator[pa.RecordBatch], settings: Settings) ->
                     if len(names) < 2:
                         continue
                     similarity = vectors @ vectors.T
+                    a, b = _stars(_near(similarity, vectors, threshold))
+                    yield _list_rows(names[a], names[b], np.ones(len(a)), 0)
                     np.fill_diagonal(similarity, -np.inf)
                     width = min(settings.width, len(names) - 1)
                     near = np.argpartition(-similarity, width - 1, axis=1)[:, :width]
@@ -199,6 +209,33 @@ def _list_rows(node, neighbour, similarity, width) -> pa.RecordBatch:
     )
 
 
+def _near(similarity: np.ndarray, vectors: np.ndarray, threshold: float) -> np.ndarray:
+    """Which vectors link with each other, none with itself."""
+    near = similarity >= threshold
+    # Numbers at the threshold are decided by the product that does not depend on the place.
+    a, b = np.nonzero(np.abs(similarity - threshold) < 1e-9)
+    near[a, b] = dots(vectors[a], vectors[b]) >= threshold
+    np.fill_diagonal(near, False)
+    return near
+
+
+def _stars(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each vector that links connect with an earlier one, and the first of its group."""
+    some = np.flatnonzero(near.any(axis=1))
+    if not len(some):
+        return some, some
+    near = near[np.ix_(some, some)]
+    root = np.arange(len(some))
+    while True:
+        least = np.minimum(root, np.where(near, root, len(some)).min(axis=1))
+        least = least[least]
+        if np.array_equal(root, least):
+            break
+        root = least
+    tied = np.flatnonzero(root != np.arange(len(some)))
+    return some[tied], some[root[tied]]
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     """Vectors of norm one; scaled first, so that no square leaves the range of a double."""
     scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
@@ -206,7 +243,7 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def _merge(found: DataFrame, settings: Settings, threshold: float) -> DataFrame:
-    """The best of each node's candidates, as many as its list is wide; a saturated list gets twice the width."""
+    """The best of each node's candidates, as many as its list is wide; a saturated list gets twice the width. Ties stay."""
     ordered = found.repartition("node").sortWithinPartitions("node", F.desc("similarity"), "neighbour")
     return materialise(
         ordered.mapInArrow(partial(_keep_best, settings=settings, threshold=threshold), LISTS), "neighbour-lists")
@@ -215,6 +252,13 @@ def _merge(found: DataFrame, settings: Settings, threshold: float) -> DataFrame:
 def _keep_best(batches: Iterator[pa.RecordBatch], settings: Settings, threshold: float) -> Iterator[pa.RecordBatch]:
     for batch in whole_groups(batches, 1):
         node, neighbour, similarity, width = (batch.column(i).to_numpy() for i in range(4))
+        tie = width == 0
+        if tie.any():
+            ends = np.unique(np.stack((node[tie], neighbour[tie]), axis=1), axis=0)
+            yield _list_rows(ends[:, 0], ends[:, 1], np.ones(len(ends)), 0)
+            node, neighbour, similarity, width = (x[~tie] for x in (node, neighbour, similarity, width))
+        if not len(node):
+            continue
         order = np.lexsort((neighbour, -similarity, node))
         fresh = np.ones(len(node), dtype=bool)
         fresh[1:] = (node[order][1:] != node[order][:-1]) | (neighbour[order][1:] != neighbour[order][:-1])
@@ -233,6 +277,7 @@ def _keep_best(batches: Iterator[pa.RecordBatch], settings: Settings, threshold:
 
 def _round(points: DataFrame, lists: DataFrame, settings: Settings, threshold: float) -> tuple[DataFrame, int]:
     """Introduces neighbours of a node to each other. Also returns how many list entries are new."""
+    ties, lists = lists.where("width = 0"), lists.where("width > 0")
     both = lists.select(F.col("node").alias("center"), F.col("neighbour").alias("member"), "similarity", "width").unionByName(
         lists.select(F.col("neighbour").alias("center"), F.col("node").alias("member"), "similarity", "width"))
     own = lists.groupBy("node").agg(
@@ -246,25 +291,29 @@ def _round(points: DataFrame, lists: DataFrame, settings: Settings, threshold: f
         F.broadcast(state) if fits_broadcast(state) else state, "member")
     ordered = ordered.repartition("center").sortWithinPartitions("center", F.desc("similarity"), "member")
     found = ordered.select("center", "member", "least", "own_width", "embedding").mapInArrow(
-        partial(_introduce, settings=settings), LISTS)
-    merged = _merge(lists.unionByName(found), settings, threshold)
-    changed = merged.join(lists, ["node", "neighbour"], "left_anti").count()
+        partial(_introduce, settings=settings, threshold=threshold), LISTS)
+    merged = _merge(lists.unionByName(ties).unionByName(found), settings, threshold)
+    changed = merged.where("width > 0").join(lists, ["node", "neighbour"], "left_anti").count()
     return merged, changed
 
 
-def _introduce(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa.RecordBatch]:
+def _introduce(
+    batches: Iterator[pa.RecordBatch], settings: Settings, threshold: float
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch):
             starts = group_starts(piece, 1)
             member, least, width = (piece.column(i).to_numpy() for i in (1, 2, 3))
             vectors = _unit(matrix(piece.column(4))) if piece.num_rows else None
-            rows = []
+            rows, ties = [], []
             for begin, stop in zip(starts, starts[1:]):
                 for start in range(begin, stop, 4 * settings.widest):
                     end = min(stop, start + 4 * settings.widest)
                     if end - start < 2:
                         continue
                     similarity = vectors[start:end] @ vectors[start:end].T
+                    a, b = _stars(_near(similarity, vectors[start:end], threshold))
+                    ties.append((a + start, b + start))
                     np.fill_diagonal(similarity, -np.inf)
                     # No more than a list holds can enter it from here.
                     most = min(int(width[start:end].max()), end - start - 1)
@@ -272,6 +321,8 @@ def _introduce(batches: Iterator[pa.RecordBatch], settings: Settings) -> Iterato
                     a, b = np.nonzero(similarity >= np.maximum(bound, np.nextafter(least[start:end], np.inf))[:, None])
                     rows.append((a + start, b + start))
             if rows:
+                a, b = (np.concatenate(x) for x in zip(*ties))
+                yield _list_rows(member[a], member[b], np.ones(len(a)), 0)
                 a, b = (np.concatenate(x) for x in zip(*rows))
                 exact = dots(vectors[a], vectors[b])
                 yield _list_rows(member[a], member[b], exact, width[a])
@@ -351,11 +402,7 @@ def _count_links(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterato
         links = np.zeros(len(names), dtype=np.int64)
         for start, end in zip(starts, starts[1:]):
             similarity = vectors[start:end] @ vectors[start:end].T
-            near = similarity >= threshold
-            # Numbers at the threshold are decided by the product that does not depend on the place.
-            a, b = np.nonzero(np.abs(similarity - threshold) < 1e-9)
-            near[a, b] = dots(vectors[start + a], vectors[start + b]) >= threshold
-            np.fill_diagonal(near, False)
+            near = _near(similarity, vectors[start:end], threshold)
             if low[start] != high[start]:
                 near &= own[start:end, None] != own[None, start:end]
             links[start:end] = near @ copies[start:end]

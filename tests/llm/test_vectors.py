@@ -139,3 +139,17 @@ def test_partitions_follow_the_size(n, probability):
     planes = int(np.ceil(np.log2(n / settings.bucket)))
     share = (1 - np.arccos(0.9) / np.pi) ** planes
     assert 1 - (1 - share) ** embedding_dedup.partitions(n, 0.9, settings) >= probability
+
+
+@pytest.mark.parametrize("audited", [512, 20])
+def test_clusters_wider_than_a_list(spark, audited):
+    """Lists hold only members of the own cluster; the links between the clusters count all the same."""
+    rng = np.random.default_rng(4)
+    centers = scattered_pairs(2, 1, cosine=0.95).astype(np.float64)
+    noise = rng.standard_normal((200, 64)) * np.sqrt(0.01 / 64)
+    vectors = (np.repeat(centers, 100, axis=0) + noise).astype(np.float32)
+    links, roots = links_by_hand(vectors, 0.9)
+    assert set(links) == {199} and set(roots) == {0}
+    settings = embedding_dedup.Settings(audited=audited, evidence=10)
+    got = embedding_dedup.link_vectors(frame(spark, vectors, bad=False), 0.9, settings).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(199, 0)}
