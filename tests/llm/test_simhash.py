@@ -119,3 +119,28 @@ def test_near_copies_like_brute_force(spark, listed, monkeypatch):
     again = near_copies.one_of_each(df.unionByName(df))
     assert again.count() == len(set(wanted.values()))
     assert near_copies.one_of_each(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("listed", [2, 64])
+def test_repeated_shingles_do_not_part_near_copies(spark, listed, monkeypatch):
+    """The fingerprint of a text with a shingle that comes often is far from its copy's; the sets are nearly equal."""
+    monkeypatch.setattr(near_copies, "LISTED", listed)
+    rng = np.random.default_rng(9)
+    texts = []
+    for _ in range(4):
+        text = " ".join(f"w{i}" for i in rng.integers(0, 10**6, 404))
+        texts += [text, text + " na" * 60, text + " na" * 61]
+    assert all(similar(texts[i], texts[i + 1]) for i in range(0, 12, 3))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in near_copies.one_of_each(df).collect()) == [0, 3, 6, 9]
+
+
+@pytest.mark.parametrize("listed", [2, 64])
+def test_fingerprints_turn_no_pair_down(spark, listed, monkeypatch):
+    monkeypatch.setattr(near_copies, "LISTED", listed)
+    rng = np.random.default_rng(10)
+    original = [f"w{i}" for i in rng.integers(0, 10**6, 300)]
+    texts = [" ".join([*original, *(f"x{copy}y{i}" for i in range(10))]) for copy in range(4)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = near_copies.one_of_each(df, near_copies.Settings(radius=0))
+    assert [r["doc_id"] for r in kept.collect()] == [0]
