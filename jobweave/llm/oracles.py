@@ -96,4 +96,88 @@ ORACLES = {
                    + len(regexp_extract_all(text, '<\\*\|')))::bigint as formatted_chars
         from turns group by conv_id
     """,
+    "op12_filter_audit": r"""
+        with tested as (
+            select coalesce(lang, '') as part, doc_id, coalesce(text, '') as t,
+                   regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words
+            from documents
+        ), masks as (
+            select part, doc_id,
+                   (len(words) < 200)::int + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::int
+                   + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::int
+                   + 8 * regexp_matches(t, '[#$%&*|]')::int
+                   + 16 * coalesce(min(doc_id) over (partition by t) < doc_id, false)::int as mask
+            from tested
+        ), known as (
+            select doc_id, coalesce(bool_or(quality = 1), false) as good, coalesce(bool_or(toxic = 1), false) as toxic
+            from labels group by doc_id
+        ), kinds as (
+            select part, mask, coalesce(good, false) as good, coalesce(toxic, false) as toxic, count(*) as n
+            from masks m left join known k on m.doc_id = k.doc_id group by all
+        ), filters as (
+            select unnest(['A', 'B', 'C', 'D', 'E']) as f
+        ), orders as (
+            select a.f || b.f || c.f || d.f || e.f as filter_order from filters a, filters b, filters c, filters d, filters e
+            where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+        ), steps as (
+            select filter_order, step, 1 << (ascii(filter_order[step]) - 65) as own,
+                   list_sum([1 << (ascii(filter_order[k]) - 65) for k in range(1, step)]) as earlier
+            from orders, range(1, 6) r(step)
+        ), counted as (
+            select part, filter_order, step, own,
+                   sum(case when mask & own = 0 and mask & coalesce(earlier, 0)::int = 0 then n else 0 end) as kept,
+                   sum(case when mask & own <> 0 and mask & coalesce(earlier, 0)::int = 0 then n else 0 end) as removed,
+                   sum(case when mask & own <> 0 and mask & coalesce(earlier, 0)::int <> 0 then n else 0 end) as redundant,
+                   sum(case when mask = own then n else 0 end) as unique_fails,
+                   sum(case when good and mask & own <> 0 and mask & coalesce(earlier, 0)::int = 0 then n else 0 end) as good_lost,
+                   sum(case when toxic and mask & own <> 0 and mask & coalesce(earlier, 0)::int = 0 then n else 0 end) as toxic_lost
+            from kinds, steps group by part, filter_order, step, own
+        )
+        select part, filter_order, step::int as step, kept::bigint as kept, removed::bigint as removed,
+               redundant::bigint as redundant, unique_fails::bigint as unique_fails, good_lost::bigint as good_lost,
+               toxic_lost::bigint as toxic_lost, (sum(removed) over (partition by part, own))::bigint as shapley
+        from counted
+    """,
+    "op13_collocations": r"""
+        with pieces as (
+            select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) as piece
+            from documents
+        ), lists as (
+            select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+        ), starts as (
+            select lang, w, unnest(range(1, len(w) + 1)) as i from lists
+        ), counts as (
+            select lang, array_to_string(w[i : i + size - 1], ' ') as phrase, size, count(*) as a
+            from starts, range(1, 4) r(size) where i + size - 1 <= len(w) group by all
+        ), cut as materialized (
+            select lang, phrase, a, k, array_to_string(string_split(phrase, ' ')[1 : k], ' ') as p,
+                   array_to_string(string_split(phrase, ' ')[k + 1 :], ' ') as q
+            from counts, range(1, 3) r(k) where size > k and a >= 10
+        ), known as materialized (
+            select lang, phrase, a from counts where a >= 10
+        ), cuts as (
+            select c.lang, c.phrase, c.a, k, x.a as l, y.a as r,
+                   1000000::hugeint * c.a * c.a // (x.a::hugeint * y.a) as score
+            from cut c join known x on c.lang = x.lang and c.p = x.phrase join known y on c.lang = y.lang and c.q = y.phrase
+        ), scored as (
+            select lang, phrase, a, arg_min(struct_pack(score, l, r), (score, k)) as cut from cuts group by lang, phrase, a
+        ), covers as (
+            select lang, part, max(a) as a from (
+                select lang, a, unnest([array_to_string(string_split(phrase, ' ')[1 : 2], ' '),
+                                        array_to_string(string_split(phrase, ' ')[2 : 3], ' ')]) as part
+                from scored where len(string_split(phrase, ' ')) = 3
+            ) group by lang, part
+        ), kept as (
+            select s.* from scored s left join covers c on c.lang = s.lang and c.part = s.phrase
+            where c.a is null or 100 * c.a < 50 * s.a
+        ), ranked as (
+            select *, row_number() over (partition by lang order by cut.score desc, a desc, encode(phrase)) as rank from kept
+        ), totals as (
+            select lang, sum(len(w))::bigint as n from lists group by lang
+        )
+        select k.lang, rank, phrase, a, cut.l as l, cut.r as r, n, cut.score::bigint as score
+        from ranked k join totals t on k.lang = t.lang where rank <= 2000
+    """,
 }

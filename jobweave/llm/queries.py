@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from jobweave.llm import ann, chat_format, embedding_dedup, language_id, line_dedup, mixing, segmentation, sharding, simhash, suffix_dedup
+from jobweave.llm import (
+    ann, byte_bpe, chat_format, collocations, embedding_dedup, filter_audit, language_id, line_dedup, mixing, segmentation, sharding,
+    simhash, suffix_dedup)
 from jobweave.llm.common import table
 
 MIX = mixing.Mix()
@@ -98,6 +100,29 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_chats(turns.unionByName(planted)))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document by the public ranks, and what they decode to."""
+    import public_tokenizers
+
+    ranks = byte_bpe.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded_texts = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks)
+    return byte_bpe.decode(encoded_texts, ranks).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each step of every order of five filters keeps and removes, by language."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return filter_audit.audit(documents, table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of every language that occur most beyond their parts."""
+    return collocations.mine(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_sentencepiece": op2_sentencepiece,
@@ -109,4 +134,7 @@ QUERIES = {
     "op8_ann": op8_ann,
     "op9_mixing": op9_mixing,
     "op10_chat_format": op10_chat_format,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_collocations": op13_collocations,
 }

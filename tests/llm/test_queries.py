@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     assert {*QUERIES, "pipeline"} <= set(driver.queries()) and set(ORACLES) <= set(QUERIES)
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
