@@ -368,6 +368,9 @@ ORACLES = {
     "submission_compat": f"WITH {CHECKED} SELECT id, class_code FROM checked",
     "stage_mixed_shards": STAGE_ROWS,
     "stage_rerun_shards": STAGE_ROWS,
+    "stage_whole_to_shards": """SELECT lang, count(*) AS n, count(DISTINCT doc_id) AS ids,
+CAST(sum(CASE WHEN after < 3 THEN n_chars ELSE doc_id % 3 + 1 END) AS BIGINT) AS chars, CAST(after AS INTEGER) AS after
+FROM documents, range(4) r(after) GROUP BY lang, after""",
     "submission_from_parts": "SELECT CAST(doc_id AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS class_code FROM documents",
     "empty_guard": "SELECT count(*) FILTER (lang = 'zz') = 0 AS zz_empty, count(*) FILTER (lang = 'en') = 0 AS en_empty FROM documents",
     "dim_codes_by_major_group": """WITH c AS (SELECT DISTINCT CASE WHEN p_partkey < 10000 THEN lpad(CAST(p_partkey AS VARCHAR), 4, '0') END AS code FROM part)
@@ -396,8 +399,18 @@ FROM p LEFT JOIN taxonomy t ON p.class_code = t.code""",
     "unknown_lang_anti": f"WITH {LANGUAGES} SELECT event_id, left(event_type, 2) AS lang FROM events WHERE left(event_type, 2) NOT IN (SELECT lang FROM languages)",
     "chunk_count": f"WITH {WINDOWS} SELECT count(*) AS n_chunks FROM windows",
     "outcome_report": f"WITH {CHECKED} SELECT lang, outcome, count(*) AS n FROM checked GROUP BY ALL",
+    "outcome_observed": f"WITH {CHECKED} SELECT lang, outcome, count(*) AS n FROM checked GROUP BY ALL",
+    "quoted_newlines": """SELECT CAST(doc_id AS VARCHAR) AS id, md5(text || ' "said"' || chr(10) || 'and,more') AS description_md5, lang FROM documents""",
+    "shard_by_position": """SELECT event_id, least((row_number() OVER (ORDER BY event_id) - 1) // (count(*) OVER () // 3) + 1, 3)::BIGINT AS shard
+FROM events""",
+    "index_update": """SELECT count(*) - 1 AS "right", count(*) AS first_embedded, count(*) - 1 AS chunks, 3::BIGINT AS embedded, 4::BIGINT AS removed,
+0::BIGINT AS changed_again FROM benchmark""",
+    "chunk_tokens": "SELECT doc_id, md5(regexp_replace(text, '[ \\n]', '', 'g')) AS letters_md5, true AS fits FROM documents WHERE trim(text) <> ''",
     "topk_similarity": TOPK,
     "topk_partitioned": TOPK,
+    "topk_lsh_recall": "SELECT count(*) AS n_queries, true AS reached, CAST(0 AS BIGINT) AS wrong_scores FROM embeddings",
+    "topk_compressed_recall": """SELECT count(*) AS n_queries, true AS reached, CAST(0 AS BIGINT) AS wrong_scores,
+count(*) AS n_indexed, CAST(max(len(embedding)) / 4 AS INTEGER) AS bytes_per_vector FROM embeddings""",
     "knn_label_vote": f"""WITH s AS ({NEIGHBOURS}),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, neighbour) AS place FROM s WHERE vec_id <> neighbour),
 v AS (SELECT vec_id, own, label, count(*) AS n FROM r WHERE place <= 5 GROUP BY ALL),
@@ -456,6 +469,8 @@ SELECT code, label, 0::BIGINT AS chunk_no, chunk, info, weight_sum FROM chunks J
     "detect_held_out": f"{held_out(0)} UNION ALL {held_out(1)}",
     "generate_offline": f"""WITH {ADS}, {translated('ads', 'title', 'description')}
 SELECT id, true AS parsed, title_en AS title, array_to_string(keyword_list, ',') AS keywords FROM translated""",
+    "generate_resumed": """SELECT count(*) AS n, count(*) AS "right", true AS first_failed, true AS kept_some, true AS sent_only_missing,
+0::BIGINT AS sent_again, count(DISTINCT text) AS answers FROM documents""",
     "detect_stage": f"WITH {GAPPY}, {detect_on('gappy')} SELECT id, description_clean, title_clean, lang, round(score, 6) AS score FROM detected",
     "translate_stage": f"""WITH {GAPPY}, {translated('gappy', 'title', 'description')}
 SELECT id, lang, job_desc_extracted, title_en, description_en, array_to_string(keyword_list, ',') AS keywords, 'ok' AS outcome FROM translated""",

@@ -7,21 +7,25 @@ missing and blank fields.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import math
 
-from jobweave.config import JobConfig, Limits
+from pyspark.errors import PythonException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from jobweave.config import JobConfig, Limits, Sampling
 from jobweave.functions import sections, text as clean
 from jobweave.functions.answers import parse_classification, parse_translation
+from jobweave.functions.tokens import SubwordCounter
 from jobweave.functions.prompts import chat_text, classification_messages, message, retrieval_query
 from jobweave.joins import lookup_join
-from jobweave.operators import coding, language, report, retrieval
+from jobweave.operators import coding, language, report, retrieval, vector_search
 from jobweave.operators.chunking import chunk_recursive, chunk_words
 from jobweave.operators.label_search import multi_field_hits as multi_field
-from jobweave.operators.generation import generate, offline_classifier, offline_translator
-from jobweave.operators.sharding import contiguous_shards, hash_shard
+from jobweave.operators.generation import AnswerStore, generate, prompt_key
+from jobweave.operators.sharding import contiguous_shards, hash_shard, position_shards
 from jobweave.plans import stages
 from jobweave.sources.tables import (
-    code_table, read_stage, spread, unlisted_languages, with_language_name, write_stage,
+    code_table, read_ads, read_stage, spread, unlisted_languages, with_language_name, write_stage,
 )
 from jobweave.storage import materialise, scratch_path
 
@@ -115,6 +119,15 @@ def na_normalise(spark, sf):
     return clean.na_to_null(events)
 
 
+def quoted_newlines(spark, sf):
+    """Whole documents as quoted fields, written as CSV and read split by split."""
+    path = scratch_path(spark, "quoted")
+    quoted = F.concat(F.col("text"), F.lit(' "said"\nand,more'))
+    table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), quoted.alias("description"), "lang").coalesce(
+        1).write.option("header", True).option("escape", '"').csv(path)
+    return read_ads(spark, path).select("id", F.md5("description").alias("description_md5"), "lang")
+
+
 def head_n(spark, sf):
     return table(spark, sf, "documents").select("doc_id", "lang").orderBy("doc_id").limit(100)
 
@@ -180,6 +193,14 @@ def outcome_report(spark, sf):
     )
 
 
+def outcome_observed(spark, sf):
+    """The outcome report counted while the rows are written."""
+    done = coding.read_classifications(answered_parts(spark, sf), taxonomy(spark, sf))
+    counted = report.Counted([r["lang"] for r in done.select("lang").distinct().collect()])
+    write_stage(counted.watch(done), scratch_path(spark, "observed"), ["codable"])
+    return counted.report(done)
+
+
 def submission(spark, sf):
     return coding.submission(
         coding.read_classifications(answered_parts(spark, sf), taxonomy(spark, sf))
@@ -229,6 +250,19 @@ def stage_rerun_shards(spark, sf):
     return _stage_rows(spark, path)
 
 
+def stage_whole_to_shards(spark, sf):
+    """A language written whole, then in thirds: what readers see before, and after each third."""
+    path = scratch_path(spark, "whole")
+    documents = table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    write_stage(documents, path, ["lang"], replaces=["en", "de", "fr", "es"])
+    seen = materialise(_stage_rows(spark, path).withColumn("after", F.lit(0)), "seen")
+    for shard in (1, 2, 3):
+        part = documents.where(F.pmod("doc_id", F.lit(3)) == shard - 1).withColumn("n_chars", F.lit(shard).cast("long"))
+        write_stage(part, path, ["lang"], (shard, 3), ["en", "de", "fr", "es"])
+        seen = seen.unionByName(materialise(_stage_rows(spark, path).withColumn("after", F.lit(shard)), "seen"))
+    return seen
+
+
 def submission_from_parts(spark, sf):
     """Classified by language group, one of them in thirds; the submission file holds all of it."""
     root = scratch_path(spark, "submission")
@@ -237,11 +271,12 @@ def submission_from_parts(spark, sf):
         "id", "lang", F.lit(True).alias("job_desc_extracted"),
         F.concat(F.lit("- Job Ad Title:\nx\n\n- Job Ad Description:\n"), "id").alias("prompt"))
     write_stage(prompts, f"{root}/prompts", ["lang", "job_desc_extracted"])
+    answers = prompts.select("prompt", F.lit(NOT_CODABLE).alias("answer"))
     paths = stages.Paths("", f"{root}/labels", "", "", "", f"{root}/prompts", f"{root}/predicted", f"{root}/out")
     codes = code_table(taxonomy(spark, sf))
-    stages.run_classify(spark, paths, ["fr", "de", "es", "un"], offline_classifier, codes, config=CONFIG)
+    stages.run_classify(spark, paths, ["fr", "de", "es", "un"], answers, codes, config=CONFIG)
     for shard in (1, 2, 3):
-        stages.run_classify(spark, paths, ["en"], offline_classifier, codes, shard, CONFIG)
+        stages.run_classify(spark, paths, ["en"], answers, codes, shard, CONFIG)
     stages.run_submission(spark, paths, CONFIG)
     return spark.read.schema("id string, class_code string").csv(f"{root}/out")
 
@@ -311,6 +346,11 @@ def shard_sizes_repeated_key(spark, sf):
     )
 
 
+def shard_by_position(spark, sf):
+    """Thirds of a table in the order of its file, whose rows are in the order of their ids."""
+    return position_shards(table(spark, sf, "events"), 3).select("event_id", F.col("shard").cast("long").alias("shard"))
+
+
 def shard_by_hash(spark, sf):
     lines = table(spark, sf, "lineitem").withColumn("shard", hash_shard(F.col("l_orderkey"), 3))
     return lines.agg(
@@ -438,9 +478,8 @@ def format_hits(spark, sf):
         F.concat(F.lit("label "), F.col("label").cast("string")).alias("label"),
         F.concat(F.lit("vector "), F.col("vec_id").cast("string")).alias("info"), "embedding",
     )
-    found = retrieval.top_k(
-        vectors, {"hits": F.col("embedding")}, corpus, "embedding", "code", ["label", "info"]
-    )
+    both = vector_search.sides(vectors, {"hits": F.col("embedding")}, corpus, "embedding", "code", ["label", "info"])
+    found = vector_search.top_k_blocks(both)
     return found.select("vec_id", sections.format_hits(F.col("hits")).alias("categories"))
 
 
@@ -557,6 +596,18 @@ def chunk_cover(spark, sf):
     )
 
 
+def chunk_tokens(spark, sf):
+    """As ``chunk_cover``, by the tokens of a public tokenizer: none has more than its size by the plain encoder."""
+    import public_tokenizers
+
+    counter = SubwordCounter(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    chunks = chunk_recursive(texts(spark, sf, "documents").select("doc_id", "text"), "text", 200, 0, count=counter)
+    pieces = F.transform(F.sort_array(F.collect_list(F.struct("chunk_no", "chunk"))), lambda c: c["chunk"])
+    return chunks.withColumn("tokens", counter.token_column(F.col("chunk"))).groupBy("doc_id").agg(
+        F.md5(F.regexp_replace(F.array_join(pieces, ""), r"[ \n]", "")).alias("letters_md5"),
+        (F.max("tokens") <= 200).alias("fits"))
+
+
 def chunk_count(spark, sf):
     return report.chunk_count(
         chunk_words(texts(spark, sf, "documents").select("doc_id", "text"), "text", 100, 10)
@@ -572,6 +623,24 @@ def hash_embed(spark, sf):
     )
 
 
+def index_update(spark, sf):
+    """An index of all labels, then three of them changed and one gone: what is embedded and removed."""
+    path = scratch_path(spark, "label-index")
+    labels = taxonomy(spark, sf)
+    first = retrieval.update_label_index(labels, path, CONFIG)
+    last = labels.agg(F.max("pos")).first()[0]
+    changed = labels.where(F.col("pos") < last).withColumn(
+        "description", F.when(F.col("pos") >= last - 3, F.concat(F.lit("changed "), "description")).otherwise(F.col("description")))
+    second = retrieval.update_label_index(changed, path, CONFIG)
+    third = retrieval.update_label_index(changed, path, CONFIG)
+    vectors = spark.read.parquet(path).join(
+        retrieval.build_label_index(changed, CONFIG).select("place", F.col("embedding").alias("wanted")), "place")
+    return vectors.agg(F.count_if(F.col("embedding") == F.col("wanted")).alias("right")).select(
+        "right", *(F.lit(x).cast("long").alias(name) for x, name in (
+            (first.embedded, "first_embedded"), (second.chunks, "chunks"), (second.embedded, "embedded"),
+            (second.removed, "removed"), (third.embedded + third.removed, "changed_again"))))
+
+
 def label_index(spark, sf):
     index = retrieval.build_label_index(taxonomy(spark, sf), CONFIG)
     return index.select(
@@ -587,28 +656,77 @@ def _hits(found: DataFrame) -> DataFrame:
     )
 
 
-def topk_similarity(spark, sf):
+def _vector_sides(spark, sf, *payload):
     vectors = table(spark, sf, "embeddings")
-    corpus = vectors.select(F.col("vec_id").alias("neighbour"), "embedding")
-    return _hits(retrieval.top_k(vectors, {"hits": F.col("embedding")}, corpus, "embedding", "neighbour"))
+    corpus = vectors.select(F.col("vec_id").alias("neighbour"), *payload, "embedding")
+    return vector_search.sides(vectors, {"hits": F.col("embedding")}, corpus, "embedding", "neighbour", payload)
+
+
+def topk_similarity(spark, sf):
+    return _hits(vector_search.top_k_blocks(_vector_sides(spark, sf)))
 
 
 def topk_partitioned(spark, sf):
-    vectors = table(spark, sf, "embeddings")
-    corpus = vectors.select(F.col("vec_id").alias("neighbour"), "embedding")
-    third = Limits(index_values=vectors.agg(F.sum(F.size("embedding"))).first()[0] // 3 + 1)
-    return _hits(retrieval.top_k(
-        vectors, {"hits": F.col("embedding")}, corpus, "embedding", "neighbour", limits=third
-    ))
+    """As many blocks on either side as the table has thirds."""
+    both = _vector_sides(spark, sf)
+    third = both.rows.count() * both.dimensions // 3 + 1
+    return _hits(vector_search.top_k_blocks(both, cell_values=third))
+
+
+def _small_buckets(spark, sf):
+    """Every vector searched by hashing, in buckets small enough that the test tables have several."""
+    return vector_search.top_k_hashed(_vector_sides(spark, sf), hashing=vector_search.Hashing(rows=64))
+
+
+def _against_exact(spark, sf, found):
+    """Recall of hits against all pairs, and whether every score is that of the pair."""
+    exact = topk_similarity(spark, sf)
+    hits = _hits(found).drop("place")
+    due = exact.groupBy("vec_id").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("due"))
+    known = exact.select("vec_id", "neighbour", F.col("score").alias("wanted"))
+    judged = hits.join(due, "vec_id").join(known, ["vec_id", "neighbour"], "left").groupBy("vec_id", "due").agg(
+        F.count_if(F.col("score") >= F.col("least")).alias("n"),
+        F.count_if(F.abs(F.col("score") - F.col("wanted")) > 2e-6).alias("wrong"))
+    return judged.agg(
+        F.count(F.lit(1)).alias("n_queries"), (F.sum(F.least("n", "due")) / F.sum("due")).alias("recall"),
+        F.sum("wrong").alias("wrong_scores"))
+
+
+def topk_lsh(spark, sf):
+    found, audited = _small_buckets(spark, sf)
+    return _hits(found).withColumn("audited_recall", F.lit(audited))
+
+
+def topk_lsh_recall(spark, sf):
+    """Whether hashing finds 0.95 of what comparing all pairs finds, with the same scores."""
+    measured = _against_exact(spark, sf, _small_buckets(spark, sf)[0])
+    return measured.select("n_queries", (F.col("recall") >= 0.95).alias("reached"), "wrong_scores")
+
+
+def _compressed(spark, sf):
+    both = _vector_sides(spark, sf)
+    books = vector_search.fit(both)
+    codes = materialise(vector_search.compress(both, books), "codes")
+    return vector_search.top_k_compressed(both, books, codes), books, codes
+
+
+def topk_compressed(spark, sf):
+    found, books, _ = _compressed(spark, sf)
+    return _hits(found).withColumn("bytes_per_vector", F.lit(books.bytes_per_vector))
+
+
+def topk_compressed_recall(spark, sf):
+    """All rows are indexed; recall against all pairs; bytes of an indexed vector."""
+    found, _, codes = _compressed(spark, sf)
+    indexed = codes.agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("codes")).alias("bytes")).first()
+    return _against_exact(spark, sf, found).select(
+        "n_queries", (F.col("recall") >= 0.95).alias("reached"), "wrong_scores",
+        F.lit(indexed["n"]).cast("long").alias("n_indexed"), F.lit(indexed["bytes"]).cast("int").alias("bytes_per_vector"))
 
 
 def knn_label_vote(spark, sf):
     """How often the five nearest other vectors agree on a vector's own label."""
-    vectors = table(spark, sf, "embeddings")
-    corpus = vectors.select(F.col("vec_id").alias("neighbour"), "label", "embedding")
-    found = retrieval.top_k(
-        vectors, {"hits": F.col("embedding")}, corpus, "embedding", "neighbour", ["label"], k=6
-    )
+    found = vector_search.top_k_blocks(_vector_sides(spark, sf, "label"), k=6)
     others = F.slice(F.filter("hits", lambda h: h["neighbour"] != F.col("vec_id")), 1, 5)
     votes = (
         found.select("vec_id", "label", F.explode(others).alias("h"))
@@ -698,16 +816,92 @@ def detect_stage(spark, sf):
     return done.select("id", "description_clean", "title_clean", "lang", F.round("score", 6).alias("score"))
 
 
+def translation_answers(prompted: DataFrame, title: str, description: str) -> DataFrame:
+    """``prompt, answer``: title and description as they are, the most frequent long words as keywords."""
+    said = prompted.select(
+        "id", F.col("translation_prompt").alias("prompt"), F.coalesce(F.col(title), F.lit("None")).alias("title"),
+        F.coalesce(F.col(description), F.lit("None")).alias("description"))
+    words = F.regexp_extract_all(F.lower("description"), F.lit(r"\p{L}+"), F.lit(0))
+    counts = said.select("id", F.explode(words).alias("w")).where(F.char_length("w") >= 4).groupBy("id", "w").count()
+    place = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("count"), "w"))
+    top = counts.withColumn("place", place).where("place <= 5").groupBy("id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("place", "w"))), lambda p: p["w"]).alias("keywords"))
+    fields = F.struct(
+        (~F.col("description").isin("", "None")).alias("job_desc_extracted"), "title", "description",
+        F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords"))
+    return said.join(top, "id", "left").select("prompt", F.to_json(fields).alias("answer"))
+
+
+NOT_CODABLE = '{"codable": false, "class_code": null, "likelihood": null}'
+
+
+def _letters(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0)))
+
+
+def classification_answers(prompted: DataFrame, title: str = "title_en", description: str = "description_en") -> DataFrame:
+    """``prompt, answer``: the first proposed label, with the share of its words that the ad has."""
+    shown = F.regexp_extract(F.split(sections.format_hits(F.col("hits")), "\n")[0], r"^\S+: (.*)$", 1)
+    own = _letters(F.concat_ws(" ", F.coalesce(F.col(title), F.lit("None")), F.coalesce(F.col(description), F.lit("None"))))
+    label = _letters(shown)
+    share = F.when(F.size(label) == 0, 0.0).otherwise(F.size(F.array_intersect(own, label)) / F.size(label))
+    first = F.get("hits", F.lit(0))["code"]
+    said = F.to_json(F.struct(F.lit(True).alias("codable"), first.alias("class_code"), share.alias("likelihood")))
+    return prompted.select("prompt", F.when(first.isNull(), NOT_CODABLE).otherwise(said).alias("answer"))
+
+
 def generate_offline(spark, sf):
+    """Answers that were made elsewhere, attached to the prompts that they belong to."""
     prompted = stages.translation_prompts(ads(spark, sf), "title", "description")
-    done = generate(prompted, "translation_prompt", "answer", offline_translator)
+    answers = translation_answers(prompted, "title", "description")
+    done = generate(prompted, "translation_prompt", "answer", answers)
     return done.select("id", parse_translation(F.col("answer")).alias("r")).select(
         "id", "r.parsed", "r.title", F.array_join("r.keywords", ",").alias("keywords")
     )
 
 
+def generate_resumed(spark, sf):
+    """A run that fails midway, and one after it: what each of them has sent to the model, by a log that the model keeps.
+
+    The model answers with the length of the prompt and breaks down over a prompt of the last batch.
+    """
+    prompted = ads(spark, sf).select("id", F.col("description").alias("prompt"))
+    distinct = prompted.select("prompt").distinct().count()
+    store = AnswerStore(scratch_path(spark, "answers"), batch=distinct // 5 + 1)
+    batch = F.pmod(F.xxhash64(prompt_key(F.col("prompt"), Sampling())), F.lit(math.ceil(distinct / store.batch)))
+    broken = prompted.select(F.max_by("prompt", F.struct(batch, "prompt"))).first()[0]
+    told = {}
+    for run, fails in (("first", True), ("second", False), ("third", False)):
+        calls = spark.sparkContext.accumulator(0)
+
+        def backend(fails=fails, calls=calls):
+            def answer(texts):
+                if fails and broken in set(texts):
+                    raise RuntimeError("the model broke down")
+                calls.add(len(texts))
+                return texts.map(lambda t: str(len(t)))
+
+            return answer
+
+        before = store.read(spark).count()
+        try:
+            done = generate(prompted, "prompt", "answer", backend, store=store)
+        except PythonException:
+            done = None
+        told[run] = (done is None, before, store.read(spark).count(), calls.value)
+    (failed, _, kept, _), (_, _, all_kept, sent), (_, _, _, again) = told.values()
+    return done.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("answer") == F.length("prompt").cast("string")).alias("right"),
+    ).select(
+        "n", "right", F.lit(failed).alias("first_failed"), F.lit(0 < kept < all_kept).alias("kept_some"),
+        F.lit(sent == all_kept - kept).alias("sent_only_missing"), F.lit(again).cast("long").alias("sent_again"),
+        F.lit(all_kept).cast("long").alias("answers"))
+
+
 def translate_stage(spark, sf):
-    done = stages.translate_stage(gappy_ads(spark, sf), "title", "description", offline_translator)
+    given = gappy_ads(spark, sf)
+    answers = translation_answers(stages.translation_prompts(given, "title", "description"), "title", "description")
+    done = stages.translate_stage(given, "title", "description", answers)
     return done.select(
         "id", "lang", "job_desc_extracted", "title_en", "description_en",
         F.array_join("keywords", ",").alias("keywords"), "outcome",
@@ -721,9 +915,9 @@ def prompt_stage(spark, sf):
 def classify_stage(spark, sf):
     labels = taxonomy(spark, sf)
     prompts = materialise(
-        stages.prompt_stage(searched_ads(spark, sf), stored_index(spark, sf)), "prompts"
+        stages.prompt_stage(searched_ads(spark, sf), stored_index(spark, sf), hits=True), "prompts"
     )
-    done = stages.classify_stage(prompts, labels, offline_classifier)
+    done = stages.classify_stage(prompts.drop("hits"), labels, classification_answers(prompts))
     return done.select("id", "codable", "class_code", "likelihood", "label_code", "outcome")
 
 
@@ -733,14 +927,14 @@ def all_stages(spark, sf):
     detected = materialise(
         stages.detect_stage(gappy_ads(spark, sf).drop("lang"), profile(spark, sf)), "detected"
     )
+    answers = translation_answers(
+        stages.translation_prompts(detected, "title_clean", "description_clean"), "title_clean", "description_clean")
     translated = materialise(
-        stages.translate_stage(
-            detected, "title_clean", "description_clean", offline_translator
-        ).drop("outcome"),
+        stages.translate_stage(detected, "title_clean", "description_clean", answers).drop("outcome"),
         "translated",
     )
-    prompts = materialise(stages.prompt_stage(translated, stored_index(spark, sf)), "prompts")
-    done = stages.classify_stage(prompts, labels, offline_classifier)
+    prompts = materialise(stages.prompt_stage(translated, stored_index(spark, sf), hits=True), "prompts")
+    done = stages.classify_stage(prompts.drop("hits"), labels, classification_answers(prompts))
     return done.select(
         "id", "lang", F.when(F.col("codable"), F.col("class_code")).alias("class_code")
     )
@@ -765,8 +959,10 @@ QUERIES = {
     "submission": submission,
     "submission_compat": submission_compat,
     "empty_guard": empty_guard,
+    "quoted_newlines": quoted_newlines,
     "stage_mixed_shards": stage_mixed_shards,
     "stage_rerun_shards": stage_rerun_shards,
+    "stage_whole_to_shards": stage_whole_to_shards,
     "submission_from_parts": submission_from_parts,
     "dim_codes_by_major_group": dim_codes_by_major_group,
     "overrides": overrides,
@@ -778,6 +974,7 @@ QUERIES = {
     "shard_contiguous_lineitem": shard_contiguous_lineitem,
     "shard_sizes_repeated_key": shard_sizes_repeated_key,
     "shard_by_hash": shard_by_hash,
+    "shard_by_position": shard_by_position,
     "code_validity": code_validity,
     "result_join": result_join,
     "result_join_dup": result_join_dup,
@@ -785,9 +982,16 @@ QUERIES = {
     "lang_name": lang_name,
     "unknown_lang_anti": unknown_lang_anti,
     "chunk_count": chunk_count,
+    "chunk_tokens": chunk_tokens,
+    "index_update": index_update,
     "outcome_report": outcome_report,
+    "outcome_observed": outcome_observed,
     "topk_similarity": topk_similarity,
     "topk_partitioned": topk_partitioned,
+    "topk_lsh": topk_lsh,
+    "topk_lsh_recall": topk_lsh_recall,
+    "topk_compressed": topk_compressed,
+    "topk_compressed_recall": topk_compressed_recall,
     "knn_label_vote": knn_label_vote,
     "ordered_union_hits": ordered_union_hits,
     "html_unescape": html_entities_python,
@@ -827,6 +1031,7 @@ QUERIES = {
     "detect_language": detect_language,
     "detect_held_out": detect_held_out,
     "generate_offline": generate_offline,
+    "generate_resumed": generate_resumed,
     "detect_stage": detect_stage,
     "translate_stage": translate_stage,
     "prompt_stage": prompt_stage,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.sql import Column
+
 from jobweave import fixed
 
 
@@ -18,6 +20,7 @@ class Sampling:
     top_p: float = 0.8
     repetition_penalty: float = 1.05
     context_tokens: int = 20000
+    count_tokens: Callable[[Column], Column] | None = None  # of the model; words where none is given
 
 
 @dataclass(frozen=True)
@@ -36,7 +39,7 @@ class Limits:
 
     broadcast_rows: int = 2_000_000
     broadcast_bytes: int = 256 * 1024 * 1024
-    index_values: int = 64_000_000  # rows x dimensions of a broadcast vector matrix
+    index_values: int = 16_000_000  # rows x dimensions of a broadcast vector matrix, or of a block
     salts: int = 32  # copies of the small side of a shuffled lookup
 
 

@@ -27,17 +27,25 @@ def _parts(text: str, separator: str) -> list[str]:
 
 
 def _packed(parts: list[str], size: int, overlap: int, count: TokenCounter) -> Iterator[str]:
-    """Neighbouring parts put together as far as they fit; the next chunk repeats up to ``overlap`` tokens."""
+    """Neighbouring parts put together as far as they fit; the next chunk repeats up to ``overlap`` tokens.
+
+    A chunk loses the blanks at its head, which may change what sub-words its first part has.
+    """
     window: list[tuple[str, int]] = []
-    used = 0
+    first = used = 0  # tokens of the first part without its blanks, and of all others
     for part in parts:
         tokens = count(part)
-        if window and used + tokens > size:
+        if window and first + used + tokens > size:
             yield "".join(p for p, _ in window)
-            while window and (used > overlap or used + tokens > size):
-                used -= window.pop(0)[1]
+            while window and (first + used > overlap or first + used + tokens > size):
+                window.pop(0)
+                first = count(window[0][0].lstrip()) if window else 0
+                used -= window[0][1] if window else 0
+        if window:
+            used += tokens
+        else:
+            first, used = count(part.lstrip()), 0
         window.append((part, tokens))
-        used += tokens
     if window:
         yield "".join(p for p, _ in window)
 

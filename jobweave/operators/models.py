@@ -15,7 +15,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobweave.joins import content_hash
-from jobweave.storage import materialise
 
 #: Texts that one task sends to a model, at most.
 TEXTS_PER_TASK = 1000
@@ -78,18 +77,3 @@ def join_by_text(keyed: DataFrame, column: str, results: DataFrame) -> DataFrame
     """
     key = f"{column}_key"
     return keyed.join(results.withColumnRenamed("_text_key", key), key, "left").drop(key)
-
-
-def once_per_text(
-    df: DataFrame, text_column: str, result_column: str, compute: Callable[[Column], Column]
-) -> DataFrame:
-    """Add ``compute(text)``, evaluated once per distinct text and kept in a written table.
-
-    For results that are dear or not repeatable. Copies of a text are dropped before the model
-    runs.
-    """
-    keyed, distinct = distinct_texts(df, text_column)
-    answers = materialise(
-        distinct.select("_text_key", compute(F.col("_text")).alias(result_column)), result_column
-    )
-    return join_by_text(keyed, text_column, answers)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import hashlib
-import math
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from jobweave.config import JobConfig, Limits
@@ -16,9 +17,10 @@ from jobweave.functions.sections import extract_info
 from jobweave.functions.text import word_text
 from jobweave.operators.chunking import chunk_recursive, count_words
 from jobweave.operators.models import Backend, model_column
+from jobweave.operators.similarity import best_columns, unit_rows
+from jobweave.operators.vector_search import sides, top_k_blocks
 from jobweave.storage import materialise
 
-SCORE_DIGITS = 6
 _BATCH_VALUES = 4_000_000  # similarities held at a time in one task
 
 
@@ -97,36 +99,63 @@ def write_label_index(index: DataFrame, path: str) -> None:
     index.write.mode("overwrite").parquet(path)
 
 
-# --- search --------------------------------------------------------------------
+@dataclass(frozen=True)
+class IndexChange:
+    """What an update did: chunks in the index, of these embedded anew, and chunks that went."""
+
+    chunks: int
+    embedded: int
+    removed: int
 
 
-def unit_rows(matrix: np.ndarray) -> np.ndarray:
-    norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return matrix / np.where(norms == 0, 1.0, norms)
+def update_label_index(
+    labels: DataFrame, path: str, config: JobConfig = JobConfig(), embedder: Backend | None = None, model: str | None = None
+) -> IndexChange:
+    """Makes the stored index that of ``labels``, and embeds only chunks whose text it does not hold yet.
 
+    A vector is known by a hash of its chunk's text, the embedder's name (``model``, by default the configured one) and the
+    dimensions. Chunks with new metadata keep their vector; vanished ones go. The new index is written aside and
+    then takes the place of the old one. The counts are observed while it is written.
+    """
+    spark = labels.sparkSession
+    name = model or (config.embedding_model if embedder else "hash")
+    text_key = F.md5(F.concat_ws("\x01", F.lit(name), F.lit(str(config.dimensions)), "chunk"))
+    chunks = materialise(label_chunks(labels, config).withColumn("text_key", text_key), "chunks")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    stored = spark.read.parquet(path) if files.exists(place) else None
+    if stored is None or "text_key" not in stored.columns:
+        known = spark.createDataFrame([], "text_key string, embedding array<double>")
+        before = 0 if stored is None else stored.count()
+        kept = 0
+    else:
+        known = materialise(stored.select("text_key", "embedding").dropDuplicates(["text_key"]), "known-vectors")
+        before = stored.count()
+        kept = stored.join(chunks.select("place").distinct(), "place", "left_semi").count()
+    fresh = chunks.select("text_key", "chunk").dropDuplicates(["text_key"]).join(known, "text_key", "left_anti")
+    fresh = materialise(fresh.select("text_key", embed_column(F.col("chunk"), config, embedder).alias("embedding")), "new-vectors")
+    new = f"{path.rstrip('/')}-new-{uuid.uuid4().hex}"
+    seen = Observation()
+    chunks.join(known.unionByName(fresh), "text_key").observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(new)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}-old-{uuid.uuid4().hex}")
+    if files.exists(place):
+        files.rename(place, old)
+    if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(new), place):
+        raise OSError(f"cannot move {new} to {path}")
+    files.delete(old, True)
+    return IndexChange(seen.get["n"], fresh.count(), before - kept)
 
-def best_columns(scores: np.ndarray, k: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The k best columns of every row: by rounded score, then by column number."""
-    rounded = np.round(scores, SCORE_DIGITS) + 0.0
-    n = rounded.shape[1]
-    if n == 0:
-        return rounded, [np.empty(0, dtype=int)] * len(rounded)
-    k = min(k, n)
-    kth = np.partition(rounded, n - k, axis=1)[:, n - k]
-    picks = []
-    for row, least in zip(rounded, kth):
-        candidates = np.flatnonzero(row >= least)
-        picks.append(candidates[np.argsort(-row[candidates], kind="stable")][:k])
-    return rounded, picks
 
+# --- search --------------------------------------------------------------------
 
-def index_slabs(corpus: DataFrame, vector: str, limits: Limits) -> int:
-    """In how many slabs a corpus has to be cut so that each fits a task, payload included."""
+
+def fits_task(corpus: DataFrame, vector: str, limits: Limits) -> bool:
+    """Whether a corpus, payload included, may be broadcast, measured by one aggregation."""
     others = [F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0)) for c in corpus.columns if c != vector]
     values, payload = corpus.agg(
         F.coalesce(F.sum(F.size(vector)), F.lit(0)), F.coalesce(F.sum(sum(others, F.lit(0))), F.lit(0))
     ).first()
-    return max(1, math.ceil(values / limits.index_values), math.ceil(payload / limits.broadcast_bytes))
+    return values <= limits.index_values and payload <= limits.broadcast_bytes
 
 
 def top_k(
@@ -142,44 +171,30 @@ def top_k(
 ) -> DataFrame:
     """Add, for each named query vector, the k nearest corpus rows as an ordered array.
 
-    The corpus is cut into slabs within the bounds by its measured size, mostly one. A slab is broadcast as a
+    A corpus within the bounds by its measured size, as a label index is, is broadcast as a
     matrix; queries stay where they are and are multiplied batch by batch: no shuffle, and no
-    pair leaves the task that scored it. With several slabs the queries pass by one after the other, and
-    keep the k best so far in a stored table between them. Ties go to the smaller key. Rows of either side
+    pair leaves the task that scored it. A larger one never reaches the driver: blocks of queries meet blocks of the
+    corpus on executors (``vector_search``). Ties go to the smaller key. Rows of either side
     without a vector have no hits and are not found.
     """
     if metric not in ("cosine", "dot"):
         raise ValueError(f"unknown metric: {metric}")
     kept = list(dict.fromkeys([key, *payload]))
     rows = corpus.where(F.col(corpus_vector).isNotNull()).select(*kept, corpus_vector)
-    slabs = index_slabs(rows, corpus_vector, limits)
     hit_type = ArrayType(StructType(
         [StructField(n, corpus.schema[n].dataType) for n in kept] + [StructField("score", DoubleType())]
     ))
-    if slabs == 1:
-        find = _search_slab(rows, corpus_vector, kept, hit_type, k, metric)
-        return queries.withColumns({name: find(vector) for name, vector in query_vectors.items()})
-
-    def better(x: Column, y: Column) -> Column:
-        return F.when((x["score"] > y["score"]) | ((x["score"] == y["score"]) & (x[key] < y[key])), -1).otherwise(1)
-
-    # Vectors may come from a model whose answers differ from call to call, so they are stored as well.
-    done = materialise(queries.withColumns({f"_v_{name}": v for name, v in query_vectors.items()}), "asked")
-    for slab in range(slabs):
-        part = rows.where(F.pmod(F.xxhash64(key), F.lit(slabs)) == slab)
-        find = _search_slab(part, corpus_vector, kept, hit_type, k, metric)
-        for name in query_vectors:
-            found = find(F.col(f"_v_{name}"))
-            merged = found if slab == 0 else F.slice(F.array_sort(F.concat(name, found), better), 1, k)
-            done = done.withColumn(name, merged)
-        done = materialise(done, "hits")
-    return done.drop(*(f"_v_{name}" for name in query_vectors))
-
-
-def _search_slab(
+    if not fits_task(rows, corpus_vector, limits):
+        both = sides(queries, query_vectors, rows, corpus_vector, key, kept, metric)
+        return top_k_blocks(both, k, limits.index_values)
+    find = _search_matrix(rows, corpus_vector, kept, hit_type, k, metric)
+    return queries.withColumns({name: find(vector) for name, vector in query_vectors.items()})
+
+
+def _search_matrix(
     rows: DataFrame, vector: str, kept: list[str], hit_type: ArrayType, k: int, metric: str
 ):
-    """A column function: the hits of a query vector in one slab."""
+    """A column function: the hits of a query vector in a corpus that fits a task."""
     table = rows.orderBy(*kept).toArrow()
     flat = table[vector].combine_chunks().flatten().to_numpy(zero_copy_only=False)
     matrix = flat.astype(float).reshape(table.num_rows, -1) if table.num_rows else np.empty((0, 0))

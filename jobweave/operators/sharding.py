@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from jobweave.joins import content_hash
+from jobweave.joins import content_hash, lookup_join
 from jobweave.storage import materialise
 
 
@@ -15,6 +15,32 @@ def hash_shard(key: Column, shards: int) -> Column:
     return (F.pmod(F.xxhash64(key), F.lit(shards)) + 1).cast("int")
 
 
+def position_shards(table: DataFrame, shards: int, column: str = "shard") -> DataFrame:
+    """Add the shard 1..n of each row by its place in the files of a Parquet table, in the order of their names.
+
+    Every shard gets ``rows // n`` rows, the last one also the rest; with fewer rows than shards, all rows are in
+    the last. The place is the rows of the files before plus the row's own number in its file, so only files are
+    counted: nothing is sorted, and no row moves. ``table`` must be a scan, filtered by partition columns at most.
+    """
+    placed = table.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    counts = materialise(table.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(
+        F.count(F.lit(1)).alias("_n")), "file-rows")
+    size = (counts.agg(F.sum("_n")).first()[0] or 0) // shards
+    if size == 0:
+        return table.withColumn(column, F.lit(shards))
+    # One row per file. Names are told apart by their first parts, so that no task numbers all files.
+    before = F.sum("_n").over(Window.partitionBy("_folder").orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
+    folder = F.regexp_extract("_file", r"^(.*)/[^/]*$", 1)
+    folders = counts.groupBy(folder.alias("_folder")).agg(F.sum("_n").alias("_all"))
+    above = F.sum("_all").over(Window.orderBy("_folder").rowsBetween(Window.unboundedPreceding, -1))  # a row per folder
+    starts = counts.withColumn("_folder", folder).withColumn("_in", F.coalesce(before, F.lit(0))).join(
+        F.broadcast(folders.select("_folder", F.coalesce(above, F.lit(0)).alias("_above"))), "_folder")
+    starts = materialise(starts.select("_file", (F.col("_in") + F.col("_above")).alias("_start")), "file-starts")
+    place = F.col("_start") + F.col("_row")
+    shard = F.least(F.floor(place / F.lit(size)) + 1, F.lit(shards)).cast("int")
+    return lookup_join(placed, starts, "_file").withColumn(column, shard).select(*table.columns, column)
+
+
 def contiguous_shards(
     df: DataFrame, shards: int, order_by: Sequence[str], column: str = "shard"
 ) -> DataFrame:
@@ -42,7 +68,7 @@ def contiguous_shards(
         shard = shard + (here >= _literal(key, df, order)).cast("int")
     result = (df.where(~at_cut) if split else df).withColumn(column, shard).drop("_tie")
     if split:
-        copies = df.where(at_cut).withColumn("_copy", F.monotonically_increasing_id()).checkpoint()
+        copies = materialise(df.where(at_cut).withColumn("_copy", F.monotonically_increasing_id()), "copies")
         for key in split:
             result = result.unionByName(_split_copies(copies, cuts, key, order, column))
     return result

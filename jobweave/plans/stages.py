@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobweave.config import JobConfig
@@ -22,17 +23,17 @@ from jobweave.functions.text import clean_ads
 from jobweave.operators.coding import (
     apply_overrides, read_classifications, read_translations, submission,
 )
-from jobweave.operators.generation import generate, over_length
+from jobweave.operators.generation import AnswerStore, generate
 from jobweave.operators.label_search import multi_field_hits
 from jobweave.operators.language import (
     detect_language, detect_language_with, relabel_unlisted, relabel_weak,
 )
 from jobweave.operators.models import Backend
-from jobweave.operators.report import outcome_report
-from jobweave.operators.retrieval import build_label_index, write_label_index
+from jobweave.operators.report import Counted
+from jobweave.operators.retrieval import IndexChange, update_label_index
 from jobweave.operators.sharding import contiguous_shards
 from jobweave.sources.tables import (
-    read_ads, read_labels, read_stage, spread, with_language_name, write_stage, write_submission,
+    missing_shards, read_ads, read_labels, read_stage, spread, with_language_name, write_stage, write_submission,
 )
 from jobweave.storage import scratch_removed
 
@@ -83,15 +84,16 @@ def translate_stage(
     ads: DataFrame,
     title: str,
     description: str,
-    translator: Backend,
+    translator: Backend | DataFrame,
     config: JobConfig = DEFAULT,
+    store: AnswerStore | None = None,
+    resources: ResourceProfile | None = None,
 ) -> DataFrame:
     """Add the raw answer and its English title, description and keywords."""
     prompted = translation_prompts(ads.drop("raw_translations"), title, description, config)
-    answered = generate(prompted, "translation_prompt", "raw_translations", translator, config.sampling)
-    return read_translations(
-        answered, too_long=over_length(F.col("translation_prompt"), config.sampling)
-    ).drop("translation_prompt")
+    answered = generate(
+        prompted, "translation_prompt", "raw_translations", translator, config.sampling, store, resources, "_too_long")
+    return read_translations(answered.drop("translation_prompt"), too_long=F.col("_too_long")).drop("_too_long")
 
 
 def prompt_stage(
@@ -103,29 +105,32 @@ def prompt_stage(
     config: JobConfig = DEFAULT,
     embedder: Backend | None = None,
     once: bool = False,
+    hits: bool = False,
 ) -> DataFrame:
-    """Add ``prompt``: the ad together with the labels nearest to it."""
+    """Add ``prompt``: the ad together with the labels nearest to it; ``hits`` keeps these as a column, too."""
     ads = ads.drop("prompt", "hits")
     found = multi_field_hits(ads, index, title, description, keywords, config, embedder, once)
     messages = classification_messages(
         F.col(title), F.col(description), format_hits(F.col("hits"))
     )
-    return found.withColumn("prompt", chat_text(messages, config.chat)).drop("hits")
+    prompted = found.withColumn("prompt", chat_text(messages, config.chat))
+    return prompted if hits else prompted.drop("hits")
 
 
 def classify_stage(
     prompts: DataFrame,
     labels: DataFrame,
-    classifier: Backend,
+    classifier: Backend | DataFrame,
     codes: DataFrame | None = None,
     config: JobConfig = DEFAULT,
+    store: AnswerStore | None = None,
+    resources: ResourceProfile | None = None,
 ) -> DataFrame:
     """Add the raw answer, its checked code and the code's label."""
-    answered = generate(prompts.drop("raw_responses"), "prompt", "raw_responses", classifier, config.sampling)
+    answered = generate(
+        prompts.drop("raw_responses"), "prompt", "raw_responses", classifier, config.sampling, store, resources, "_too_long")
     return read_classifications(
-        answered, labels, codes=codes, limits=config.limits,
-        too_long=over_length(F.col("prompt"), config.sampling),
-    )
+        answered, labels, codes=codes, limits=config.limits, too_long=F.col("_too_long")).drop("_too_long")
 
 
 # --- stages as jobs between tables -----------------------------------------------
@@ -183,22 +188,24 @@ def run_translate(
     title: str,
     description: str,
     languages: Sequence[str],
-    translator: Backend,
+    translator: Backend | DataFrame,
     shard: int | None = None,
     config: JobConfig = DEFAULT,
+    store: AnswerStore | None = None,
+    resources: ResourceProfile | None = None,
 ) -> DataFrame | None:
-    """Translate the languages, or one shard of them; returns the rows by language and outcome."""
+    """Translate the languages, or one shard of them; returns the rows that it wrote by language and outcome."""
     ads = _part(spark, paths.detected, languages, shard, config)
     if ads is None:
         return None
     with scratch_removed(spark):
-        done = translate_stage(ads, title, description, translator, config)
+        done = translate_stage(ads, title, description, translator, config, store, resources)
         done = done.withColumnRenamed("outcome", "translate_outcome")
+        counted = Counted(languages, "translate_outcome")
         write_stage(
-            done, paths.translated, ["lang", "job_desc_extracted"], _shard_of(shard, config), languages
+            counted.watch(done), paths.translated, ["lang", "job_desc_extracted"], _shard_of(shard, config), languages
         )
-    written = read_stage(spark, paths.translated, languages)
-    return outcome_report(written, "translate_outcome")
+    return counted.report(ads)
 
 
 def run_index(
@@ -206,11 +213,11 @@ def run_index(
     paths: Paths,
     config: JobConfig = DEFAULT,
     embedder: Backend | None = None,
-) -> None:
-    """Build the label index once for all prompt jobs."""
-    write_label_index(
-        build_label_index(read_labels(spark, paths.labels), config, embedder), paths.index
-    )
+    model: str | None = None,
+) -> IndexChange:
+    """Bring the label index up to date for all prompt jobs; only chunks that are new to it are embedded."""
+    with scratch_removed(spark):
+        return update_label_index(read_labels(spark, paths.labels), paths.index, config, embedder, model)
 
 
 def run_prompts(
@@ -237,12 +244,14 @@ def run_classify(
     spark: SparkSession,
     paths: Paths,
     languages: Sequence[str],
-    classifier: Backend,
+    classifier: Backend | DataFrame,
     codes: DataFrame,
     shard: int | None = None,
     config: JobConfig = DEFAULT,
+    store: AnswerStore | None = None,
+    resources: ResourceProfile | None = None,
 ) -> DataFrame | None:
-    """Classify the languages, or one shard of them; returns the rows by language and outcome.
+    """Classify the languages, or one shard of them; returns the rows that it wrote by language and outcome.
 
     ``codes`` are the valid codes: the taxonomy table may lack some, so it is not asked for them.
     """
@@ -251,18 +260,26 @@ def run_classify(
         return None
     with scratch_removed(spark):
         labels = read_labels(spark, paths.labels)
-        done = classify_stage(prompts, labels, classifier, codes, config)
+        done = classify_stage(prompts, labels, classifier, codes, config, store, resources)
+        counted = Counted(languages)
         write_stage(
-            done, paths.predicted, ["lang", "job_desc_extracted", "codable"],
+            counted.watch(done), paths.predicted, ["lang", "job_desc_extracted", "codable"],
             _shard_of(shard, config), languages,
         )
-    return outcome_report(read_stage(spark, paths.predicted, languages))
+    return counted.report(prompts)
 
 
 def run_submission(
-    spark: SparkSession, paths: Paths, config: JobConfig = DEFAULT, compat: bool = False
+    spark: SparkSession, paths: Paths, config: JobConfig = DEFAULT, compat: bool = False, incomplete: bool = False
 ) -> None:
-    """The submission of all predictions that are there, whichever runs have written them."""
+    """The submission of all predictions, whichever runs have written them.
+
+    Refused while shards of a language are missing, unless ``incomplete`` asks for what is there.
+    """
+    missing = missing_shards(spark, paths.predicted, levels=3)
+    if missing and not incomplete:
+        named = "; ".join(f"{language}: {', '.join(labels)}" for language, labels in missing.items())
+        raise ValueError(f"shards are missing from {paths.predicted}: {named}")
     predicted = read_stage(spark, paths.predicted)
     write_submission(submission(predicted, config.id_column, compat), paths.submission, config.id_column)
 
@@ -270,8 +287,8 @@ def run_submission(
 def run_all(
     spark: SparkSession,
     paths: Paths,
-    translator: Backend,
-    classifier: Backend,
+    translator: Backend | DataFrame,
+    classifier: Backend | DataFrame,
     languages: Sequence[str],
     codes: DataFrame,
     profile: DataFrame | None = None,
@@ -281,16 +298,17 @@ def run_all(
     description: str = "description_clean",
     embedder: Backend | None = None,
     config: JobConfig = DEFAULT,
+    store: AnswerStore | None = None,
 ) -> None:
     """All stages for all languages in one application; each stage table is a restart point.
 
     There is no split by thirds and no wait between them: partitions and tasks do that.
     """
     run_detect(spark, paths, profile, detector, overrides, config=config)
-    run_translate(spark, paths, title, description, languages, translator, config=config)
+    run_translate(spark, paths, title, description, languages, translator, config=config, store=store)
     run_index(spark, paths, config, embedder)
     run_prompts(
         spark, paths, "title_en", "description_en", languages, config=config, embedder=embedder
     )
-    run_classify(spark, paths, languages, classifier, codes, config=config)
+    run_classify(spark, paths, languages, classifier, codes, config=config, store=store)
     run_submission(spark, paths, config)

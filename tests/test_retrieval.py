@@ -179,3 +179,41 @@ def test_stored_index_is_replaced(spark, tmp_path):
     for _ in range(2):
         write_label_index(index, str(tmp_path / "index"))
     assert spark.read.parquet(str(tmp_path / "index")).count() == 2
+
+
+def test_only_new_chunks_are_embedded(spark, tmp_path):
+    from jobweave.operators.retrieval import IndexChange, update_label_index
+
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def embedder():
+        import uuid
+
+        def embed(texts):
+            (log / uuid.uuid4().hex).write_text("\n".join(texts))
+            return texts.map(lambda t: [float(len(t)), 1.0])
+
+        return embed
+
+    def labels(**changes):
+        notes = {"1": "one", "2": "two", "3": "three", "4": "three"} | changes
+        return spark.createDataFrame(
+            [(code, f"label {code}", note, int(code)) for code, note in notes.items() if note], "code string, label string, description string, pos int")
+
+    def asked():
+        found = sorted(line for f in log.iterdir() for line in f.read_text().splitlines())
+        for f in log.iterdir():
+            f.write_text("")
+        return found
+
+    path = str(tmp_path / "index")
+    assert update_label_index(labels(), path, embedder=embedder) == IndexChange(4, 3, 0)
+    assert asked() == ["one", "three", "two"]  # a text of two labels is embedded once
+    assert update_label_index(labels(), path, embedder=embedder) == IndexChange(4, 0, 0) and asked() == []
+    assert update_label_index(labels(**{"2": "new", "3": None, "5": "one"}), path, embedder=embedder) == IndexChange(4, 1, 2)
+    assert asked() == ["new"]
+    stored = {(r["code"], r["chunk"]): r["embedding"] for r in spark.read.parquet(path).collect()}
+    assert stored == {("1", "one"): [3.0, 1.0], ("2", "new"): [3.0, 1.0], ("4", "three"): [5.0, 1.0], ("5", "one"): [3.0, 1.0]}
+    assert update_label_index(labels(), path, embedder=embedder, model="another").embedded == 3
+    assert update_label_index(labels(**dict.fromkeys("1234")), path, embedder=embedder, model="another") == IndexChange(0, 0, 4)

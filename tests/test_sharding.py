@@ -44,3 +44,25 @@ def test_wide_rows_are_not_shuffled(spark):
     df = spark.range(100).withColumn("text", F.lit("x"))
     plan = contiguous_shards(df, 3, ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_shards_by_position(spark, tmp_path):
+    from jobweave.operators.sharding import position_shards
+    from jobweave.sources.tables import read_stage
+
+    path = str(tmp_path / "t")
+    rows = [(i, "en" if i % 3 else "de") for i in range(50)]
+    spark.createDataFrame(rows, "id int, lang string").repartition(4, "id").write.partitionBy("lang").parquet(path)
+    stored = spark.read.parquet(path).select("id", "lang", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r"))
+    placed = [(r["id"], r["lang"]) for r in sorted(stored.collect(), key=lambda r: (r["f"].rpartition("/")[0], r["f"], r["r"]))]
+    for languages in (None, ["en"]):
+        wanted = [i for i, lang in placed if not languages or lang in languages]
+        for shards in (1, 3, 7, 60):
+            size = len(wanted) // shards
+            cut = position_shards(read_stage(spark, path, languages), shards)
+            assert cut.columns == ["id", "lang", "shard"]
+            found = {r["id"]: r["shard"] for r in cut.collect()}
+            assert found == {i: min(k // size + 1, shards) if size else shards for k, i in enumerate(wanted)}
+            plan = cut._jdf.queryExecution().executedPlan().toString()
+            assert "Sort" not in plan and plan.count("Exchange") == plan.count("BroadcastExchange")
+    assert position_shards(read_stage(spark, path, ["xx"]), 3).count() == 0

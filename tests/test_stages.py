@@ -5,14 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobweave.config import JobConfig, Sampling
-from jobweave.operators.generation import (
-    answer_classification, frequent_words, generate, offline_classifier, offline_translator,
-)
+from jobweave.operators.generation import AnswerStore, generate, usable_profile
 from jobweave.operators.language import train_profile
 from jobweave.operators.report import outcome_report
 from jobweave.operators.retrieval import build_label_index
 from jobweave.plans import stages
 from jobweave.sources.tables import read_stage
+from tests.standins import answer_classification, frequent_words, offline_classifier, offline_translator
 
 CONFIG = JobConfig(dimensions=64)
 TEXTS = {"en": "the nurse and the doctor care for people", "de": "der fahrer und die ärztin fahren das auto",
@@ -121,6 +120,105 @@ def test_each_prompt_is_answered_once(spark, tmp_path):
     assert {r["id"]: r["a"] for r in done.collect()} == first  # reading again does not ask again
 
 
+def counting(log, broken=None):
+    """A backend that writes down what it was asked."""
+
+    def backend():
+        import uuid
+
+        def answer(prompts: pd.Series) -> pd.Series:
+            if broken in set(prompts):
+                raise RuntimeError("the model broke down")
+            (log / uuid.uuid4().hex).write_text("\n".join(prompts))
+            return prompts.map(lambda p: f"<{p}>")
+
+        return answer
+
+    return backend
+
+
+def asked(log):
+    return sorted(p for f in log.iterdir() for p in f.read_text().splitlines())
+
+
+def test_answers_survive_a_failing_run(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"p{i % 20}") for i in range(60)], "id int, p string")
+    store = AnswerStore(str(tmp_path / "answers"), batch=3)
+    logs = [tmp_path / name for name in "abcd"]
+    for log in logs:
+        log.mkdir()
+    with pytest.raises(Exception, match="broke down"):
+        generate(df, "p", "a", counting(logs[0], broken="p7"), store=store)
+    kept = store.read(spark).count()
+    assert 0 < kept < 20
+    done = generate(df, "p", "a", counting(logs[1]), store=store)
+    assert {(r["p"], r["a"]) for r in done.collect()} == {(f"p{i}", f"<p{i}>") for i in range(20)}
+    assert len(asked(logs[1])) == 20 - kept and "p7" in asked(logs[1])
+    more = df.union(spark.createDataFrame([(99, "new"), (98, None)], "id int, p string"))
+    answers = {r["id"]: r["a"] for r in generate(more, "p", "a", counting(logs[2]), store=store).collect()}
+    assert asked(logs[2]) == ["new"] and answers[99] == "<new>" and answers[98] is None and len(answers) == 62
+    generate(df, "p", "a", counting(logs[3]), Sampling(temperature=0.9), store=store)  # other settings, other answers
+    assert len(asked(logs[3])) == 20
+
+
+def test_a_leftover_of_a_broken_write_is_not_read(spark, tmp_path):
+    store = AnswerStore(str(tmp_path / "answers"))
+    assert store.read(spark).count() == 0
+    store.add(spark.createDataFrame([("k", "b"), ("n", None)], "key string, answer string"))
+    store.add(spark.createDataFrame([("k", "a")], "key string, answer string"))
+    spark.createDataFrame([("x", "y")], "key string, answer string").write.parquet(f"{store.path}/_new-broken")
+    assert {tuple(r) for r in store.read(spark).collect()} == {("k", "a"), ("n", None)}
+
+
+def test_answers_of_a_given_table(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y"), (4, None), (5, "one two three four")], "id int, p string")
+    given = spark.createDataFrame([("x", "b"), ("x", "a"), ("one two three four", "c")], "prompt string, answer string")
+    done = generate(df, "p", "a", given, Sampling(context_tokens=4, max_tokens=1), too_long="long")
+    assert {(r["id"], r["a"], r["long"]) for r in done.collect()} == {
+        (1, "a", False), (2, "a", False), (3, None, False), (4, None, False), (5, None, True)}
+
+
+def test_prompts_are_rendered_once(spark, tmp_path):
+    log = tmp_path / "rendered"
+    log.mkdir()
+
+    @F.udf("string")
+    def rendered(x):
+        import uuid
+
+        (log / uuid.uuid4().hex).write_text("x")
+        return f"p{x % 5}"
+
+    df = spark.range(20).withColumn("p", rendered.asNondeterministic()("id"))
+    assert generate(df, "p", "a", lambda: lambda prompts: prompts).where("a = p").count() == 20
+    assert len(list(log.iterdir())) == 20
+
+
+def test_resources_are_asked_where_the_master_has_them(spark):
+    from pyspark.resource import ResourceProfileBuilder, TaskResourceRequests
+
+    gpu = ResourceProfileBuilder().require(TaskResourceRequests().resource("gpu", 1)).build
+    assert usable_profile("local[4]", gpu) is None and usable_profile("yarn", gpu) is gpu
+    assert usable_profile("k8s://host", None) is None
+    asked_with = []
+
+    class Prompts:
+        sparkSession = type("S", (), {"sparkContext": type("C", (), {"master": "yarn"})})
+
+        def select(self, *columns):
+            return self
+
+        def mapInPandas(self, work, schema, profile):
+            asked_with.append(profile)
+
+    from jobweave.operators.generation import _answered
+
+    _answered(Prompts(), lambda: None, Sampling(), gpu)
+    assert asked_with == [gpu]
+    df = spark.createDataFrame([(1, "x")], "id int, p string")
+    assert generate(df, "p", "a", lambda: lambda prompts: prompts, resources=gpu).first()["a"] == "x"
+
+
 def test_sampling_reaches_the_backend_and_long_prompts_are_told(spark):
     def backend(sampling):
         return lambda prompts: prompts.map(lambda p: f'{{"codable":true,"likelihood":{sampling.temperature}}}')
@@ -158,3 +256,33 @@ def test_outcomes(spark):
 def test_needs_one_detector(spark):
     with pytest.raises(ValueError):
         stages.detect_stage(spark.range(1).select(F.lit("1").alias("id")))
+
+
+def test_outcomes_are_counted_by_the_write(spark, tmp_path):
+    from jobweave.operators.report import Counted
+    from jobweave.sources.tables import write_stage
+
+    rows = [("en", "ok"), ("en", "ok"), ("en", "too_long"), ("de", "parse_error"), ("xx", "ok"), (None, "invalid_code")]
+    df = spark.createDataFrame(rows, "lang string, outcome string")
+    counted = Counted(["en", "de", "fr"])
+    write_stage(counted.watch(df), str(tmp_path / "t"), ["lang"])
+    assert {tuple(r) for r in counted.report(df).collect()} == {
+        ("en", "ok", 2), ("en", "too_long", 1), ("de", "parse_error", 1), (None, "ok", 1), (None, "invalid_code", 1)}
+
+
+def test_an_incomplete_set_is_not_submitted(spark, tmp_path):
+    from jobweave.sources.tables import write_stage
+
+    path = str(tmp_path / "predicted")
+    paths = stages.Paths("", "", "", "", "", "", path, str(tmp_path / "out"))
+    rows = spark.createDataFrame(
+        [("1", "en", True, True, "2221")], "id string, lang string, job_desc_extracted boolean, codable boolean, class_code string")
+    levels = ["lang", "job_desc_extracted", "codable"]
+    write_stage(rows, path, levels, (1, 2), ["en"])
+    with pytest.raises(ValueError, match="en: 2-of-2"):
+        stages.run_submission(spark, paths)
+    stages.run_submission(spark, paths, incomplete=True)
+    assert submitted(paths) == {"1": "2221"}
+    write_stage(rows.limit(0), path, levels, (2, 2), ["en"])
+    stages.run_submission(spark, paths)
+    assert submitted(paths) == {"1": "2221"}

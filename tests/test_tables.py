@@ -7,7 +7,7 @@ from jobweave.config import Limits
 from jobweave.joins import fits_broadcast, lookup_join
 from jobweave.operators.coding import apply_overrides
 from jobweave.sources.tables import (
-    code_table, read_csv_table, read_labels, read_stage, spread, write_stage, write_submission,
+    code_table, missing_shards, read_csv_table, read_labels, read_stage, spread, write_stage, write_submission,
 )
 from jobweave.storage import scratch_path, shared_dir
 
@@ -72,6 +72,54 @@ def test_shards_live_side_by_side(spark, tmp_path):
     assert stored() == ["k"]
 
 
+def test_no_row_goes_before_its_successor_is_there(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    all_ids = [str(i) for i in range(9)]
+
+    def write(ids, part):
+        rows = spark.createDataFrame([(i, "en", i in "048") for i in ids], "id string, lang string, done boolean")
+        write_stage(rows, path, ["lang", "done"], part, ["en"])
+
+    def stored():
+        return sorted(r["id"] for r in read_stage(spark, path).collect())
+
+    write(all_ids, (1, 1))
+    assert missing_shards(spark, path, 2) == {}
+    for order in ((1, 2, 3), (3, 1, 3, 2)):  # a shard may come twice
+        for shard in order:
+            write(all_ids[shard - 1 :: 3], (shard, 3))
+            assert stored() == all_ids
+            if shard != order[-1]:
+                assert missing_shards(spark, path, 2) or order[0] == 3
+        assert missing_shards(spark, path, 2) == {}
+        assert {r["shard"] for r in spark.read.parquet(path).select("shard").distinct().collect()} == {
+            "1-of-3", "2-of-3", "3-of-3"}
+    for shard in (1, 2, 3, 4):
+        write(all_ids[shard::5] if shard < 4 else [], (shard, 4))
+        assert stored() == (all_ids if shard < 4 else sorted(all_ids[1::5] + all_ids[2::5] + all_ids[3::5]))
+    assert missing_shards(spark, path, 2) == {}  # the fourth has no row, but was written
+    write(all_ids[:1], (1, 1))
+    assert stored() == all_ids[:1] and missing_shards(spark, path, 2) == {}
+
+
+def test_shards_written_at_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "stage")
+    rows = spark.createDataFrame([(i, "en") for i in range(30)], "id int, lang string")
+    write_stage(rows, path, ["lang"], (1, 1), ["en"])
+    with ThreadPoolExecutor(3) as pods:
+        list(pods.map(lambda k: write_stage(rows.where(f"id % 3 = {k - 1}"), path, ["lang"], (k, 3), ["en"]), (1, 2, 3)))
+    assert sorted(r["id"] for r in read_stage(spark, path).collect()) == list(range(30))
+
+
+def test_missing_shards_are_named(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    rows = spark.createDataFrame([(1, "en")], "id int, lang string")
+    write_stage(rows, path, ["lang"], (2, 3), ["en"])
+    assert missing_shards(spark, path, 1) == {"en": ["1-of-3", "3-of-3"]}
+
+
 def test_failing_write_keeps_the_old_rows(spark, tmp_path):
     path = str(tmp_path / "stage")
     df = spark.createDataFrame([("1", "en"), ("2", "fr")], "id string, lang string")
