@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +14,26 @@ import pyarrow as pa
 PIECE_BYTES = 4 * 1024 * 1024
 
 
+def released(work: Callable) -> Callable:
+    """``work`` on batches, which gives the memory that it held back to the machine when the task ends.
+
+    Workers are kept for later tasks, and an idle one would go on holding it beside those of the next stage.
+    """
+
+    @wraps(work)
+    def run(*args, **named):
+        try:
+            yield from work(*args, **named)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def pieces(batch: pa.RecordBatch, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows of at most ``limit`` bytes each, or of one row."""
     if batch.num_rows and batch.nbytes <= limit:

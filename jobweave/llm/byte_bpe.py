@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from jobweave.llm.arrow import pieces
+from jobweave.llm.arrow import pieces, released
 from jobweave.llm.common import replace_columns
 
 #: Matches that a worker remembers; the older half goes when there are more.
@@ -239,6 +239,7 @@ class _Encoder(dict):
                     self[word] = ids.tobytes()
 
 
+@released
 def _encode(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     encoder = _Encoder(shared.value)
     for batch in batches:
@@ -250,6 +251,7 @@ def _encode(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([*piece.columns[:-1], lists], names=[*piece.schema.names[:-1], "ids"])
 
 
+@released
 def _decode(batches: Iterator[pa.RecordBatch], shared, place: int) -> Iterator[pa.RecordBatch]:
     tokens = shared.value.tokens
     for batch in batches:

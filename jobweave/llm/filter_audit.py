@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from jobweave.llm.arrow import content, pieces
+from jobweave.llm.arrow import content, pieces, released
 from jobweave.storage import materialise
 
 FILTERS = "ABCDE"
@@ -106,6 +106,7 @@ def _sum(table: pa.Table) -> pa.Table:
         "packed": pa.array([total.to_bytes(size, "little")], pa.binary())})
 
 
+@released
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     steps = len(ORDERS) * len(FILTERS)
     for batch in batches:
@@ -122,6 +123,7 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["part", "filter_order", "step", *COUNTS])
 
 
+@released
 def _test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The mask of A to D of each text, and a digest of the text."""
     for batch in batches:

@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobweave.joins import lookup_join
-from jobweave.llm.arrow import pieces
+from jobweave.llm.arrow import pieces, released
 from jobweave.llm.common import replace_columns
 from jobweave.storage import materialise
 
@@ -192,6 +192,7 @@ def _words(text: str) -> Iterator[list[str]]:
         yield block
 
 
+@released
 def _predict(batches: Iterator[pa.RecordBatch], shared, place: int) -> Iterator[pa.RecordBatch]:
     model = shared.value
     scorer = _Scorer(model) if model.languages else None

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from jobweave.llm.arrow import pieces
+from jobweave.llm.arrow import pieces, released
 from jobweave.llm.common import replace_columns
 
 SPACE = "▁"
@@ -141,6 +141,7 @@ def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return rows.mapInArrow(partial(_decode, shared=shared, place=rows.columns.index("ids")), schema)
 
 
+@released
 def _decode(batches: Iterator[pa.RecordBatch], shared, place: int) -> Iterator[pa.RecordBatch]:
     vocabulary = shared.value
     blob, size = np.frombuffer(vocabulary.data, np.uint8), np.diff(vocabulary.at)
@@ -162,6 +163,7 @@ def _decode(batches: Iterator[pa.RecordBatch], shared, place: int) -> Iterator[p
                 [*piece.columns, pa.array(texts, pa.string())], names=[*piece.schema.names, "decoded"])
 
 
+@released
 def _sample(batches: Iterator[pa.RecordBatch], shared, samples: int, seed: int) -> Iterator[pa.RecordBatch]:
     vocabulary = shared.value
     for batch in batches:

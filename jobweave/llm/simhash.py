@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from jobweave.llm.arrow import group_starts, pieces, runs, whole_groups
+from jobweave.llm.arrow import group_starts, pieces, released, runs, whole_groups
 from jobweave.llm.common import replace_columns
 from jobweave.llm.components import connected_components
 from jobweave.storage import materialise
@@ -110,6 +110,7 @@ def _signed(value: int) -> int:
     return value - (1 << BITS) if value >> (BITS - 1) else value
 
 
+@released
 def _fingerprint(batches: Iterator[pa.RecordBatch], place: int, shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch):
@@ -150,6 +151,7 @@ def shingle_hashes(text: bytes, shingle: int) -> Iterator[bytes]:
         yield xxhash.xxh64_digest(b" ".join(held), SEED)
 
 
+@released
 def _search(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
     """Stars of connected fingerprints, from the trees of all shards in each batch."""
     for batch in whole_groups(batches, 4):

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from jobweave.joins import fits_broadcast
-from jobweave.llm.arrow import content, group_starts, pieces, runs, whole_groups
+from jobweave.llm.arrow import content, group_starts, pieces, released, runs, whole_groups
 from jobweave.storage import materialise
 
 KMER = 32
@@ -180,6 +180,7 @@ def find_anchors(data: np.ndarray, at: np.ndarray, length: int) -> Iterator[tupl
         yield hashes[pos], document, pos + base, lo + base, hi + base
 
 
+@released
 def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     seen: set = set()
     for batch in batches:
@@ -212,6 +213,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
                 )
 
 
+@released
 def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """The bytes of the wanted contexts; a text's copies in the same task give them once."""
     seen: set = set()
@@ -238,6 +240,7 @@ def _contexts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Rec
             )
 
 
+@released
 def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """A hash of each window of each context."""
     for batch in batches:
@@ -257,6 +260,7 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
             )
 
 
+@released
 def _sort_groups(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in whole_groups(batches, 1):
         starts = group_starts(batch, 2)[:-1]  # a context that came from several tasks counts once
@@ -337,6 +341,7 @@ def _radix_sort(group: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.nda
     return order, common
 
 
+@released
 def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch):
