@@ -7,6 +7,7 @@ and place. What is found is verified by banded bit-parallel edit distance.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -17,13 +18,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from jobweave.joins import fits_broadcast
 from jobweave.llm import edit_distance
-from jobweave.llm.arrow import group_starts, pieces, whole_groups
-from jobweave.llm.common import replace_columns
+from jobweave.llm.arrow import group_starts, pieces, released, whole_groups
+from jobweave.llm.common import WORD, replace_columns
 from jobweave.storage import materialise
 
 #: Rows under one key whose pairs a task lists. More are compared in blocks, where they are.
 LISTED = 64
 BLOCK = 512
+#: Pairs of blocks that a task compares, about.
+CELLS_PER_TASK = 8
 _SEED = 42
 
 
@@ -32,8 +35,9 @@ def drop_repeated_lines(documents: DataFrame, most: int = 2, least_chars: int =
 
     Lines end at newlines. A line goes if the same line, or one at most ``most`` edits away, comes earlier: in
     a document with a smaller ``doc_id`` or before it in its own. So the first of similar lines stays, and a line stays
-    too if only removed ones are close to it but none that is earlier. Lines under
-    ``least_chars`` code points (blank ones too) are not judged and stay.
+    too if only removed ones are close to it but none that is earlier. Of lines under
+    ``least_chars`` code points only exact copies go: there a few edits make another line. Lines without a word (blank ones)
+    are not judged and stay.
 
     Null ``doc_id`` sorts first; rows that repeat both id and text are one document and keep the same lines; rows that
     share only the id are ordered by a hash of the text. A null text stays null, with no line. A
@@ -48,7 +52,7 @@ def drop_repeated_lines(documents: DataFrame, most: int = 2, least_chars: int =
     })
     places = materialise(
         rows.select("doc_id", "_k", F.posexplode("_lines").alias("no", "line"))
-        .where(F.char_length("line") >= least_chars)
+        .where(F.col("line").rlike(WORD))
         .select(line_id(F.col("line")).alias("line"), F.struct("doc_id", "_k", "no").alias("at")),
         "line-places",
     )
@@ -120,11 +124,14 @@ def _late_in_crowds(crowded: DataFrame, known: DataFrame, most: int) -> DataFram
     full = placed.join(known, "line").select(
         "key", "i", "j", "line", "role", "content", F.coalesce("first.doc_id", F.lit(-(2**63))).alias("doc"),
         F.col("first._k").alias("k"), F.col("first.no").cast("long").alias("no"))
-    ordered = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    # Cells of few bytes may be much work, so their number decides, not adaptive execution.
+    cells = sizes.agg(F.sum(F.col("blocks").cast("long") * F.col("blocks"))).first()[0] or 1
+    tasks = max(int(full.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(cells / CELLS_PER_TASK))
+    ordered = full.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
     return ordered.mapInArrow(partial(_compare_blocks, most=most), "line long")
 
 
-@lru_cache(maxsize=100_000)
+@lru_cache(maxsize=4096)
 def probes(size: int, most: int) -> tuple[tuple[int, int, int, int], ...]:
     """``start, end, seed, role`` of the substrings of a line of ``size``: role 1 is looked up, 0 looks up.
 
@@ -149,6 +156,7 @@ def _segments(size: int, most: int) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:]))
 
 
+@released
 def _keys(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Iterator[pa.RecordBatch]:
     """Keys of all segments and substrings; a line that the task has just seen gives them once."""
     seen: set = set()
@@ -174,6 +182,7 @@ def _keys(batches: Iterator[pa.RecordBatch], most: int, least: int) -> Iterator[
                 [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (keys, lines)], names=["key", "line"])
 
 
+@released
 def _meet(batches: Iterator[pa.RecordBatch], listed: int) -> Iterator[pa.RecordBatch]:
     """Pairs of lines under a key, at least one looked up; rows of crowded keys as they are, with the key."""
     held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -217,6 +226,7 @@ def _pairs(keys: np.ndarray, lines: np.ndarray, large: np.ndarray) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), key], names=["a", "b", "key"])
 
 
+@released
 def _verify(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for piece in pieces(batch):
@@ -224,6 +234,7 @@ def _verify(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays([piece.column(0).filter(pa.array(near))], names=["line"])
 
 
+@released
 def _compare_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """In each cell, the lines that have an earlier one of the other role within ``most`` edits."""
     for batch in whole_groups(batches, 3):
@@ -238,15 +249,19 @@ def _compare_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa
 
 
 def _late_in_cell(rows: list[tuple], most: int) -> Iterator[int]:
+    """Counts of characters rule most pairs out: an edit changes two of them by one at most."""
     sizes = np.array([len(r[5]) for r in rows])
     roles = np.array([r[4] for r in rows])
     names = np.array([r[3] for r in rows])
+    counts = np.stack([
+        np.bincount(np.frombuffer(r[5].encode("utf-32-le"), np.uint32) & 63, minlength=64) for r in rows]).astype(np.int32)
     done: set[int] = set()
     for i, row in enumerate(rows):
         if row[3] in done:
             continue
         earlier = np.flatnonzero(
             (roles[:i] != roles[i]) & (np.abs(sizes[:i] - sizes[i]) <= most) & (names[:i] != names[i]))
+        earlier = earlier[np.abs(counts[earlier] - counts[i]).sum(axis=1) <= 2 * most]
         if len(earlier) and edit_distance.within([rows[j][5] for j in earlier], [row[5]] * len(earlier), most).any():
             done.add(row[3])
             yield row[3]

@@ -37,10 +37,13 @@ def cut_by_hand(rows, most, least):
     for key, text in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
         kept = []
         for line in (text or "").split("\n"):
-            if len(line) < least:
+            if not line.strip():
                 kept.append(line)
                 continue
-            if not any(abs(len(line) - len(s)) <= most and distance(line, s) <= most for s in seen):
+            if len(line) < least:
+                if line not in seen:
+                    kept.append(line)
+            elif not any(len(s) >= least and abs(len(line) - len(s)) <= most and distance(line, s) <= most for s in seen):
                 kept.append(line)
             if line not in seen:
                 seen.append(line)
@@ -60,7 +63,7 @@ def documents():
                 place = rng.randint(0, len(line) - 1)
                 line[place : place + rng.randint(0, 1)] = rng.choice(["", "x", "y"])
             own.append("".join(line))
-        rows.append((key, "\n".join([*own, "short", ""])))
+        rows.append((key, "\n".join([*own, rng.choice(["short", "shore", "short ", "%", " \t"]), ""])))
     return rows + [(None, lines[0]), (900, None), (901, ""), (902, "\n\n"), (903, lines[3] + "\n" + lines[3])]
 
 
