@@ -76,10 +76,15 @@ def mix(documents: DataFrame, plan: Mix = Mix()) -> DataFrame:
     ).drop("_sk", "_h", "_block", "_whole", "_extra", "_copies", "_shards")
 
 
-def shuffled(mixed: DataFrame, seed: int = 9) -> DataFrame:
+def place_in_shard(plan: Mix, doc_id: Column, copy: Column) -> Column:
+    """What a shard's rows are ordered by: random, and the same in every run."""
+    return hash60(F.lit(plan.seed + 1), doc_id, copy)
+
+
+def shuffled(mixed: DataFrame, plan: Mix = Mix()) -> DataFrame:
     """A row per drawn copy with its ``shard``, each shard in random order of its own."""
     drawn = mixed.select("*", F.posexplode("draws").alias("_copy", "shard")).drop("draws")
-    return drawn.withColumn("_order", hash60(F.lit(seed + 1), F.col("doc_id"), F.col("_copy"))).repartition(
+    return drawn.withColumn("_order", place_in_shard(plan, F.col("doc_id"), F.col("_copy"))).repartition(
         "shard", F.pmod("_order", F.lit(64))
     ).sortWithinPartitions("shard", "_order").drop("_order", "_copy")
 

@@ -6,7 +6,77 @@ from jobweave.llm.queries import MIX, SHARD_BYTES
 
 HASH = "('0x' || substr(md5({}), 1, 15))::bigint"
 
+#: The splitting tree: each level halves the shards of a node, in exact numbers and in the order of a hash.
+TREE = "".join(
+    f"""        ), tree{level + 1} as (
+            select sk, block, copy,
+                   case when place <= round(n * {half} / {2 * half}) then low else low + {half} end as low
+            from (
+                select *, count(*) over (partition by low) as n, row_number() over (partition by low order by
+                       {HASH.format(f"concat_ws(chr(1), '{MIX.seed + 100 + level}', sk, block::varchar, copy::varchar)")},
+                       sk, block, copy) as place
+                from tree{level}
+            )
+"""
+    for level, half in enumerate((4, 2, 1)))
+ORDER = HASH.format(f"concat_ws(chr(1), '{MIX.seed + 1}', coalesce(doc_id::varchar, chr(0)), i::varchar)")
+
+#: Letters beyond ASCII of the test tables, as single bytes: DuckDB's edit distance counts bytes.
+LETTERS = "äöüßàâæçéèêëîïôœùûñáíóú"
+ONE_BYTE = " || ".join(f"chr({i})" for i in [*range(1, 9), *range(14, 14 + len(LETTERS) - 8)])
+
 ORACLES = {
+    "op4_line_dedup": f"""
+        with lines as (
+            select doc_id, unnest(string_split(text, chr(10))) as line,
+                   unnest(range(len(string_split(text, chr(10))))) as no
+            from documents where text is not null
+        ), judged as (
+            select doc_id, no, line, regexp_matches(line, '[^\x20\x09-\x0D]') as judged from lines
+        ), firsts as (
+            select line, min((doc_id, no)) as first from judged where judged group by line
+        ), long as (
+            select line, first, length(line) as n, translate(line, '{LETTERS}', {ONE_BYTE}) as bytes from firsts where length(line) >= 20
+        ), late as (
+            select distinct b.line from long a join long b on a.n between b.n - 2 and b.n + 2
+            where a.first < b.first
+                  and (contains(b.line, substr(a.line, 1, a.n // 3)) or contains(b.line, substr(a.line, a.n // 3 + 1, a.n // 3))
+                       or contains(b.line, substr(a.line, 2 * (a.n // 3) + 1)))
+                  and levenshtein(a.bytes, b.bytes) <= 2
+        ), kept as (
+            select j.doc_id, j.no, j.line, j.judged and (l.line is not null or (j.doc_id, j.no) <> f.first) as gone
+            from judged j left join firsts f on j.line = f.line left join late l on j.line = l.line
+        )
+        select d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::int as n_lines,
+               coalesce(count(*) filter (k.gone), 0)::int as n_removed,
+               sha256(coalesce(string_agg(k.line, chr(10) order by k.no) filter (not coalesce(k.gone, false)), '')) as kept_sha256
+        from documents d left join kept k on d.doc_id = k.doc_id group by d.doc_id, d.text
+    """,
+    # ``kept`` is null where a cut splits a character; no document of the small tables has such a cut.
+    "op5_suffix_array": r"""
+        with texts as (
+            select doc_id, encode(coalesce(text, '')) as raw, octet_length(encode(coalesce(text, '')))::bigint as n from documents
+        ), windows as (
+            select doc_id, p, case when p + 400 <= n then hash(array_slice(raw, p + 1, p + 400)) end as h
+            from (select doc_id, raw, n, unnest(range(n)) as p from texts)
+        ), judged as (
+            select doc_id, p, h is not null and count(*) over (partition by h) > 1 as again from windows
+        ), covered as (
+            select doc_id, p, max(case when again then p end) over (
+                partition by doc_id order by p rows between 399 preceding and current row) is not null as gone
+            from judged
+        ), islands as (
+            select doc_id, gone, min(p) as first, max(p) as last
+            from (select *, p - row_number() over (partition by doc_id, gone order by p) as island from covered)
+            group by doc_id, gone, island
+        ), kept as (
+            select t.doc_id, any_value(t.n) as n_bytes,
+                   coalesce(sum(last - first + 1) filter (gone), 0)::bigint as n_removed, count(*) filter (gone) as n_spans,
+                   unhex(coalesce(string_agg(hex(array_slice(raw, first + 1, last + 1)), '' order by first) filter (not gone), '')) as kept
+            from texts t left join islands i on t.doc_id = i.doc_id group by t.doc_id
+        )
+        select doc_id, n_bytes, n_removed, n_spans, sha256(kept) as kept_sha256, n_removed > 0 as removed, try(decode(kept)) as kept from kept
+    """,
     "op7_sharding": f"""
         with docs as (
             select doc_id, coalesce(octet_length(encode(text)), 0)::bigint as n_bytes,
@@ -77,10 +147,26 @@ ORACLES = {
         ), extra as (
             select sk, h from chosen union select sk, h from best where off < gap
             union select u.sk, u.h from units u join blocks b on u.sk = b.sk and u.block = b.block where b.upto <= b.need
+        ), quotas as (
+            select b.sk, b.block, any_value(t.copies)::int + max((b.upto <= b.need or p.block is not null)::int) as quota
+            from blocks b join targets t on b.sk = t.sk
+            left join (select distinct u.sk, u.block from units u join extra e on u.sk = e.sk and u.h = e.h) p
+                on p.sk = b.sk and p.block = b.block
+            group by b.sk, b.block
+        ), tree0 as (
+            select sk, block, unnest(range(1, quota + 1)) as copy, 0 as low from quotas
+{TREE}        ), shards as (
+            select sk, block, list(low order by copy) as shards from tree3 group by sk, block
+        ), drawn as (
+            select d.doc_id, d.size, t.source_size, t.target,
+                   (t.copies + (e.h is not null)::int)::int as draws, s.shards
+            from docs d join targets t on d.sk = t.sk left join extra e on d.sk = e.sk and d.h = e.h
+            left join shards s on s.sk = d.sk and s.block = d.h % {MIX.blocks}
         )
-        select d.doc_id, d.size, t.source_size, t.target,
-               (d.size * (t.copies + (e.h is not null)::int))::bigint as taken
-        from docs d join targets t on d.sk = t.sk left join extra e on d.sk = e.sk and d.h = e.h
+        select doc_id, size, source_size, target, (size * draws)::bigint as taken,
+               coalesce(array_to_string(shards[1 : draws], ','), '') as shards,
+               coalesce(array_to_string(list_transform(range(draws), lambda i: {ORDER}), ','), '') as order_in_shard
+        from drawn
     """,
     "op10_chat_format": r"""
         with turns as (

@@ -10,7 +10,7 @@ from jobweave.llm import (
 from jobweave.llm.common import table
 
 MIX = mixing.Mix()
-SHARD_BYTES = 4 * 1024 * 1024
+SHARD_BYTES = 1024 * 1024
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages of 400 bytes that come again."""
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_removed") > 0).alias("removed"),
+        # A cut may split a character; its remaining bytes show as replacement characters.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept"))
 
 
 def op6_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,11 +86,15 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many words the mix takes of every document."""
+    """How many words the mix takes of every document, to which shards its copies go, and what orders them there."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed = mixing.mix(documents, MIX)
     taken = (F.col("size") * F.size("draws")).alias("taken")
-    return mixed.select("doc_id", "size", "source_size", "target", taken)
+    order = F.transform("draws", lambda shard, copy: mixing.place_in_shard(MIX, F.col("doc_id"), copy).cast("string"))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target", taken,
+        F.array_join(F.col("draws").cast("array<string>"), ",").alias("shards"),
+        F.array_join(order, ",").alias("order_in_shard"))
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
