@@ -122,8 +122,7 @@ def exact_hits(both: Sides, k: int, cell_values: int = CELL_VALUES, only: DataFr
     """
     wanted = both.wanted if only is None else both.wanted.join(only, "_q", "left_semi")
     best = _in_cells(
-        wanted.withColumn("bucket", F.lit(0).cast("long")), _keyed(both).withColumn("bucket", F.lit(0).cast("long")),
-        both.dimensions, partial(_search, k=k, metric=both.metric), cell_values)
+        wanted, _keyed(both), both.dimensions, partial(_search, k=k, metric=both.metric), cell_values)
     return _merged(best, k)
 
 
@@ -192,10 +191,8 @@ def top_k_compressed(
 ) -> DataFrame:
     """As ``top_k_blocks``: looks up all compressed rows, and compares the best of them exactly."""
     shared = both.rows.sparkSession.sparkContext.broadcast(books)
-    nowhere = F.lit(0).cast("long")
     best = _in_cells(
-        both.wanted.withColumn("bucket", nowhere), codes.withColumnRenamed("codes", "vec").withColumn("bucket", nowhere),
-        books.bytes_per_vector, partial(_look_up, k=k * compression.candidates, shared=shared))
+        both.wanted, codes.withColumnRenamed("codes", "vec"), books.bytes_per_vector, partial(_look_up, k=k * compression.candidates, shared=shared))
     near = materialise(_merged(best, k * compression.candidates), "near")
     pairs = near.select("_q", "field", "_c").join(
         both.wanted.select("_q", "field", F.col("vec").alias("x")), ["_q", "field"]).join(
@@ -226,28 +223,35 @@ def _in_cells(
 ) -> DataFrame:
     """``_q, field, _c, _key, score`` found by ``search`` in each cell.
 
-    ``looking``: bucket, _q, field, vec. ``held``: bucket, _c, _key, vec. A bucket of many rows is cut on both sides, and every
+    ``looking``: bucket, _q, field, vec. ``held``: bucket, _c, _key, vec; without ``bucket`` all are in one. A bucket of many rows is cut on both sides, and every
     part of one side meets every part of the other; so its size bounds no task. The number of tasks follows from the products to be made.
     """
     per = max(1, cell_values // max(1, values))
-    sizes = looking.groupBy("bucket").agg(F.count(F.lit(1)).alias("asking")).join(
-        held.groupBy("bucket").agg(F.count(F.lit(1)).alias("holding")), "bucket")
-    sizes = materialise(sizes.select(
-        "bucket", F.ceil(F.col("asking") / (4 * per)).cast("int").alias("is"),
-        F.ceil(F.col("holding") / per).cast("int").alias("js"),
-        (F.col("asking").cast("double") * F.col("holding")).alias("work")), "cell-sizes")
-    work = (sizes.agg(F.sum("work")).first()[0] or 0.0) * max(1, values)
+    if "bucket" in looking.columns:
+        sizes = looking.groupBy("bucket").agg(F.count(F.lit(1)).alias("asking")).join(
+            held.groupBy("bucket").agg(F.count(F.lit(1)).alias("holding")), "bucket")
+        sizes = materialise(sizes.select(
+            "bucket", F.ceil(F.col("asking") / (4 * per)).cast("int").alias("is"),
+            F.ceil(F.col("holding") / per).cast("int").alias("js"),
+            (F.col("asking").cast("double") * F.col("holding")).alias("work")), "cell-sizes")
+        work = (sizes.agg(F.sum("work")).first()[0] or 0.0) * max(1, values)
+        held, looking = (lookup_join(side, sizes.drop("work"), "bucket", "inner") for side in (held, looking))
+    else:
+        asking, holding = looking.count(), held.count()
+        work = float(asking) * holding * max(1, values)
+        cuts = {"bucket": F.lit(0).cast("long"), "is": F.lit(math.ceil(asking / (4 * per))), "js": F.lit(math.ceil(holding / per))}
+        # Where one side is empty there is no cell.
+        held, looking = (side.where(F.lit(asking > 0 and holding > 0)).withColumns(cuts) for side in (held, looking))
     spark = held.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(work / _TASK_WORK))
-    cuts = sizes.drop("work")
     none = F.lit(None)
     kind = held.schema["_key"].dataType
     vec = held.schema["vec"].dataType
-    left = lookup_join(held, cuts, "bucket", "inner").select(
+    left = held.select(
         "bucket", F.explode(F.sequence(F.lit(0), F.col("is") - 1)).alias("i"),
         F.pmod(F.xxhash64("_c"), F.col("js")).cast("int").alias("j"), F.lit(0).alias("side"),
         "_key", "_c", F.lit(0).alias("field"), F.col("vec").alias("held"), none.cast("array<double>").alias("vec"))
-    right = lookup_join(looking, cuts, "bucket", "inner").select(
+    right = looking.select(
         "bucket", F.pmod(F.xxhash64("_q"), F.col("is")).cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("js") - 1)).alias("j"), F.lit(1).alias("side"),
         none.cast(kind).alias("_key"), F.col("_q").alias("_c"), "field", none.cast(vec).alias("held"), "vec")
