@@ -22,6 +22,8 @@ _ANSWERS = "key string, answer string"
 
 def over_length(prompt: Column, sampling: Sampling) -> Column:
     """Whether a prompt leaves no room for its answer, by ``sampling.count_tokens`` or else by words, a lower bound."""
+    if sampling.context_tokens is None:
+        return F.lit(False)
     room = sampling.context_tokens - sampling.max_tokens
     if sampling.count_tokens is not None:
         return F.coalesce(sampling.count_tokens(prompt) > room, F.lit(False))

@@ -286,3 +286,22 @@ def test_an_incomplete_set_is_not_submitted(spark, tmp_path):
     write_stage(rows.limit(0), path, levels, (2, 2), ["en"])
     stages.run_submission(spark, paths)
     assert submitted(paths) == {"1": "2221"}
+
+
+def test_answers_need_no_context(spark, tmp_path):
+    from checks.queries import generate_offline, generate_resumed
+
+    long = "nurse " * 12_000
+    df = spark.createDataFrame([(1, long), (2, "one two")], "id int, p string")
+    unbounded = Sampling(context_tokens=None)
+    given = df.select(F.col("p").alias("prompt"), F.col("id").cast("string").alias("answer"))
+    for backend in (given, lambda: lambda prompts: prompts.map(lambda p: "1" if len(p) > 9 else "2")):
+        done = generate(df, "p", "a", backend, unbounded, too_long="long")
+        assert {(r["id"], r["a"], r["long"]) for r in done.collect()} == {(1, "1", False), (2, "2", False)}
+    documents = spark.createDataFrame(
+        [(i, f"title {i}\ncare work", "en") for i in range(12)] + [(99, long, "en"), (100, long, "en")],
+        "doc_id long, text string, lang string")
+    documents.write.parquet(f"{tmp_path}/documents.parquet")
+    assert generate_offline(spark, str(tmp_path)).where("parsed").count() == 14
+    row = generate_resumed(spark, str(tmp_path)).first()
+    assert (row["n"], row["right"], row["answers"]) == (14, 14, 13)
