@@ -19,14 +19,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from jobweave.joins import lookup_join
-from jobweave.operators.similarity import best_columns, unit_rows
+from jobweave.operators.similarity import best_pairs, unit_rows
 from jobweave.storage import materialise
 
 #: Values of the corpus side of a cell, and similarities that a task holds at a time.
 CELL_VALUES = 2_000_000
 _BATCH_VALUES = 2_000_000
-#: Multiply-adds that one task is given, about.
+#: Multiply-adds that one task is given, about, and that one cell may take.
 _TASK_WORK = 4_000_000_000
+_CELL_WORK = 160_000_000_000
+#: Queries that meet the corpus side of a cell at a time, at least.
+_BATCH_QUERIES = 64
 
 _CELL = ["bucket", "i", "j"]
 
@@ -38,6 +41,7 @@ class Hashing:
     tables: int = 6
     rows: int = 512
     recall: float = 0.95  # that the audit must reach
+    buckets: int = 48  # that one query is sent to, in all tables, before comparing all rows is the cheaper way
     audited: int = 64  # queries that are also searched exactly
     seed: int = 11
 
@@ -71,12 +75,10 @@ class Codebooks:
             codes[:, part] = _nearest(some, centres)
         return codes
 
-    def scores(self, queries: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Approximate products of all queries with all codes: one look-up per part."""
-        total = np.zeros((len(queries), len(codes)))
-        for part, (centres, some) in enumerate(zip(self.centres, _parts(queries, self.centres.shape[2]))):
-            total += (some @ centres.T)[:, codes[:, part]]
-        return total
+    def decode(self, codes: np.ndarray) -> np.ndarray:
+        """The vectors that codes stand for: products with them are the sums of the looked-up parts, and much faster."""
+        whole = [centres[codes[:, part]] for part, centres in enumerate(self.centres)]
+        return np.concatenate([*whole, np.empty((len(codes), 0))], axis=1)[:, : self.dimensions]
 
 
 @dataclass(frozen=True)
@@ -135,8 +137,9 @@ def top_k_hashed(both: Sides, k: int = 5, hashing: Hashing = Hashing()) -> tuple
     """As ``top_k_blocks``, among the rows that share a bucket with the query; and the audited recall.
 
     A corpus row lies in one bucket of each table. A query looks into its own bucket and those across the planes
-    that it is nearest to. Their number doubles until the audited queries have the recall, at the latest when every bucket is looked
-    into. All scores are exact.
+    that it is nearest to. Their number doubles until the audited queries have the recall. Where that takes every bucket, or
+    sends a query to more than ``hashing.buckets`` of them, as with vectors that lie in no groups, all rows are compared in blocks: a copy of each query per
+    bucket would be more to shuffle. All scores are exact.
     """
     bits = max(0, math.ceil(math.log2(max(1, both.rows.count()) / hashing.rows)))
     planes = np.random.default_rng(hashing.seed).normal(size=(hashing.tables if bits else 1, bits, both.dimensions))
@@ -156,6 +159,8 @@ def top_k_hashed(both: Sides, k: int = 5, hashing: Hashing = Hashing()) -> tuple
         if reached >= hashing.recall or probes >= 1 << bits:
             break
         probes *= 2
+        if probes * len(planes) > hashing.buckets:
+            return top_k_blocks(both, k), 1.0
     return _with_hits(both, find(both.wanted, probes)), reached
 
 
@@ -189,10 +194,10 @@ def compress(both: Sides, books: Codebooks) -> DataFrame:
 def top_k_compressed(
     both: Sides, books: Codebooks, codes: DataFrame, k: int = 5, compression: Compression = Compression()
 ) -> DataFrame:
-    """As ``top_k_blocks``: looks up all compressed rows, and compares the best of them exactly."""
+    """As ``top_k_blocks``: goes through all compressed rows, and compares the best of them exactly."""
     shared = both.rows.sparkSession.sparkContext.broadcast(books)
     best = _in_cells(
-        both.wanted, codes.withColumnRenamed("codes", "vec"), books.bytes_per_vector, partial(_look_up, k=k * compression.candidates, shared=shared))
+        both.wanted, codes.withColumnRenamed("codes", "vec"), both.dimensions, partial(_look_up, k=k * compression.candidates, shared=shared))
     near = materialise(_merged(best, k * compression.candidates), "near")
     pairs = near.select("_q", "field", "_c").join(
         both.wanted.select("_q", "field", F.col("vec").alias("x")), ["_q", "field"]).join(
@@ -224,14 +229,21 @@ def _in_cells(
     """``_q, field, _c, _key, score`` found by ``search`` in each cell.
 
     ``looking``: bucket, _q, field, vec. ``held``: bucket, _c, _key, vec; without ``bucket`` all are in one. A bucket of many rows is cut on both sides, and every
-    part of one side meets every part of the other; so its size bounds no task. The number of tasks follows from the products to be made.
+    part of one side meets every part of the other; so its size bounds no task. Queries are cut finer where the corpus side of a
+    cell is large, by the products of a cell. The number of tasks follows from the products to be made.
     """
     per = max(1, cell_values // max(1, values))
+    most = F.lit(_CELL_WORK / max(1, values))
+
+    def parts(asking: Column, holding: Column) -> Column:
+        at_a_time = F.least(F.lit(4.0 * per), most / F.greatest(F.lit(1), F.least(holding, F.lit(per))))
+        return F.ceil(asking / F.greatest(F.lit(1.0), at_a_time)).cast("int")
+
     if "bucket" in looking.columns:
         sizes = looking.groupBy("bucket").agg(F.count(F.lit(1)).alias("asking")).join(
             held.groupBy("bucket").agg(F.count(F.lit(1)).alias("holding")), "bucket")
         sizes = materialise(sizes.select(
-            "bucket", F.ceil(F.col("asking") / (4 * per)).cast("int").alias("is"),
+            "bucket", parts(F.col("asking"), F.col("holding")).alias("is"),
             F.ceil(F.col("holding") / per).cast("int").alias("js"),
             (F.col("asking").cast("double") * F.col("holding")).alias("work")), "cell-sizes")
         work = (sizes.agg(F.sum("work")).first()[0] or 0.0) * max(1, values)
@@ -239,7 +251,7 @@ def _in_cells(
     else:
         asking, holding = looking.count(), held.count()
         work = float(asking) * holding * max(1, values)
-        cuts = {"bucket": F.lit(0).cast("long"), "is": F.lit(math.ceil(asking / (4 * per))), "js": F.lit(math.ceil(holding / per))}
+        cuts = {"bucket": F.lit(0).cast("long"), "is": parts(F.lit(asking), F.lit(holding)), "js": F.lit(math.ceil(holding / per))}
         # Where one side is empty there is no cell.
         held, looking = (side.where(F.lit(asking > 0 and holding > 0)).withColumns(cuts) for side in (held, looking))
     spark = held.sparkSession
@@ -297,12 +309,10 @@ def _best(some: pa.RecordBatch, corpus: pa.Table, scores_of: Callable, k: int, d
     c, keys = (corpus.column(n).combine_chunks() for n in ("_c", "_key"))
     queries = _matrix(some.column("vec"), dimensions)
     queries = unit_rows(queries) if metric == "cosine" else queries
-    step = max(1, _BATCH_VALUES // max(1, corpus.num_rows))
+    step = max(_BATCH_QUERIES, _BATCH_VALUES // max(1, corpus.num_rows))
     for start in range(0, len(queries), step):
-        rounded, picks = best_columns(scores_of(queries[start : start + step]), k)
-        rows = np.repeat(np.arange(len(picks)), [len(p) for p in picks])
-        columns = np.concatenate([*picks, np.empty(0, dtype=np.int64)]).astype(np.int64)
-        yield _found(some, rows + start, c, keys, columns, rounded[rows, columns])
+        rows, columns, scores = best_pairs(scores_of(queries[start : start + step]), k)
+        yield _found(some, rows + start, c, keys, columns, scores)
 
 
 def _search(corpus: pa.Table | None, k: int, metric: str):
@@ -319,7 +329,8 @@ def _look_up(corpus: pa.Table | None, k: int, shared):
         return lambda some: iter(())
     books = shared.value
     codes = np.frombuffer(b"".join(corpus.column("held").to_pylist()), np.uint8).reshape(corpus.num_rows, -1)
-    return lambda some: _best(some, corpus, lambda q: books.scores(q, codes), k, books.dimensions, books.metric)
+    matrix = books.decode(codes)
+    return lambda some: _best(some, corpus, lambda q: q @ matrix.T, k, books.dimensions, books.metric)
 
 
 def _merged(found: DataFrame, k: int) -> DataFrame:

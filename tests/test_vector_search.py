@@ -111,3 +111,60 @@ def test_probes_are_the_nearest_buckets():
         found = [b for out in V._hash(iter([batch]), Shared, probes) for b in out.column("bucket").to_pylist()]
         cost = sorted((sum(vector[i] ** 2 for i in range(6) if (own ^ b) >> i & 1), b) for b in range(64))
         assert len(found) == probes and set(found) == {b for _, b in cost[:probes]}
+
+
+def test_best_pairs_are_the_best_columns():
+    from jobweave.operators.similarity import best_columns, best_pairs
+
+    rng = np.random.default_rng(8)
+    for rows, n, k, digits in ((0, 300, 2, 3), (5, 1, 3, 3), (7, 63, 5, 1), (9, 640, 5, 2), (9, 700, 9, 7), (4, 900, 20, 0)):
+        scores = np.round(rng.normal(size=(rows, n)), digits)
+        rounded, picks = best_columns(scores, k)
+        wanted = [(i, c, rounded[i, c]) for i, pick in enumerate(picks) for c in pick]
+        assert list(zip(*(x.tolist() for x in best_pairs(scores, k)))) == wanted
+
+
+def test_vectors_in_no_groups_are_compared_in_blocks(spark, monkeypatch):
+    probed = []
+    hashed = V._bucketed
+    monkeypatch.setattr(V, "_bucketed", lambda rows, columns, shared, probes: probed.append(probes) or hashed(rows, columns, shared, probes))
+    corpus = np.random.default_rng(9).normal(size=(900, 32))
+    found, audited = V.top_k_hashed(sides(spark, corpus[:40], corpus), k=4, hashing=V.Hashing(rows=4, buckets=24))
+    assert audited == 1.0 and max(probed) == 4
+    assert {n: [h[0] for h in some] for n, some in hits(found).items()} == {
+        n: [h[0] for h in some] for n, some in brute(corpus[:40], corpus, 4, "cosine").items()}
+
+
+def test_queries_are_cut_by_the_work_of_a_cell(spark, monkeypatch):
+    monkeypatch.setattr(V, "_CELL_WORK", 16 * 100 * 10)
+    both = sides(spark, made(1, 60), made(1, 100))
+    found = V._in_cells(both.wanted, V._keyed(both), 16, counted_cells(), V.CELL_VALUES)
+    assert 1 < found.agg(F.max("_c")).first()[0] < 30
+
+
+def counted_cells():
+    """A search that finds how many queries a cell has."""
+    def search(corpus):
+        import pyarrow as pa
+
+        seen = [0]
+
+        def ready(some):
+            seen[0] += some.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [some.column("_c").slice(0, 1), some.column("field").slice(0, 1), pa.array([seen[0]]), pa.array([""]), pa.array([0.0])],
+                names=["_q", "field", "_c", "_key", "score"])
+
+        return ready
+
+    return search
+
+
+def test_decoded_vectors_score_as_the_looked_up_parts():
+    rng = np.random.default_rng(10)
+    books = V.Codebooks(rng.normal(size=(3, 256, 4)), 10, "dot")
+    codes = rng.integers(0, 256, (50, 3)).astype(np.uint8)
+    queries = rng.normal(size=(6, 10))
+    parts = np.pad(queries, ((0, 0), (0, 2))).reshape(6, 3, 4)
+    wanted = sum((parts[:, p] @ books.centres[p].T)[:, codes[:, p]] for p in range(3))
+    assert np.allclose(queries @ books.decode(codes).T, wanted)
