@@ -34,7 +34,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, found by SimHash in BK-trees, and in bands what these leave apart."""
     return near_copies.one_of_each(docs.select(*COLUMNS))
 
 

@@ -1,10 +1,11 @@
 """Near copies of documents by SimHash and BK-trees, where fingerprints may be many bits apart.
 
-At a Jaccard similarity of 0.8, fingerprints differ in about 10 of 64 bits, too many for shards by equal blocks
-of bits. Here documents that share a band of MinHash values form a shard. The shingles themselves decide on its pairs, however
-far their fingerprints are apart. In crowded shards the BK-tree finds those within a radius, which are compared first: mostly
-they connect the shard, and only what they leave apart is compared pair by pair. A large group of near copies makes a crowded shard of nearly every
-band, so a few bands go first: in the others only pairs that these have not connected are compared.
+The fingerprints of all texts are searched as in ``simhash``: in BK-trees of shards by equal blocks of bits. The shingles themselves
+confirm what the trees connect. At a Jaccard similarity of 0.8, though, fingerprints differ in about 10 of 64 bits, too many for such
+shards. So what the trees have left apart is looked for once more: documents that share a band of MinHash values form a shard, and the
+shingles decide on its pairs, however far their fingerprints are apart. In crowded shards the BK-tree finds those within a wider radius, which are
+compared first: mostly they connect the shard, and only what they leave apart is compared pair by pair. A large group of near copies makes a
+crowded shard of nearly every band, so a few bands go first: in the others only pairs that these have not connected are compared.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from jobweave.joins import fits_broadcast
 from jobweave.llm.arrow import group_starts, pieces, released, whole_groups
 from jobweave.llm.common import WORD, replace_columns
 from jobweave.llm.components import connected_components
-from jobweave.llm.simhash import BITS, forest_components, shingle_hashes
+from jobweave.llm.simhash import BITS, forest_components, links as fingerprint_links, shingle_hashes
 from jobweave.storage import materialise
 
 #: Documents of a shard whose pairs a task lists; those of a larger one are compared in blocks.
@@ -40,6 +41,7 @@ class Settings:
 
     shingle: int = 5
     similarity: float = 0.8
+    close: int = 3  # bits within which trees search all fingerprints
     radius: int = 20  # bits within which pairs of a crowded shard are compared first; it turns none down
     bands: int = 20
     band: int = 4
@@ -78,6 +80,7 @@ def near_links(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
         .groupBy("key").agg(F.min("simhash").alias("simhash"), F.min("bands").alias("bands")),
         "copy-prints",
     )
+    close = materialise(_close(prints, settings.close), "copies-close")
     shards = prints.select("key", "simhash", F.posexplode("bands").alias("band", "shard"))
     # Shards are counted first, so that no task holds one that a common text fills.
     crowds = shards.groupBy("band", "shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LISTED)
@@ -87,11 +90,8 @@ def near_links(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
         "band", "shard").sortWithinPartitions("band", "shard", "key")
     pairs = materialise(ordered.mapInArrow(_pairs, "a long, b long").distinct(), "copy-candidates")
     crowded = materialise(shards.join(few, ["band", "shard"]).select("band", "shard", "key"), "copies-crowded")
-    wanted = materialise(
-        pairs.select(F.col("a").alias("_key")).unionByName(pairs.select(F.col("b").alias("_key"))).unionByName(
-            crowded.select(F.col("key").alias("_key"))).distinct(),
-        "copies-wanted",
-    )
+    ends = pairs.unionByName(close).select(F.explode(F.array("a", "b")).alias("_key"))
+    wanted = materialise(ends.unionByName(crowded.select(F.col("key").alias("_key"))).distinct(), "copies-wanted")
     sets = rows.select("_key", F.col("text").cast("string")).join(
         F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "_key", "left_semi")
     sets = materialise(
@@ -99,13 +99,38 @@ def near_links(rows: DataFrame, settings: Settings = Settings()) -> DataFrame:
         .groupBy("key").agg(F.first("shingles").alias("shingles")),
         "copy-shingles",
     )
+    confirmed = materialise(_confirmed(close, sets, settings), "copies-confirmed")
+    roots = materialise(connected_components(confirmed), "copies-connected")
+    of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    apart = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where(
+        F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    found = confirmed.unionByName(_confirmed(apart, sets, settings))
+    if not crowded.isEmpty():
+        known = sets.join(prints.select("key", "simhash"), "key")
+        found = found.unionByName(_crowds(crowded, _rooted(known, roots), settings))
+    return materialise(found.distinct(), "copy-links")
+
+
+def _close(prints: DataFrame, close: int) -> DataFrame:
+    """``a, b``: texts that the trees connect, by stars of fingerprints and of the texts that share one."""
+    first = materialise(prints.groupBy("simhash").agg(F.min("key").alias("first")), "copy-fingerprints")
+    one = first.select(F.col("simhash").alias("a"), F.col("first").alias("x"))
+    other = first.select(F.col("simhash").alias("b"), F.col("first").alias("y"))
+    across = fingerprint_links(first.select("simhash"), close).join(one, "a").join(other, "b").select("x", "y")
+    same = prints.join(first, "simhash").where("key <> first").select(F.col("first").alias("x"), F.col("key").alias("y"))
+    return across.unionByName(same).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
     a = sets.select(F.col("key").alias("a"), F.col("shingles").alias("x"))
     b = sets.select(F.col("key").alias("b"), F.col("shingles").alias("y"))
-    found = pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y").mapInArrow(
         partial(_verify, similarity=settings.similarity), "a long, b long")
-    if not crowded.isEmpty():
-        found = found.unionByName(_crowds(crowded, sets.join(prints.select("key", "simhash"), "key"), settings))
-    return materialise(found.distinct(), "copy-links")
+
+
+def _rooted(known: DataFrame, roots: DataFrame) -> DataFrame:
+    """``known`` with the ``root`` of each text, itself where nothing has connected it."""
+    return known.join(roots, known["key"] == roots["node"], "left").withColumn("root", F.coalesce("root", "key")).drop("node")
 
 
 def _key():
@@ -115,18 +140,21 @@ def _key():
 
 def _crowds(crowded: DataFrame, known: DataFrame, settings: Settings) -> DataFrame:
     """Links of large shards: first all of a few bands, then of the others what these have left apart."""
-    known = known.withColumn("root", F.col("key"))
-    first = _cells(crowded.where(F.col("band") < LEADING), known, settings)
-    first = materialise(first, "crowd-links")
-    roots = materialise(connected_components(first), "crowd-roots")
-    known = known.drop("root").join(roots, known["key"] == roots["node"], "left").withColumn(
-        "root", F.coalesce("root", "key")).drop("node")
     known = materialise(known, "copies-known")
-    rest = crowded.where(F.col("band") >= LEADING).join(known.select("key", "root"), "key")
-    apart = rest.groupBy("band", "shard").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    first = _cells(_apart(crowded.where(F.col("band") < LEADING), known), known, settings)
+    first = materialise(first, "crowd-links")
+    tied = known.select(F.col("key").alias("a"), F.col("root").alias("b")).where("a <> b")
+    roots = materialise(connected_components(first.unionByName(tied)), "crowd-roots")
+    known = materialise(_rooted(known.drop("root"), roots), "copies-known")
+    return first.unionByName(_cells(_apart(crowded.where(F.col("band") >= LEADING), known), known, settings))
+
+
+def _apart(crowded: DataFrame, known: DataFrame) -> DataFrame:
+    """The shards whose texts are not all connected."""
+    rooted = crowded.join(known.select("key", "root"), "key")
+    apart = rooted.groupBy("band", "shard").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
     apart = materialise(apart.select("band", "shard"), "crowds-apart")
-    rest = rest.drop("root").join(F.broadcast(apart) if fits_broadcast(apart) else apart, ["band", "shard"], "left_semi")
-    return first.unionByName(_cells(rest, known, settings))
+    return crowded.join(F.broadcast(apart) if fits_broadcast(apart) else apart, ["band", "shard"], "left_semi")
 
 
 def _cells(crowded: DataFrame, known: DataFrame, settings: Settings) -> DataFrame:
@@ -264,10 +292,9 @@ def _search_sets(batches: Iterator[pa.RecordBatch], settings: Settings) -> Itera
             if (root == root[:1]).all():
                 continue
             sets = [np.frombuffer(s, np.uint64) for s in cell.column(6).to_pylist()]
-            if len(first) == len(keys):
-                root = forest_components(
-                    cell.column(5).to_numpy().view(np.uint64), np.array([0, len(keys)]), settings.radius,
-                    confirm=lambda a, b: _alike(sets[a], sets[b], settings.similarity))
+            root = forest_components(
+                cell.column(5).to_numpy().view(np.uint64), np.array([0, len(keys)]), settings.radius,
+                confirm=lambda a, b: _alike(sets[a], sets[b], settings.similarity), root=root)
             root = _joined_by_sets(sets, root, settings.similarity)
             # A link for each member whose group has grown; where it was connected before, one of them is enough.
             tied = np.flatnonzero(root != first[label])

@@ -169,14 +169,15 @@ def tree_links(values: np.ndarray, starts: np.ndarray, radius: int) -> tuple[np.
 
 
 def forest_components(
-    values: np.ndarray, starts: np.ndarray, radius: int, confirm: Callable[[int, int], bool] | None = None
+    values: np.ndarray, starts: np.ndarray, radius: int, confirm: Callable[[int, int], bool] | None = None,
+    root: np.ndarray | None = None,
 ) -> np.ndarray:
     """For each fingerprint an index that all fingerprints connected with it in its shard share.
 
-    ``confirm`` may turn down a link of two fingerprints; it is asked only for those not yet connected.
+    ``confirm`` may turn down a link of two fingerprints; it is asked only for those not yet connected. ``root`` tells which are from the start.
     """
     tree = _Forest(values, starts)
-    root = np.arange(len(values))
+    root = np.arange(len(values)) if root is None else root
     sizes = np.repeat(np.diff(starts), np.diff(starts))
     rank = np.arange(len(values)) - np.repeat(starts[:-1], np.diff(starts))
     queries = np.argsort(rank, kind="stable")

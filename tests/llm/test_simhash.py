@@ -144,3 +144,20 @@ def test_fingerprints_turn_no_pair_down(spark, listed, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     kept = near_copies.one_of_each(df, near_copies.Settings(radius=0))
     assert [r["doc_id"] for r in kept.collect()] == [0]
+
+
+def test_trees_find_near_copies_before_bands(spark, monkeypatch):
+    """Fingerprints within the bits are linked by BK-trees over all texts, also where no band brings a pair together."""
+    def none(batches):
+        for _ in batches:
+            yield from ()
+
+    monkeypatch.setattr(near_copies, "_pairs", none)
+    rng = np.random.default_rng(12)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 10**6, 2000)) for _ in range(5)]
+    texts += [t + " once more" for t in texts[:3]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in near_copies.one_of_each(df).collect()) == [0, 1, 2, 3, 4]
+    prints = spark.createDataFrame([(1, 0), (2, 0), (3, 7), (4, 15), (5, 1 << 40)], "key long, simhash long")
+    linked = near_copies.connected_components(near_copies._close(prints, 3)).collect()
+    assert {(r["node"], r["root"]) for r in linked} == {(n, 1) for n in (1, 2, 3, 4, 5)}
