@@ -3,6 +3,7 @@ import math
 import pandas as pd
 import pytest
 
+from jobweave.operators import language
 from jobweave import fixed
 from jobweave.config import Limits
 from jobweave.operators.language import (
@@ -80,3 +81,21 @@ def test_relabelling(spark):
 
 def test_language_list():
     assert len(fixed.LANGUAGES) == 25 == len({code for _, code, _ in fixed.LANGUAGES})
+
+
+def test_chunks_score_as_rows_do(spark, monkeypatch):
+    """Many small chunks, copies, a repeated key, other columns, and texts without words."""
+    monkeypatch.setattr(language, "CHUNK_BYTES", 40)
+    texts = [f"the nurse {i} works at night" if i % 2 else f"die Pflege {i} bei der Nacht und the end" for i in range(40)]
+    rows = [(i % 30, t, [i], None) for i, t in enumerate(texts)] + [(7, texts[7], [7], "x")] * 3 + [(50, None, None, None), (51, " 12 ", [], "y")]
+    df = spark.createDataFrame(rows, "id long, text string, more array<int>, note string")
+    known = spark.createDataFrame(
+        [("the", "en", 5), ("nurse", "en", 2), ("night", "en", 1), ("die", "de", 4), ("pflege", "de", 2), ("nacht", "de", 1), ("end", "de", 1)],
+        "token string, lang string, n long")
+
+    def found(limits):
+        done = language.detect_language(df, "text", known, limits=limits)
+        return sorted((str(tuple(r)[:4]), r["lang"], None if r["score"] is None else round(r["score"], 9)) for r in done.collect())
+
+    by_chunk = found(Limits(broadcast_rows=1))
+    assert by_chunk == found(Limits()) and len(by_chunk) == 45
