@@ -108,7 +108,9 @@ def load(model_file: str) -> Vocabulary:
     )
 
 
-def sample_segmentations(rows: DataFrame, vocabulary: Vocabulary, key: str, samples: int = 2, seed: int = 2) -> DataFrame:
+def sample_segmentations(
+    rows: DataFrame, vocabulary: Vocabulary, key: str, samples: int = 2, seed: int = 2, decoded: bool = False
+) -> DataFrame:
     """For each row up to ``samples`` different segmentations of its whole ``text``, one row each.
 
     Adds ``sample`` (from 0, best perturbed value first), ``ids``, ``log_prob`` (of the segmentation), ``perturbed`` and
@@ -116,9 +118,10 @@ def sample_segmentations(rows: DataFrame, vocabulary: Vocabulary, key: str, samp
     depends on the ``key`` column and ``seed`` alone: reruns agree, and rows that repeat a key and text get the same; a
     null key counts as 0, a key that is not a number by its hash. A null or empty text has one segmentation,
     without pieces, as has a text that leaves no choice: fewer rows, and certain inclusion. An empty table gives an empty
-    result; columns named like the results are replaced.
+    result; columns named like the results are replaced. With ``decoded`` the column that ``decode`` adds comes with them:
+    the ids are decoded where they were drawn, so that a task needs one worker and no second copy of its rows.
     """
-    rows = replace_columns(rows, *SAMPLED)
+    rows = replace_columns(rows, *SAMPLED, *["decoded"] * decoded)
     number = F.col(key) if isinstance(rows.schema[key].dataType, T.IntegralType) else F.xxhash64(key)
     rows = rows.withColumn("_seed", F.coalesce(number.cast("long"), F.lit(0)))
     kept = [c for c in rows.columns if c not in ("text", "_seed")]
@@ -126,7 +129,12 @@ def sample_segmentations(rows: DataFrame, vocabulary: Vocabulary, key: str, samp
     schema = T.StructType([*(rows.schema[c] for c in kept), *T.StructType.fromDDL(
         "sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double")])
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
-    return rows.mapInArrow(partial(_sample, shared=shared, samples=samples, seed=seed), schema)
+    sample = partial(_sample, shared=shared, samples=samples, seed=seed)
+    if not decoded:
+        return rows.mapInArrow(sample, schema)
+    place = schema.names.index("ids")
+    return rows.mapInArrow(
+        lambda batches: _decode(sample(batches), shared=shared, place=place), schema.add("decoded", T.StringType()))
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 sentencepiece = pytest.importorskip("sentencepiece")
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from jobweave.llm import segmentation  # noqa: E402
+from jobweave.llm import queries, segmentation  # noqa: E402
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 TEXTS = ["the thing", "", "a", "hello wörld  and\n\nx 雲\U0001f600\t", " lead and trail  ", "x" * 3000, None, "in", "\n", "é" * 5]
@@ -80,6 +80,20 @@ def test_rows(spark, vocabulary, library):
     assert sorted(map(str, sampled.collect())) == sorted(map(str, sampled.repartition(3).collect()))
 
 
+def test_decoded_where_they_are_drawn(spark, vocabulary):
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)], "doc_id long, text string, Decoded string")
+    once = segmentation.sample_segmentations(df, vocabulary, "doc_id", samples=3, decoded=True)
+    twice = segmentation.decode(segmentation.sample_segmentations(df, vocabulary, "doc_id", samples=3), vocabulary)
+    assert once.columns == twice.columns and sorted(map(str, once.collect())) == sorted(map(str, twice.collect()))
+    assert segmentation.sample_segmentations(df.limit(0), vocabulary, "doc_id", decoded=True).count() == 0
+
+
+def test_the_query_has_one_step_in_python(spark, capsys):
+    df = spark.createDataFrame([(1, "the thing")], "doc_id long, text string")
+    queries.encoded(df, "doc_id").explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+
+
 def test_keys_and_empty_tables(spark, vocabulary):
     df = spark.createDataFrame([(None, "the thing"), ("k", "the thing")], "key string, text string")
     assert segmentation.sample_segmentations(df, vocabulary, "key").count() == 4
