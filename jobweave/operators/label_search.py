@@ -40,7 +40,8 @@ def multi_field_hits(
     else:
         vectors = {f: embed_column(query, config, embedder) for f, query in queries.items()}
         found = top_k(
-            ads, vectors, index, "embedding", "place", SHOWN, config.top_k, limits=config.limits
+            ads, vectors, index, "embedding", "place", SHOWN, config.top_k, limits=config.limits,
+            hashed=None if embedder else queries, dimensions=config.dimensions,
         )
 
     def shown(hits: str) -> Column:

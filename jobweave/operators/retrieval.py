@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,20 +22,20 @@ from jobweave.operators.vector_search import sides, top_k_blocks
 from jobweave.storage import materialise
 
 _BATCH_VALUES = 4_000_000  # similarities held at a time in one task
+_WORDS = 100_000  # words whose buckets a worker remembers from the batches before
+_BATCH_ROWS = 512  # queries whose vectors and hits are held at a time in one task
 
 
 # --- embedding -----------------------------------------------------------------
 
 
-def hash_embed(text: Column, dimensions: int) -> Column:
-    """The offline embedder: word counts in hash buckets, scaled to unit length.
-
-    The bucket of a word is the first 32 bits of its md5 modulo ``dimensions``. It stands in for
-    a model. Words are found on the JVM side; a text without words gives the zero vector.
-    """
+def hash_vectors(dimensions: int) -> Callable[[pd.Series], pd.Series]:
+    """What ``hash_embed`` does to a batch of texts whose words stand between blanks."""
+    buckets: dict[str, int] = {}
 
     def embed(texts: pd.Series) -> pd.Series:
-        buckets: dict[str, int] = {}
+        if len(buckets) > _WORDS:
+            buckets.clear()
 
         def vector(text: str) -> np.ndarray:
             tokens = text.split()
@@ -47,7 +47,16 @@ def hash_embed(text: Column, dimensions: int) -> Column:
 
         return texts.map(vector, na_action="ignore")
 
-    return F.pandas_udf(embed, "array<double>")(word_text(text))
+    return embed
+
+
+def hash_embed(text: Column, dimensions: int) -> Column:
+    """The offline embedder: word counts in hash buckets, scaled to unit length.
+
+    The bucket of a word is the first 32 bits of its md5 modulo ``dimensions``. It stands in for
+    a model. Words are found on the JVM side; a text without words gives the zero vector.
+    """
+    return F.pandas_udf(hash_vectors(dimensions), "array<double>")(word_text(text))
 
 
 def embed_column(text: Column, config: JobConfig, backend: Backend | None = None) -> Column:
@@ -168,6 +177,8 @@ def top_k(
     k: int = 5,
     metric: str = "cosine",
     limits: Limits = Limits(),
+    hashed: dict[str, Column] | None = None,
+    dimensions: int = 0,
 ) -> DataFrame:
     """Add, for each named query vector, the k nearest corpus rows as an ordered array.
 
@@ -175,7 +186,9 @@ def top_k(
     matrix; queries stay where they are and are multiplied batch by batch: no shuffle, and no
     pair leaves the task that scored it. A larger one never reaches the driver: blocks of queries meet blocks of the
     corpus on executors (``vector_search``). Ties go to the smaller key. Rows of either side
-    without a vector have no hits and are not found.
+    without a vector have no hits and are not found. One worker searches all named vectors, some rows at a time. If
+    these are vectors of ``hash_embed``, give their texts as ``hashed``: the worker then makes them for the rows at
+    hand, and those of a whole batch are never held.
     """
     if metric not in ("cosine", "dot"):
         raise ValueError(f"unknown metric: {metric}")
@@ -187,14 +200,17 @@ def top_k(
     if not fits_task(rows, corpus_vector, limits):
         both = sides(queries, query_vectors, rows, corpus_vector, key, kept, metric)
         return top_k_blocks(both, k, limits.index_values)
-    find = _search_matrix(rows, corpus_vector, kept, hit_type, k, metric)
-    return queries.withColumns({name: find(vector) for name, vector in query_vectors.items()})
+    embed = hash_vectors(dimensions) if hashed else None
+    asked = {name: word_text(text) for name, text in hashed.items()} if hashed else query_vectors
+    found = _search_matrix(rows, corpus_vector, kept, hit_type, k, metric, list(asked), embed)(*asked.values())
+    return queries.withColumn("_found", found).withColumns({name: F.col("_found")[name] for name in asked}).drop("_found")
 
 
 def _search_matrix(
-    rows: DataFrame, vector: str, kept: list[str], hit_type: ArrayType, k: int, metric: str
+    rows: DataFrame, vector: str, kept: list[str], hit_type: ArrayType, k: int, metric: str, names: list[str],
+    embed: Callable[[pd.Series], pd.Series] | None,
 ):
-    """A column function: the hits of a query vector in a corpus that fits a task."""
+    """A column function: the hits of named query vectors, or of texts to ``embed``, in a corpus that fits a task."""
     table = rows.orderBy(*kept).toArrow()
     flat = table[vector].combine_chunks().flatten().to_numpy(zero_copy_only=False)
     matrix = flat.astype(float).reshape(table.num_rows, -1) if table.num_rows else np.empty((0, 0))
@@ -202,7 +218,7 @@ def _search_matrix(
         matrix = unit_rows(matrix)
     shared = rows.sparkSession.sparkContext.broadcast((matrix, table.select(kept)))
 
-    def search(vectors: pd.Series) -> pd.Series:
+    def search(vectors: pd.Series) -> list:
         corpus_matrix, payload = shared.value
         present = np.flatnonzero(vectors.notna().to_numpy())
         found: list = [None] * len(vectors)
@@ -220,9 +236,17 @@ def _search_matrix(
                 hits = chosen[at : at + len(pick)]
                 at += len(pick)
                 found[place] = [{**hit, "score": float(row[c])} for hit, c in zip(hits, pick)]
-        return pd.Series(found)
+        return found
+
+    def search_all(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            columns = (batch,) if isinstance(batch, pd.Series) else batch  # a single column comes by itself
+            for start in range(0, len(columns[0]), _BATCH_ROWS):
+                part = [c.iloc[start : start + _BATCH_ROWS] for c in columns]
+                hits = [search(embed(p) if embed else p) for p in part]
+                yield pd.DataFrame({n: pd.Series(h, dtype=object) for n, h in zip(names, hits)})
 
-    return F.pandas_udf(search, hit_type)
+    return F.pandas_udf(search_all, StructType([StructField(n, hit_type) for n in names]))
 
 
 def ordered_union(*hit_lists: Column) -> Column:

@@ -4,11 +4,13 @@ import random
 
 import numpy as np
 import pytest
+import pandas as pd
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from jobweave.config import JobConfig, Limits
 from jobweave.operators.chunking import chunk_recursive, chunk_words, count_words, split_text
+from jobweave.operators import retrieval
 from jobweave.operators.label_search import multi_field_hits
 from jobweave.operators.retrieval import (
     best_columns, build_label_index, hash_embed, ordered_union, top_k, write_label_index,
@@ -217,3 +219,23 @@ def test_only_new_chunks_are_embedded(spark, tmp_path):
     assert stored == {("1", "one"): [3.0, 1.0], ("2", "new"): [3.0, 1.0], ("4", "three"): [5.0, 1.0], ("5", "one"): [3.0, 1.0]}
     assert update_label_index(labels(), path, embedder=embedder, model="another").embedded == 3
     assert update_label_index(labels(**dict.fromkeys("1234")), path, embedder=embedder, model="another") == IndexChange(0, 0, 4)
+
+
+def test_a_worker_searches_some_rows_at_a_time(spark):
+    words = ["red", "green", "blue", "red blue", None, ""]
+    texts = [words[i % 6] for i in range(2 * retrieval._BATCH_ROWS + 5)]
+    corpus = spark.createDataFrame([(0, "red"), (1, "green"), (2, "blue red")], "n int, t string").select(
+        "n", hash_embed(F.col("t"), 16).alias("v"))
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    vectors = {f: hash_embed(F.col("t"), 16) for f in ("a", "b")}
+    by_text = top_k(df, vectors, corpus, "v", "n", k=2, hashed={f: F.col("t") for f in vectors}, dimensions=16)
+    by_vector = top_k(df, vectors, corpus, "v", "n", k=2)
+    assert by_text.columns == by_vector.columns == ["i", "t", "a", "b"] and by_text.schema == by_vector.schema
+    assert sorted(map(str, by_text.collect())) == sorted(map(str, by_vector.collect()))
+
+    hits = by_text.schema["a"].dataType
+    find = retrieval._search_matrix(corpus, "v", ["n"], hits, 2, "cosine", ["a", "b"], retrieval.hash_vectors(16))
+    parts = list(find.func(iter([(pd.Series(texts), pd.Series(texts))])))
+    assert [len(p) for p in parts] == [retrieval._BATCH_ROWS, retrieval._BATCH_ROWS, 5]
+    found = {r["i"]: r["a"] and [h["n"] for h in r["a"]] for r in by_text.collect()}
+    assert [h and [x["n"] for x in h] for p in parts for h in p["b"]] == [found[i] for i in range(len(texts))]
