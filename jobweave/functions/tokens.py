@@ -3,12 +3,23 @@
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
+#: Rows of an Arrow batch whose values are Python objects at the same time.
+ROWS = 256
+
+
+def rows_of(batches: Iterator[pa.Array]) -> Iterator[list]:
+    """The values of Arrow arrays, ``ROWS`` at a time, so that neither they nor what comes of them pile up by the batch."""
+    for batch in batches:
+        for start in range(0, len(batch), ROWS):
+            yield batch.slice(start, ROWS).to_pylist()
+
 
 @lru_cache(maxsize=4)
 def _encoding(ranks_file: str, pattern: str):
@@ -37,7 +48,8 @@ class SubwordCounter:
     def token_column(self, text: Column) -> Column:
         """The count of a text column; null for null."""
 
-        def counted(texts: pd.Series) -> pd.Series:
-            return texts.map(self, na_action="ignore").astype("Int64")
+        def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for texts in rows_of(batches):
+                yield pa.array([None if t is None else self(t) for t in texts], pa.int64())
 
-        return F.pandas_udf(counted, "long")(text)
+        return F.arrow_udf(counted, "long")(text)

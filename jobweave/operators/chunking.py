@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from jobweave import fixed
 from jobweave.functions.expressions import let
+from jobweave.functions.tokens import rows_of
 
 TokenCounter = Callable[[str], int]
 
@@ -94,14 +95,17 @@ def chunk_recursive(
     separators: Sequence[str] = fixed.CHUNK_SEPARATORS,
     count: TokenCounter = count_words,
 ) -> DataFrame:
-    """One row per chunk with ``chunk_no`` from 0; all other columns ride along on the JVM side."""
+    """One row per chunk with ``chunk_no`` from 0; all other columns ride along on the JVM side.
 
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(
-            lambda t: split_text(t, size, overlap, separators, count), na_action="ignore"
-        )
+    A worker holds the texts of one Arrow batch as they came, and the chunks of some of its rows only.
+    """
+
+    def split(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in rows_of(batches):
+            cut = [None if t is None else split_text(t, size, overlap, separators, count) for t in texts]
+            yield pa.array(cut, pa.list_(pa.string()))
 
-    chunks = F.pandas_udf(split, "array<string>")(F.col(text))
+    chunks = F.arrow_udf(split, "array<string>")(F.col(text))
     return df.select("*", F.posexplode(chunks).alias("chunk_no", "chunk"))
 
 

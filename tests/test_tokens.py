@@ -1,11 +1,12 @@
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
 
 from jobweave.config import JobConfig, Sampling
-from jobweave.functions.tokens import SubwordCounter, _encoding
-from jobweave.operators.chunking import count_words, split_text
+from jobweave.functions.tokens import ROWS, SubwordCounter, _encoding, rows_of
+from jobweave.operators.chunking import chunk_recursive, count_words, split_text
 from jobweave.operators.generation import generate
 from jobweave.operators.retrieval import label_chunks
 
@@ -42,3 +43,16 @@ def test_the_length_guard(spark, count):
     rows = spark.createDataFrame([(1, "one two three"), (2, "incomprehensibilities unbelievably antidisestablishmentarianism")], "i int, p string")
     sent = {r["i"]: r["long"] for r in generate(rows, "p", "a", lambda: lambda x: x, sampling, too_long="long").collect()}
     assert sent == {1: False, 2: count is not None}
+
+
+def test_a_batch_is_worked_on_some_rows_at_a_time(spark):
+    texts = [None if i % 7 == 0 else "one two three. " * (i % 5) for i in range(2 * ROWS + 3)]
+    parts = list(rows_of(iter([pa.array(texts, pa.string()), pa.array([], pa.string())])))
+    assert [len(p) for p in parts] == [ROWS, ROWS, 3] and sum(parts, []) == texts
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    got = {}
+    for r in chunk_recursive(df, "t", 4, 0).orderBy("i", "chunk_no").collect():
+        got.setdefault(r["i"], []).append(r["chunk"])
+    assert got == {i: c for i, t in enumerate(texts) if (c := split_text(t or "", 4, 0))}
+    counts = {r["i"]: r["n"] for r in df.select("i", COUNTER.token_column(df.t).alias("n")).collect()}
+    assert counts == {i: None if t is None else COUNTER(t) for i, t in enumerate(texts)}
