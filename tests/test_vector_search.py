@@ -168,3 +168,65 @@ def test_decoded_vectors_score_as_the_looked_up_parts():
     parts = np.pad(queries, ((0, 0), (0, 2))).reshape(6, 3, 4)
     wanted = sum((parts[:, p] @ books.centres[p].T)[:, codes[:, p]] for p in range(3))
     assert np.allclose(queries @ books.decode(codes).T, wanted)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot"])
+def test_tiles_find_the_best_pairs(metric, monkeypatch):
+    from jobweave.operators.similarity import best_pairs, unit_rows
+
+    monkeypatch.setattr(V, "_TILE", 64)
+    rng = np.random.default_rng(11)
+    rows = np.vstack([rng.normal(size=(700, 10)), np.zeros((3, 10)), np.tile(rng.normal(size=(1, 10)), (300, 1)), rng.integers(-1, 2, (400, 10))])
+    rows = rows[rng.permutation(len(rows))] * (1 if metric == "cosine" else 30)
+    unit = unit_rows if metric == "cosine" else np.asarray
+    queries = unit(np.vstack([rows[::7], 1e-3 * rng.normal(size=(9, 10))]))
+    codes = rng.integers(0, 256, (900, 3)).astype(np.uint8)
+    books = V.Codebooks(rng.normal(size=(3, 256, 4)).round(1), 10, metric)
+    for side, matrix in ((V._Vectors(rows.astype(float), metric), unit(rows)), (V._Codes(codes, books), books.decode(codes))):
+        for k in (1, 5, 70, 2000):
+            found, wanted = V.best_rows(queries, side, k), best_pairs(np.round(queries @ matrix.T, 6), k)
+            assert all(np.array_equal(x, y) for x, y in zip(found[:2], wanted)) and np.allclose(found[2], wanted[2], atol=2e-6)
+
+
+def test_tiles_leave_odd_vectors_to_the_slow_way():
+    rows = np.random.default_rng(12).normal(size=(90, 6))
+    queries = rows[:4].copy()
+    queries[1, 2], queries[2] = np.nan, 1e200
+    for side in (V._Vectors(rows, "dot"), V._Vectors(rows * 1e50, "dot")):
+        row, column, _ = V.best_rows(queries, side, 3)
+        for i in (0, 2, 3):
+            assert column[row == i].tolist() == np.argsort(-(side[:] @ queries[i]), kind="stable")[:3].tolist()
+        assert 1 not in row
+
+
+def test_candidates_are_one_row_a_query(spark, monkeypatch):
+    """They were a row each, and carried both vectors to be compared."""
+    kept, stored = {}, V.materialise
+    monkeypatch.setattr(V, "materialise", lambda df, name: kept.setdefault(name, stored(df, name)))
+    both = sides(spark, made(13, 40), made(13, 600))
+    books = V.fit(both)
+    hits(V.top_k_compressed(both, books, V.compress(both, books)))
+    near = kept["near"].collect()
+    assert len(near) == 40 and all(len(set(r["near"])) == 100 for r in near)
+
+
+def test_cells_of_codes_change_no_hit(spark):
+    both = sides(spark, made(14, 30, 18), np.vstack([made(14, 300, 18)] * 2))  # each row twice
+    books = V.fit(both)
+    codes = V.compress(both, books)
+    whole = hits(V.top_k_compressed(both, books, codes, k=4))
+    assert hits(V.top_k_compressed(both, books, codes, k=4, cell_values=900)) == whole
+    exact = brute(made(14, 30, 18), np.vstack([made(14, 300, 18)] * 2), 4, "cosine")
+    assert sum(a[0] == b[0] for n in exact for a, b in zip(whole[n], exact[n])) >= 0.9 * 30 * 4
+
+
+def test_ties_go_to_the_smaller_key_of_any_kind(spark):
+    vectors = np.tile(made(15, 3), (20, 1))
+    for kind in ("long", "string", "double", "decimal(9,2)"):
+        q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors[:3])], "n int, v array<double>")
+        c = spark.createDataFrame([(99 - i, v.tolist()) for i, v in enumerate(vectors)], "n int, v array<double>")
+        both = V.sides(q, {"hits": F.col("v")}, c.withColumn("n", F.col("n").cast(kind)), "v", "n")
+        books = V.fit(both)
+        for found in (V.top_k_blocks(both, 4, 160), V.top_k_compressed(both, books, V.compress(both, books), 4, cell_values=160)):
+            for r in found.collect():
+                assert [float(h["n"]) for h in r["hits"]] == [40 + (2 - r["n"]) + 3 * i for i in range(4)]
