@@ -26,9 +26,10 @@ from jobweave.storage import materialise
 #: Values of the corpus side of a cell, and values or similarities that a task makes at a time.
 CELL_VALUES = 4_000_000
 _BATCH_VALUES = 2_000_000
+_PAIR_VALUES = 500_000
 #: Multiply-adds that one task is given, about, and that one cell may take.
 _TASK_WORK = 4_000_000_000
-_CELL_WORK = 640_000_000_000
+_CELL_WORK = 320_000_000_000
 #: Corpus rows that meet queries at a time, and results of queries that a task holds at a time.
 _TILE = 1024
 _BATCH_RESULTS = 200_000
@@ -355,13 +356,18 @@ class _Vectors:
     def __init__(self, vectors: np.ndarray, metric: str):
         self.vectors, self.norms, self.dimensions = vectors, None, vectors.shape[1]
         if metric == "cosine":
-            norms = np.linalg.norm(vectors, axis=1, keepdims=True)
+            parts = (vectors[start : start + 4 * _TILE] for start in range(0, len(vectors), 4 * _TILE))
+            norms = np.concatenate([np.empty((0, 1)), *(np.linalg.norm(some, axis=1, keepdims=True) for some in parts)])
             self.norms = np.where(norms == 0, 1.0, norms)
-        self.rough = np.empty(vectors.shape, np.float32)
+
+    def roughly(self) -> _Vectors:
+        """With the rows in single precision as well."""
+        self.rough = np.empty(self.vectors.shape, np.float32)
         with np.errstate(over="ignore"):
-            for start in range(0, len(vectors), 4 * _TILE):
+            for start in range(0, len(self), 4 * _TILE):
                 self.rough[start : start + 4 * _TILE] = self[start : start + 4 * _TILE]
         self.longest = _longest(self.rough)
+        return self
 
     def __len__(self) -> int:
         return len(self.vectors)
@@ -445,19 +451,10 @@ def best_rows(queries: np.ndarray, rows: _Vectors | _Codes, k: int) -> tuple[np.
         width = at.stop - start
         hits = np.flatnonzero(rough @ rows.single(at).T >= below)
         if len(hits) > len(queries) * width // 16:
-            scores = np.round(queries @ rows[at].T, SCORE_DIGITS) + 0.0
-            better = scores > least[:, None]
-            if k < width and np.count_nonzero(better) > better.size // 16:
-                better &= scores >= np.partition(scores, width - k, axis=1)[:, width - k, None]
-            row, column = np.nonzero(better)
-            score = scores[row, column]
+            row, column, score = _above(queries, rows[at], least, k)
         else:
             row, column = np.divmod(hits, width)
-            score = np.empty(len(row))
-            step = max(1, _BATCH_VALUES // max(1, queries.shape[1]))
-            for i in range(0, len(row), step):
-                score[i : i + step] = np.einsum("ij,ij->i", queries[row[i : i + step]], rows[column[i : i + step] + start])
-            score = np.round(score, SCORE_DIGITS) + 0.0
+            score = _pair_scores(queries, row, rows, column + start)
             better = score > least[row]
             row, column, score = row[better], column[better], score[better]
         waiting.append((row, column + start, score))
@@ -471,6 +468,29 @@ def best_rows(queries: np.ndarray, rows: _Vectors | _Codes, k: int) -> tuple[np.
     return kept
 
 
+def _above(queries: np.ndarray, matrix: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs with scores over ``least``, of each query those that its k-th best score does not rule out."""
+    found, width = [], len(matrix)
+    for start in range(0, len(queries), 256):
+        scores = queries[start : start + 256] @ matrix.T
+        np.round(scores, SCORE_DIGITS, out=scores)
+        scores += 0.0
+        better = scores > least[start : start + 256, None]
+        if k < width and np.count_nonzero(better) > better.size // 16:
+            better &= scores >= np.partition(scores, width - k, axis=1)[:, width - k, None]
+        row, column = np.nonzero(better)
+        found.append((row + start, column, scores[row, column]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _pair_scores(queries: np.ndarray, row: np.ndarray, rows: _Vectors | _Codes, column: np.ndarray) -> np.ndarray:
+    score = np.empty(len(row))
+    step = max(1, _PAIR_VALUES // max(1, queries.shape[1]))
+    for i in range(0, len(row), step):
+        score[i : i + step] = np.einsum("ij,ij->i", queries[row[i : i + step]], rows[column[i : i + step]])
+    return np.round(score, SCORE_DIGITS) + 0.0
+
+
 def _first_k(row: np.ndarray, column: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best of each row; of equal scores the first given."""
     order = _order(row, score)
@@ -510,7 +530,7 @@ def _search(corpus: pa.Table | None, k: int, metric: str):
     """Exact products with the corpus side of a cell, whose rows are in the order of their keys."""
     if corpus is None:
         return lambda some: iter(())
-    rows = _Vectors(_matrix(_column(corpus, "held")), metric)
+    rows = _Vectors(_matrix(_column(corpus, "held")), metric).roughly()
     return lambda some: _best(some, corpus, rows, k, metric)
 
 
@@ -528,27 +548,23 @@ def _compare(corpus: pa.Table | None, k: int, metric: str):
     """Exact products of each query with the rows of the cell that are ``near`` to it."""
     if corpus is None:
         return lambda some: iter(())
-    matrix = _matrix(_column(corpus, "held"))
+    rows = _Vectors(_matrix(_column(corpus, "held")), metric)
     c, keys = (_column(corpus, n) for n in ("_c", "_key"))
     numbers = c.to_numpy()
     order = np.argsort(numbers)
     numbers = numbers[order]
-    step = max(1, _BATCH_VALUES // max(1, matrix.shape[1]))
 
     def ready(some: pa.RecordBatch):
-        near = some.column("near")
-        row = np.repeat(np.arange(len(near)), near.value_lengths().to_numpy())
-        column = order[np.searchsorted(numbers, near.flatten().to_numpy())]
-        queries = _matrix(some.column("vec"), matrix.shape[1])
-        score = np.empty(len(row))
-        for i in range(0, len(row), step):
-            x, y = queries[row[i : i + step]], matrix[column[i : i + step]]
-            x, y = (unit_rows(x), unit_rows(y)) if metric == "cosine" else (x, y)
-            score[i : i + step] = np.einsum("ij,ij->i", x, y)
-        score = np.round(score, SCORE_DIGITS) + 0.0
-        at = np.argsort(column, kind="stable")
-        row, at, _ = _first_k(row[at], at, np.where(np.isnan(score), np.inf, score)[at], k)  # as Spark sorts what is no number
-        yield _found(some, row, c, keys, column[at], score[at])
+        for start in range(0, some.num_rows, _TILE):
+            part = some.slice(start, _TILE)
+            near = part.column("near")
+            row = np.repeat(np.arange(len(near)), near.value_lengths().to_numpy())
+            column = order[np.searchsorted(numbers, near.flatten().to_numpy())]
+            queries = _matrix(part.column("vec"), rows.dimensions)
+            score = _pair_scores(unit_rows(queries) if metric == "cosine" else queries, row, rows, column)
+            at = np.argsort(column, kind="stable")
+            row, at, _ = _first_k(row[at], at, np.where(np.isnan(score), np.inf, score)[at], k)  # as Spark sorts what is no number
+            yield _found(part, row, c, keys, column[at], score[at])
 
     return ready
 

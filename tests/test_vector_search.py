@@ -182,7 +182,7 @@ def test_tiles_find_the_best_pairs(metric, monkeypatch):
     queries = unit(np.vstack([rows[::7], 1e-3 * rng.normal(size=(9, 10))]))
     codes = rng.integers(0, 256, (900, 3)).astype(np.uint8)
     books = V.Codebooks(rng.normal(size=(3, 256, 4)).round(1), 10, metric)
-    for side, matrix in ((V._Vectors(rows.astype(float), metric), unit(rows)), (V._Codes(codes, books), books.decode(codes))):
+    for side, matrix in ((V._Vectors(rows.astype(float), metric).roughly(), unit(rows)), (V._Codes(codes, books), books.decode(codes))):
         for k in (1, 5, 70, 2000):
             found, wanted = V.best_rows(queries, side, k), best_pairs(np.round(queries @ matrix.T, 6), k)
             assert all(np.array_equal(x, y) for x, y in zip(found[:2], wanted)) and np.allclose(found[2], wanted[2], atol=2e-6)
@@ -192,7 +192,7 @@ def test_tiles_leave_odd_vectors_to_the_slow_way():
     rows = np.random.default_rng(12).normal(size=(90, 6))
     queries = rows[:4].copy()
     queries[1, 2], queries[2] = np.nan, 1e200
-    for side in (V._Vectors(rows, "dot"), V._Vectors(rows * 1e50, "dot")):
+    for side in (V._Vectors(rows, "dot").roughly(), V._Vectors(rows * 1e50, "dot").roughly()):
         row, column, _ = V.best_rows(queries, side, 3)
         for i in (0, 2, 3):
             assert column[row == i].tolist() == np.argsort(-(side[:] @ queries[i]), kind="stable")[:3].tolist()
