@@ -559,7 +559,10 @@ def _compare(corpus: pa.Table | None, k: int, metric: str):
             part = some.slice(start, _TILE)
             near = part.column("near")
             row = np.repeat(np.arange(len(near)), near.value_lengths().to_numpy())
-            column = order[np.searchsorted(numbers, near.flatten().to_numpy())]
+            wanted = near.flatten().to_numpy()
+            at = np.minimum(np.searchsorted(numbers, wanted), len(numbers) - 1)
+            known = numbers[at] == wanted  # codes may be of rows that the corpus no longer has
+            row, column = row[known], order[at[known]]
             queries = _matrix(part.column("vec"), rows.dimensions)
             score = _pair_scores(unit_rows(queries) if metric == "cosine" else queries, row, rows, column)
             at = np.argsort(column, kind="stable")

@@ -220,6 +220,15 @@ def test_cells_of_codes_change_no_hit(spark):
     assert sum(a[0] == b[0] for n in exact for a, b in zip(whole[n], exact[n])) >= 0.9 * 30 * 4
 
 
+def test_codes_of_rows_that_are_gone_are_passed_over(spark):
+    both = sides(spark, made(16, 5), made(16, 50))
+    books = V.fit(both)
+    codes = V.compress(both, books)
+    wanted = hits(V.top_k_compressed(both, books, codes, k=3))
+    more = codes.unionByName(codes.withColumn("_c", F.col("_c") + (1 << 50)))
+    assert hits(V.top_k_compressed(both, books, more, k=3)) == wanted
+
+
 def test_ties_go_to_the_smaller_key_of_any_kind(spark):
     vectors = np.tile(made(15, 3), (20, 1))
     for kind in ("long", "string", "double", "decimal(9,2)"):
